@@ -1,8 +1,8 @@
 """Registered queries: each takes (spark, sf_dir) and returns a DataFrame.
 
 Each one reads the driver tables through ``sources.model`` (so its work grows
-with the data) and runs one operator. Double outputs are rounded for
-publication (``publishable``); counts stay 64-bit integers.
+with the data) and runs one operator over whole tables. Double outputs are
+rounded for publication (``publishable``); counts stay 64-bit integers.
 """
 
 from __future__ import annotations
@@ -10,15 +10,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.exprs import rnd
+from .operators import baskets as bk
+from .operators import cohorts, customers, logs, products, quality, rfm, summary, timeseries
 from .operators.enrich import enrich
-from .operators.timeseries import monthly_series, weekday_series
+from .plans.publish import PUBLISH_PLAN, dataset_profile
 from .sources import model
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+# Parameters of the registered runs.
+PAIR_MIN_SUPPORT = 0.0004          # product pairs
+BRAND_PAIR_MIN_SUPPORT = 0.02      # brand pairs
+FRESHNESS_AS_OF = "2024-02-01 00:00:00"
+FRESHNESS_MAX_AGE_HOURS = 48.0
+STAR_TABLES = ("transactions", "customers", "products")
+
 
 def publishable(df: DataFrame, digits: int = 2, overrides: dict[str, int] | None = None) -> DataFrame:
     """Round every double column (``overrides`` sets per-column digits)."""
@@ -37,21 +47,185 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(s["transactions"], s["customers"], s["products"])
 
 
+def _union_all(frames):
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _per_star_table(spark, sf_dir, check):
+    s = model.star(spark, sf_dir)
+    return _union_all([check(s[name], name) for name in STAR_TABLES])
+
+
+# --- enrichment and calendar series ------------------------------------------
 def q_enriched_transactions(spark, sf_dir):
     return publishable(enriched(spark, sf_dir), digits=6)
 
 
 def q_monthly_series(spark, sf_dir):
-    return publishable(monthly_series(enriched(spark, sf_dir)))
+    return publishable(timeseries.monthly_series(enriched(spark, sf_dir)))
 
 
 def q_weekday_series(spark, sf_dir):
-    return publishable(weekday_series(enriched(spark, sf_dir)))
+    return publishable(timeseries.weekday_series(enriched(spark, sf_dir)))
+
+
+# --- customers -----------------------------------------------------------------
+def q_customer_lifetime(spark, sf_dir):
+    return publishable(customers.customer_lifetime(enriched(spark, sf_dir)))
+
+
+def q_clv_segments(spark, sf_dir):
+    lt = customers.customer_lifetime(enriched(spark, sf_dir))
+    return publishable(customers.clv_segments(lt))
+
+
+def q_churn_indicators(spark, sf_dir):
+    lt = customers.clv_segments(customers.customer_lifetime(enriched(spark, sf_dir)))
+    return publishable(customers.churn_indicators(lt))
+
+
+def q_rfm_base(spark, sf_dir):
+    return publishable(rfm.rfm_base(enriched(spark, sf_dir)))
+
+
+def q_rfm_quintiles(spark, sf_dir):
+    return publishable(rfm.rfm_quintiles_long(rfm.rfm_base(enriched(spark, sf_dir))))
+
+
+def q_rfm_segments(spark, sf_dir):
+    return publishable(rfm.rfm_segments(rfm.rfm_base(enriched(spark, sf_dir))))
+
+
+def q_rfm_segment_distribution(spark, sf_dir):
+    seg = rfm.rfm_segments(rfm.rfm_base(enriched(spark, sf_dir)))
+    return rfm.rfm_segment_distribution(seg)
+
+
+# --- products --------------------------------------------------------------------
+def q_product_performance(spark, sf_dir):
+    return publishable(products.product_performance(enriched(spark, sf_dir)))
+
+
+def q_top_products(spark, sf_dir):
+    return publishable(products.top_products(enriched(spark, sf_dir), 10))
+
+
+# --- cohorts ---------------------------------------------------------------------
+def q_cohort_retention(spark, sf_dir):
+    return publishable(cohorts.cohort_retention(enriched(spark, sf_dir)),
+                       overrides={"period_number": 8})
+
+
+def q_cohort_retention_whole_months(spark, sf_dir):
+    return publishable(cohorts.cohort_retention(enriched(spark, sf_dir), whole_months=True))
+
+
+# --- baskets ---------------------------------------------------------------------
+def q_baskets(spark, sf_dir):
+    return publishable(bk.baskets(enriched(spark, sf_dir)))
+
+
+def q_basket_items(spark, sf_dir):
+    return bk.basket_items(enriched(spark, sf_dir)).withColumnRenamed("item", "product_id")
+
+
+def q_basket_pairs(spark, sf_dir):
+    return publishable(bk.basket_pairs(enriched(spark, sf_dir), PAIR_MIN_SUPPORT),
+                       overrides={"support": 8})
+
+
+def q_basket_brand_pairs(spark, sf_dir):
+    return publishable(bk.basket_pairs(enriched(spark, sf_dir), BRAND_PAIR_MIN_SUPPORT,
+                                       item_col="brand"), overrides={"support": 8})
+
+
+# --- data quality ----------------------------------------------------------------
+def q_dq_nulls(spark, sf_dir):
+    return _per_star_table(spark, sf_dir, quality.null_check)
+
+
+def q_dq_duplicates(spark, sf_dir):
+    return _per_star_table(spark, sf_dir, quality.duplicate_check)
+
+
+def q_dq_numeric_strings(spark, sf_dir):
+    return _per_star_table(spark, sf_dir, quality.numeric_string_check)
+
+
+def q_dq_outliers(spark, sf_dir):
+    return publishable(_per_star_table(spark, sf_dir, quality.outlier_check))
+
+
+def q_dq_report(spark, sf_dir):
+    return publishable(_per_star_table(spark, sf_dir, quality.quality_report))
+
+
+def q_ri_customers(spark, sf_dir):
+    s = model.star(spark, sf_dir)
+    return quality.orphan_keys(s["transactions"], s["customers"], "customer_id",
+                               "transactions->customers")
+
+
+def q_ri_products(spark, sf_dir):
+    s = model.star(spark, sf_dir)
+    return quality.orphan_keys(s["transactions"], s["products"], "product_id",
+                               "transactions->products")
+
+
+def q_cleanse(spark, sf_dir):
+    return quality.cleanse(model.customers(spark, sf_dir))
+
+
+def q_freshness(spark, sf_dir):
+    tx = model.transactions(spark, sf_dir)
+    lg = model.logs(spark, sf_dir)
+    return publishable(quality.freshness(tx, "transactions", "transaction_date", FRESHNESS_AS_OF,
+                                         FRESHNESS_MAX_AGE_HOURS).unionByName(
+        quality.freshness(lg, "logs", "timestamp", FRESHNESS_AS_OF, FRESHNESS_MAX_AGE_HOURS)))
+
+
+# --- summary and catalog ---------------------------------------------------------
+def q_executive_totals(spark, sf_dir):
+    return publishable(summary.executive_totals(enriched(spark, sf_dir)))
+
+
+def q_executive_summary(spark, sf_dir):
+    return publishable(summary.executive_summary(summary.executive_totals(enriched(spark, sf_dir))))
+
+
+def q_dataset_profile(spark, sf_dir):
+    """Profiles of the star tables and the enriched table as they would be
+    published (schema_json is left out of the compared columns)."""
+    s = model.star(spark, sf_dir)
+    frames = dict(s)
+    frames["enriched_transactions"] = enrich(s["transactions"], s["customers"], s["products"])
+    parts = []
+    for name, df in frames.items():
+        zone, cols = PUBLISH_PLAN.get(name, ("raw", None))
+        parts.append(dataset_profile(df, f"{zone}/{name}", "parquet", cols))
+    return _union_all(parts).drop("schema_json")
+
+
+# --- error logs ------------------------------------------------------------------
+def q_log_severity(spark, sf_dir):
+    return logs.log_severity(model.logs(spark, sf_dir))
+
+
+def q_log_alerts(spark, sf_dir):
+    return logs.log_alerts(logs.log_severity(model.logs(spark, sf_dir)))
+
+
+def q_log_summary(spark, sf_dir):
+    return logs.log_summary(logs.log_severity(model.logs(spark, sf_dir)))
+
+
+def q_log_trend(spark, sf_dir):
+    return logs.log_trend(logs.log_severity(model.logs(spark, sf_dir)))
 
 
 def registry() -> dict[str, QueryFn]:
-    return {
-        "enriched_transactions": q_enriched_transactions,
-        "monthly_series": q_monthly_series,
-        "weekday_series": q_weekday_series,
-    }
+    return {name[2:]: fn for name, fn in globals().items()
+            if name.startswith("q_") and callable(fn)}
