@@ -36,15 +36,26 @@ def first_match(pairs: list[tuple[Column, object]], default: object) -> Column:
     return out.otherwise(default)
 
 
-# Money is summed as DECIMAL(20,6): exact and independent of summation order,
-# so totals do not change with partitioning or executor count. Values are
-# rounded to 6 places per row first (far below a cent), then summed exactly.
-MONEY = "decimal(20,6)"
+# Money is summed exactly at micro-unit (1e-6) resolution, so totals do not
+# change with summation order, partitioning or executor count. Each value is
+# split into whole units and rounded micro-units, both summed as 64-bit
+# integers (fast, fixed-width aggregation buffers); the two sums meet in one
+# DECIMAL per group. The result equals summing DECIMAL(20,6) casts of the
+# values, without per-row BigDecimal arithmetic.
+MONEY = "decimal(38,6)"
 
 
-def money_sum(c: Column | str) -> Column:
+def money_sum_exact(c: Column | str) -> Column:
+    """Exact DECIMAL(38,6) sum (also for partial sums that are summed again)."""
     col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(MONEY)).cast("double")
+    whole = F.floor(col)
+    micros = F.round((col - whole) * F.lit(1e6)).cast("long")
+    return (F.sum(whole).cast(MONEY)
+            + F.sum(micros).cast("decimal(38,0)") * F.lit(0.000001).cast("decimal(7,6)")).cast(MONEY)
+
+
+def money_sum(c: Column | str) -> Column:
+    return money_sum_exact(c).cast("double")
 
 
 def money_avg(c: Column | str) -> Column:

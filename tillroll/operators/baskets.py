@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import money_sum
+from ..plans.durable import durable
 
 BASKET = ("customer_id", "transaction_date")
 
@@ -49,21 +50,38 @@ def basket_items(enriched: DataFrame, item_col: str = "product_id") -> DataFrame
 
 
 def basket_pairs(enriched: DataFrame, min_support: float = 0.01, item_col: str = "product_id",
-                 distinct_items: bool = False, with_info: bool | None = None) -> DataFrame:
+                 distinct_items: bool = False, with_info: bool | None = None,
+                 materialize: bool = True) -> DataFrame:
     """Item pairs (product_1 < product_2) with pair_count and support >= min_support.
 
     With ``item_col == "product_id"`` each side gets its category and brand
-    (two equi joins to the distinct product lookup), as published.
+    (lookups into the distinct (product, category, brand) triples), as published.
+
+    The enriched input is read once: every later step (basket totals, basket
+    stats, the item lookup, the pair join) derives from one pre-aggregated
+    (basket, item[, category, brand]) table, written once to the shared
+    checkpoint folder by default (``materialize``).
     """
-    total = F.broadcast(enriched.groupBy(*BASKET).agg(F.lit(1).alias("_one"))
-                        .agg(F.count("*").alias("_baskets")))
-    items = basket_items(enriched, item_col)
+    if with_info is None:
+        with_info = item_col == "product_id"
+    info_cols = ["category", "brand"] if with_info else []
+    # (basket, item, attrs) -> multiplicity; null items kept so that every
+    # basket is counted in the support denominator.
+    grouped = enriched.groupBy(*BASKET, F.col(item_col).alias("item"), *info_cols).agg(
+        F.count("*").alias("_rows"))
+    if materialize:
+        grouped = durable(grouped, "basket_items")
+    items = (grouped.filter(F.col("item").isNotNull())
+             .groupBy(*BASKET, "item").agg(F.sum("_rows").alias("item_count")))
     if distinct_items:
         items = items.withColumn("item_count", F.lit(1).cast("long"))
+    total = F.broadcast(grouped.groupBy(*BASKET).agg(F.lit(1).alias("_one"))
+                        .agg(F.count("*").alias("_baskets")))
     stats = items.groupBy(*BASKET).agg(F.count("*").alias("_n_items"),
                                        F.max("item_count").alias("_max_mult"))
-    multi = (items.join(stats, list(BASKET), "inner").filter(F.col("_n_items") >= 2)
+    multi = (items.join(stats.filter(F.col("_n_items") >= 2), list(BASKET), "inner")
              .drop("_n_items"))
+    # Exact Apriori bound: pair_count(a, b) <= sum(mult_a * max multiplicity).
     bound = multi.groupBy("item").agg(
         F.sum(F.col("item_count") * F.col("_max_mult")).alias("_bound"))
     keep = (bound.crossJoin(total)
@@ -79,13 +97,11 @@ def basket_pairs(enriched: DataFrame, min_support: float = 0.01, item_col: str =
     out = (pairs.crossJoin(total)
            .withColumn("support", F.col("pair_count") / F.col("_baskets"))
            .filter(F.col("support") >= F.lit(min_support)).drop("_baskets"))
-    if with_info is None:
-        with_info = item_col == "product_id"
     if with_info:
-        info = enriched.select("product_id", "category", "brand").distinct()
-        i1 = info.select(F.col("product_id").alias("product_1"),
+        info = grouped.filter(F.col("item").isNotNull()).select("item", *info_cols).distinct()
+        i1 = info.select(F.col("item").alias("product_1"),
                          F.col("category").alias("category_1"), F.col("brand").alias("brand_1"))
-        i2 = info.select(F.col("product_id").alias("product_2"),
+        i2 = info.select(F.col("item").alias("product_2"),
                          F.col("category").alias("category_2"), F.col("brand").alias("brand_2"))
         out = out.join(i1, "product_1", "inner").join(i2, "product_2", "inner")
     return out.orderBy(F.col("support").desc(), "product_1", "product_2")

@@ -17,30 +17,40 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.exprs import money_avg, money_sum
+from ..plans.durable import durable
 
 ATTRIBUTES = ("customer_segment", "country", "age_group")
 
 
-def _as_of_row(enriched: DataFrame, as_of) -> DataFrame:
-    """One-row frame holding the as-of date (default: latest transaction)."""
+def _as_of_row(per_customer: DataFrame, as_of) -> DataFrame:
+    """One-row frame holding the as-of date. The default, the latest
+    transaction, is the max over the per-customer table: the fact table is
+    not scanned a second time."""
     if as_of is None:
-        return enriched.agg(F.max("transaction_date").alias("_as_of"))
+        return per_customer.agg(F.max("last_purchase_date").alias("_as_of"))
     if isinstance(as_of, (_dt.date, _dt.datetime, str)):
-        lit = F.lit(as_of)
-        return enriched.sparkSession.range(1).select(lit.alias("_as_of"))
+        return per_customer.sparkSession.range(1).select(F.lit(as_of).alias("_as_of"))
     raise TypeError("as_of must be None, a date/datetime or an ISO string")
 
 
 def customer_lifetime(enriched: DataFrame, as_of=None,
-                      attributes: tuple[str, ...] = ATTRIBUTES) -> DataFrame:
+                      attributes: tuple[str, ...] = ATTRIBUTES,
+                      materialize: bool = True) -> DataFrame:
     """customer_id -> spend, orders, breadth, recency and estimated CLV.
 
     ``as_of`` is the date recency is measured from; by default the latest
     transaction date in the data, so results do not change from day to day.
-    Customer attributes are functionally dependent on the key; ``max`` picks
-    them deterministically.
+
+    Customer attributes depend on the key, so they are grouping keys (keeps a
+    fixed-width hash aggregation; a string ``max``/``first`` buffer would force
+    a sort-based one). A customer key duplicated in the dimension, which the
+    quality checks report, yields one row per attribute combination.
+
+    The per-customer table feeds both the as-of date and the rows, so by
+    default it is written once to the shared checkpoint folder (``durable``)
+    rather than computed twice from the fact table.
     """
-    per_customer = enriched.groupBy("customer_id").agg(
+    per_customer = enriched.groupBy("customer_id", *attributes).agg(
         money_sum("total_amount").alias("total_spent"),
         money_avg("total_amount").alias("avg_order_value"),
         money_sum("profit_amount").alias("total_profit_generated"),
@@ -49,10 +59,13 @@ def customer_lifetime(enriched: DataFrame, as_of=None,
         F.count_distinct("category").alias("categories_explored"),
         F.max("transaction_date").alias("last_purchase_date"),
         F.min("transaction_date").alias("first_purchase_date"),
-        *[F.max(a).alias(a) for a in attributes],
-    )
+    ).select("customer_id", "total_spent", "avg_order_value", "total_profit_generated",
+             "total_orders", "unique_products_purchased", "categories_explored",
+             "last_purchase_date", "first_purchase_date", *attributes)
+    if materialize:
+        per_customer = durable(per_customer, "customer_lifetime")
     lifespan = F.datediff(F.col("last_purchase_date"), F.col("first_purchase_date"))
-    out = per_customer.crossJoin(F.broadcast(_as_of_row(enriched, as_of))).withColumns({
+    out = per_customer.crossJoin(F.broadcast(_as_of_row(per_customer, as_of))).withColumns({
         "days_since_last_purchase": F.datediff(F.col("_as_of"), F.col("last_purchase_date")),
         "customer_lifespan_days": lifespan,
     }).drop("_as_of")
@@ -75,8 +88,15 @@ def clv_cut_points(lifetime: DataFrame, accuracy: int = 10000) -> DataFrame:
         F.col("_q")[2].alias("clv_p40"))
 
 
-def clv_segments(lifetime: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Add clv_segment from global CLV percentiles (Champions ... New Customers)."""
+def clv_segments(lifetime: DataFrame, accuracy: int = 10000, materialize: bool = False) -> DataFrame:
+    """Add clv_segment from global CLV percentiles (Champions ... New Customers).
+
+    The lifetime table feeds both the cut points and the scored rows. From
+    ``customer_lifetime`` it already reads a durable per-customer table, so
+    both branches re-read those files; pass ``materialize=True`` for a
+    lifetime table that is still an unmaterialized plan."""
+    if materialize:
+        lifetime = durable(lifetime, "customer_lifetime")
     cuts = F.broadcast(clv_cut_points(lifetime, accuracy))
     seg = rules.clv_segment(F.col("estimated_clv"), F.col("clv_p80"), F.col("clv_p60"),
                             F.col("clv_p40"))

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import money_avg, money_sum
+from ..plans.durable import durable
 
 TOP_PERFORMER_RANK = 5
 RANK_BUCKETS = 64
@@ -63,10 +64,15 @@ def rank_desc_within(df: DataFrame, group: str, value: str, tie: str, out: str,
             .drop("_bucket", "_offset"))
 
 
-def product_performance(enriched: DataFrame, top_n: int = TOP_PERFORMER_RANK) -> DataFrame:
+def product_performance(enriched: DataFrame, top_n: int = TOP_PERFORMER_RANK,
+                        materialize: bool = True) -> DataFrame:
     """Product metrics plus category_revenue_rank (ties broken by product_id)
-    and is_top_performer (rank <= top_n)."""
-    ranked = rank_desc_within(product_metrics(enriched), "category", "total_revenue",
+    and is_top_performer (rank <= top_n). The per-product table feeds three
+    branches of the ranking, so by default it is written once (``durable``)."""
+    metrics = product_metrics(enriched)
+    if materialize:
+        metrics = durable(metrics, "product_metrics")
+    ranked = rank_desc_within(metrics, "category", "total_revenue",
                               "product_id", "category_revenue_rank")
     return ranked.withColumn("is_top_performer", F.col("category_revenue_rank") <= top_n)
 

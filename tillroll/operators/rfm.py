@@ -13,20 +13,27 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.exprs import money_sum
+from ..plans.durable import durable
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
 DIMENSIONS = ("recency", "frequency", "monetary")
 
 
-def rfm_base(enriched: DataFrame) -> DataFrame:
+def rfm_base(enriched: DataFrame, materialize: bool = True) -> DataFrame:
     """customer_id -> recency (days before the latest transaction in the data),
-    frequency (transactions) and monetary (total spend)."""
-    latest = F.broadcast(enriched.agg(F.max("transaction_date").alias("_max_date")))
+    frequency (transactions) and monetary (total spend).
+
+    The per-customer aggregate feeds the global latest date and the rows; by
+    default it is written once (``durable``) so the fact is read once."""
     per_customer = enriched.groupBy("customer_id").agg(
         F.max("transaction_date").alias("_last"),
         F.count("transaction_id").alias("frequency"),
         money_sum("total_amount").alias("monetary"),
     )
+    if materialize:
+        per_customer = durable(per_customer, "rfm_customers")
+    # Latest date overall = max of the per-customer maxima (no second fact scan).
+    latest = F.broadcast(per_customer.agg(F.max("_last").alias("_max_date")))
     return per_customer.crossJoin(latest).select(
         "customer_id",
         F.datediff(F.col("_max_date"), F.col("_last")).alias("recency"),
