@@ -5,7 +5,8 @@ nation, ``products`` = part, and a ``logs`` table derived from events. Keys stay
 64-bit integers (cheaper to hash and sort than the registry's string ids).
 
 All mappings are projections plus equi joins, so Catalyst prunes columns and
-pushes filters (e.g. the Completed status filter reaches the orders scan).
+pushes filters (the Completed status test is evaluated in the orders scan
+stage, before the join).
 """
 
 from __future__ import annotations
@@ -104,7 +105,12 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log table: every event carries one log line chosen by its id."""
-    ev = load(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    return logs_from_events(load(spark, sf_dir, "events"))
+
+
+def logs_from_events(events: DataFrame) -> DataFrame:
+    """Map event rows (batch or streaming) to log rows: a projection only."""
+    ev = events.select("event_id", "ts", "event_type")
     idx = (F.pmod(F.col("event_id"), F.lit(len(LOG_MESSAGES))) + 1).cast("int")
     return ev.select(
         F.col("event_id").alias("error_id"),

@@ -1,0 +1,63 @@
+"""Structured Streaming form of the error-log operators.
+
+Log lines arrive continuously; the same classification used in batch
+(``operators.logs``) is applied per micro-batch:
+
+* ``alert_stream``: stateless classification + alert filter (CRITICAL, or no
+  recovery route), appended to a sink as events arrive.
+* ``severity_window_counts``: errors per severity per event-time window, with
+  a watermark so late lines are accepted up to a bound and window state is
+  dropped afterwards (bounded state, append mode).
+
+Sinks write with a checkpoint location under the session's shared
+``spark.checkpoint.dir``, so a restarted query resumes exactly where it was.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators.logs import log_alerts, log_severity
+from ..session import ensure_checkpoint_dir
+from ..sources.model import logs_from_events
+
+EVENTS_SCHEMA = ("event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
+                 "value DOUBLE, props STRING")
+
+
+def event_log_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 16) -> DataFrame:
+    """Streaming log rows from Parquet event files landing under ``path``."""
+    events = (spark.readStream.schema(EVENTS_SCHEMA)
+              .option("maxFilesPerTrigger", max_files_per_trigger).parquet(path))
+    return logs_from_events(events)
+
+
+def alert_stream(logs: DataFrame) -> DataFrame:
+    """Classified alert rows (stateless, per micro-batch)."""
+    return log_alerts(log_severity(logs))
+
+
+def severity_window_counts(logs: DataFrame, window: str = "1 hour",
+                           watermark: str = "2 hours") -> DataFrame:
+    """(window_start, window_end, severity) -> error_count, finalized once the
+    watermark passes the window end."""
+    classified = log_severity(logs).withColumn("_ts", F.col("timestamp").cast("timestamp"))
+    return (classified.withWatermark("_ts", watermark)
+            .groupBy(F.window("_ts", window), "severity")
+            .agg(F.count("*").alias("error_count"))
+            .select(F.col("window.start").alias("window_start"),
+                    F.col("window.end").alias("window_end"), "severity", "error_count"))
+
+
+def start_parquet_sink(df: DataFrame, path: str, name: str,
+                       output_mode: str = "append", trigger_seconds: int | None = None
+                       ) -> StreamingQuery:
+    """Start a Parquet sink whose checkpoint lives in the shared checkpoint folder."""
+    root = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
+    writer = (df.writeStream.format("parquet").outputMode(output_mode)
+              .option("checkpointLocation", f"{root}/streams/{name}").queryName(name))
+    if trigger_seconds:
+        writer = writer.trigger(processingTime=f"{trigger_seconds} seconds")
+    return writer.start(path)
