@@ -80,3 +80,13 @@ def test_publish_all(spark, tmp):
     assert catalog.filter(F.col("record_count") < 0).count() == 0
     rfm_parts = os.listdir(os.path.join(tmp, "curated", "rfm_analysis"))
     assert any(p.startswith("rfm_segment=") for p in rfm_parts)
+
+
+def test_save_quality_report(spark, tmp):
+    from tillroll.operators import quality
+    df = model.products(spark, SF001)
+    report = quality.quality_report(df, "products")
+    quality.save_quality_report(report, os.path.join(tmp, "dq"))
+    back = spark.read.json(os.path.join(tmp, "dq"))
+    assert back.count() == report.count()
+    assert {"dataset", "check_name", "column_name", "metric", "value", "passed"} <= set(back.columns)

@@ -3,6 +3,7 @@
 import os
 import shutil
 import tempfile
+import uuid
 
 from conftest import SF001
 from tillroll.operators import logs
@@ -31,7 +32,8 @@ def test_windowed_severity_counts(spark):
     shutil.copy(f"{SF001}/events.parquet", os.path.join(src, "part-0.parquet"))
     out = tempfile.mkdtemp(prefix="tillroll-stream-out-")
     counts = alerts.severity_window_counts(alerts.event_log_stream(spark, src), "1 day", "1 hour")
-    q = alerts.start_parquet_sink(counts, out, "severity_counts_test")
+    # A named sink resumes from its checkpoint; each test run gets a fresh name.
+    q = alerts.start_parquet_sink(counts, out, f"severity_counts_{uuid.uuid4().hex}")
     try:
         q.processAllAvailable()
     finally:

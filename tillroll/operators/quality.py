@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.exprs import ratio_pct, rnd
+from ..plans.durable import durable
 
 NUMERIC_TYPES = ("int", "bigint", "float", "double")
 STRING_TYPES = ("string", "varchar")
@@ -29,10 +30,6 @@ def _cols(df: DataFrame, kinds: tuple[str, ...]) -> list[str]:
     return [c for c, t in df.dtypes if t in kinds or t.startswith("varchar") and "varchar" in kinds]
 
 
-def _safe(c: str) -> str:
-    return "".join(ch if ch.isalnum() else "_" for ch in c)
-
-
 def _q(c: str):
     return F.col(f"`{c}`")
 
@@ -109,8 +106,11 @@ def outlier_check(df: DataFrame, dataset: str, sigma: float = rules.OUTLIER_SIGM
                   stats: DataFrame | None = None) -> DataFrame:
     """Per numeric column with a positive stddev: mean, stddev, bounds
     mean -/+ sigma*stddev (2 dp), outlier_count, outlier_percentage of
-    non-null values (2 dp). Outliers are reported, never failed."""
-    stats = stats if stats is not None else column_stats(df)
+    non-null values (2 dp). Outliers are reported, never failed.
+
+    Two passes over ``df``: the stats row (written once, then read by both the
+    bound check and the report) and the outlier count."""
+    stats = stats if stats is not None else durable(column_stats(df), "column_stats")
     nums = [(i, c) for i, c in enumerate(df.columns) if c in _cols(df, NUMERIC_TYPES)]
     schema = ("dataset string, column_name string, mean double, stddev double, "
               "lower_bound double, upper_bound double, outlier_count bigint, "
@@ -138,12 +138,18 @@ def outlier_check(df: DataFrame, dataset: str, sigma: float = rules.OUTLIER_SIGM
     return out.withColumn("passed", F.lit(True))
 
 
-def integrity_check(df: DataFrame, dataset: str) -> DataFrame:
+def integrity_check(df: DataFrame, dataset: str, stats: DataFrame | None = None) -> DataFrame:
     """Null customer_id on a table that has transaction_id and customer_id:
-    one row (dataset, null_customer_ids, passed); no row for other tables."""
+    one row (dataset, null_customer_ids, passed); no row for other tables.
+    With ``stats`` (from ``column_stats``) it reuses that pass's null count."""
     if "customer_id" not in df.columns or "transaction_id" not in df.columns:
         return _empty(df, "dataset string, null_customer_ids bigint, passed boolean")
-    return df.agg(F.count_if(F.col("customer_id").isNull()).alias("null_customer_ids")).select(
+    if stats is not None:
+        i = df.columns.index("customer_id")
+        counted = stats.select(F.col(f"_null_{i}").alias("null_customer_ids"))
+    else:
+        counted = df.agg(F.count_if(F.col("customer_id").isNull()).alias("null_customer_ids"))
+    return counted.select(
         F.lit(dataset).alias("dataset"), "null_customer_ids",
         (F.col("null_customer_ids") == 0).alias("passed"))
 
@@ -173,8 +179,13 @@ def quality_report(df: DataFrame, dataset: str, null_threshold: float = rules.NU
                    duplicate_threshold: float = rules.DUPLICATE_THRESHOLD,
                    sigma: float = rules.OUTLIER_SIGMA) -> DataFrame:
     """All checks for one table in long form:
-    dataset, check_name, column_name, metric, value (double), passed."""
-    stats = column_stats(df)
+    dataset, check_name, column_name, metric, value (double), passed.
+
+    Passes over ``df``: one for the stats row (nulls, non-null counts,
+    numeric-looking strings, mean/stddev; written once so every check reads
+    that single row instead of re-aggregating a pruned copy), one for the
+    outlier counts, one shuffle for duplicates."""
+    stats = durable(column_stats(df), "column_stats")
 
     def longf(frame, check, col_expr, metrics):
         return frame.select(F.explode(F.array(*[
@@ -193,7 +204,7 @@ def quality_report(df: DataFrame, dataset: str, null_threshold: float = rules.NU
               F.col("column_name"), ["non_null_count", "non_numeric_count"]),
         longf(outlier_check(df, dataset, sigma, stats), "outliers", F.col("column_name"),
               ["outlier_count", "outlier_percentage", "lower_bound", "upper_bound"]),
-        longf(integrity_check(df, dataset), "referential_integrity",
+        longf(integrity_check(df, dataset, stats), "referential_integrity",
               F.lit("customer_id"), ["null_customer_ids"]),
     ]
     out = parts[0]
@@ -223,3 +234,8 @@ def freshness(df: DataFrame, dataset: str, date_column: str, as_of,
 
 def _empty(df: DataFrame, schema: str) -> DataFrame:
     return df.sparkSession.createDataFrame([], schema)
+
+
+def save_quality_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write the long-form quality report as JSON lines (one file per task)."""
+    report.write.mode(mode).json(path)
