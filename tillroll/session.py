@@ -37,16 +37,19 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder of the session.
 
-    On a cluster this names a shared folder and is left untouched. Only when
-    it is unset (local tests) is a fresh scratch folder assigned.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is only
+    read. If it is unset but the SparkContext already has a checkpoint folder,
+    that one is used. Only when neither exists (local tests) is a fresh local
+    scratch folder assigned to the SparkContext.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
         return current
+    existing = spark.sparkContext.getCheckpointDir()
+    if existing:
+        return existing
     local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
-    return local
+    return spark.sparkContext.getCheckpointDir() or local
