@@ -44,15 +44,26 @@ def _rows(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN"}
+
+
 def compare(spark, name: str, fn, sql: str, sf_dir: str, con=None):
     df = fn(spark, sf_dir)
     s_cols = df.columns
+    s_types = dict(df.dtypes)
     s_rows = [tuple(r) for r in df.collect()]
     con = con or duck(sf_dir)
+    rel = con.sql(sql)
+    d_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
     d_rows = res.fetchall()
     problems = []
+    wrong = {c: (t, d_types.get(c)) for c, t in s_types.items()
+             if SPARK_TO_DUCK.get(t, t) != d_types.get(c)}
+    if wrong:
+        problems.append(f"types differ: {wrong}")
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns differ: spark-only {sorted(set(s_cols) - set(d_cols))} "
                         f"oracle-only {sorted(set(d_cols) - set(s_cols))}")

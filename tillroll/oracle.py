@@ -52,16 +52,17 @@ products AS (
 enriched AS (
   SELECT t.*, c.customer_segment, c.country, c.age_group, c.registration_date,
          p.category, p.subcategory, p.brand, p.cost,
-         year(t.transaction_date) AS year, month(t.transaction_date) AS month,
-         quarter(t.transaction_date) AS quarter,
-         dayofweek(t.transaction_date) + 1 AS day_of_week,
-         hour(t.transaction_date) AS hour,
+         CAST(year(t.transaction_date) AS INTEGER) AS year,
+         CAST(month(t.transaction_date) AS INTEGER) AS month,
+         CAST(quarter(t.transaction_date) AS INTEGER) AS quarter,
+         CAST(dayofweek(t.transaction_date) + 1 AS INTEGER) AS day_of_week,
+         CAST(hour(t.transaction_date) AS INTEGER) AS hour,
          t.total_amount - t.quantity * p.cost AS profit_amount,
          CASE WHEN t.total_amount > 0
               THEN (t.total_amount - t.quantity * p.cost) / t.total_amount * CAST(100 AS DOUBLE)
               ELSE CAST(0 AS DOUBLE) END AS profit_margin,
-         date_diff('day', CAST(c.registration_date AS DATE),
-                   CAST(t.transaction_date AS DATE)) AS customer_tenure_days
+         CAST(date_diff('day', CAST(c.registration_date AS DATE),
+                   CAST(t.transaction_date AS DATE)) AS INTEGER) AS customer_tenure_days
   FROM transactions t
   LEFT JOIN customers c ON t.customer_id = c.customer_id
   LEFT JOIN products p ON t.product_id = p.product_id
@@ -161,9 +162,9 @@ LIFETIME_CTES = [
          max(age_group) AS age_group
   FROM enriched GROUP BY customer_id)""",
     """lt1 AS (
-  SELECT p.*, date_diff('day', CAST(last_purchase_date AS DATE),
-                        CAST((SELECT max(transaction_date) FROM enriched) AS DATE)) AS days_since_last_purchase,
-         date_diff('day', CAST(first_purchase_date AS DATE), CAST(last_purchase_date AS DATE)) AS customer_lifespan_days
+  SELECT p.*, CAST(date_diff('day', CAST(last_purchase_date AS DATE),
+                        CAST((SELECT max(transaction_date) FROM enriched) AS DATE)) AS INTEGER) AS days_since_last_purchase,
+         CAST(date_diff('day', CAST(first_purchase_date AS DATE), CAST(last_purchase_date AS DATE)) AS INTEGER) AS customer_lifespan_days
   FROM per_customer p)""",
     """lt2 AS (
   SELECT lt1.*, CASE WHEN customer_lifespan_days > 0
@@ -243,7 +244,7 @@ RFM_CTES = [
   FROM enriched GROUP BY customer_id)""",
     """rfm_base AS (
   SELECT customer_id,
-         date_diff('day', CAST(last_ts AS DATE), CAST((SELECT max(transaction_date) FROM enriched) AS DATE)) AS recency,
+         CAST(date_diff('day', CAST(last_ts AS DATE), CAST((SELECT max(transaction_date) FROM enriched) AS DATE)) AS INTEGER) AS recency,
          frequency, monetary
   FROM rfm_per)""",
     """rfm_q AS (
@@ -459,7 +460,7 @@ def _nulls_select(t: str) -> str:
     parts = []
     for c, _ in STAR_COLUMNS[t]:
         parts.append(f"""SELECT '{t}' AS dataset, '{c}' AS column_name,
-       count_if({c} IS NULL) AS null_count,
+       CAST(count_if({c} IS NULL) AS BIGINT) AS null_count,
        {r(_pct(f'count_if({c} IS NULL)', 'count(*)'))} AS null_percentage FROM {t}""")
     return "\nUNION ALL ".join(parts)
 
@@ -489,7 +490,7 @@ def _strings_select(t: str) -> list[str]:
     for c, typ in STAR_COLUMNS[t]:
         if typ == "string":
             parts.append(f"""SELECT '{t}' AS dataset, '{c}' AS column_name, count({c}) AS non_null_count,
-       count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '{NUMERIC_RE}')) AS non_numeric_count
+       CAST(count_if({c} IS NOT NULL AND NOT regexp_matches({c}, '{NUMERIC_RE}')) AS BIGINT) AS non_numeric_count
 FROM {t}""")
     return parts
 
@@ -508,8 +509,8 @@ def _outlier_select(t: str) -> list[str]:
             x = D(c)
             parts.append(f"""SELECT '{t}' AS dataset, '{c}' AS column_name, s.mean, s.stddev,
        s.mean - CAST(3.0 AS DOUBLE) * s.stddev AS lo, s.mean + CAST(3.0 AS DOUBLE) * s.stddev AS hi,
-       (SELECT count_if({x} < s.mean - CAST(3.0 AS DOUBLE) * s.stddev
-                        OR {x} > s.mean + CAST(3.0 AS DOUBLE) * s.stddev) FROM {t}) AS outlier_count,
+       (SELECT CAST(count_if({x} < s.mean - CAST(3.0 AS DOUBLE) * s.stddev
+                        OR {x} > s.mean + CAST(3.0 AS DOUBLE) * s.stddev) AS BIGINT) FROM {t}) AS outlier_count,
        s.nn
 FROM (SELECT avg({x}) AS mean, stddev_samp({x}) AS stddev, count({c}) AS nn FROM {t}) s""")
     return parts
@@ -542,7 +543,7 @@ def sql_dq_report() -> str:
        {r(_pct('outlier_count', 'nn'))} AS outlier_percentage, {r('lo')} AS lower_bound,
        {r('hi')} AS upper_bound, true AS passed
 FROM ({_outliers_body()}) WHERE stddev IS NOT NULL AND stddev > 0)"""
-    ri = """dqi AS (SELECT 'transactions' AS dataset, count_if(customer_id IS NULL) AS null_customer_ids,
+    ri = """dqi AS (SELECT 'transactions' AS dataset, CAST(count_if(customer_id IS NULL) AS BIGINT) AS null_customer_ids,
        count_if(customer_id IS NULL) = 0 AS passed FROM transactions)"""
     body = "\nUNION ALL ".join([
         long("dqn", "null_values", "column_name", ["null_count", "null_percentage"]),
@@ -558,7 +559,7 @@ FROM ({_outliers_body()}) WHERE stddev IS NOT NULL AND stddev > 0)"""
 
 def _ri(child_key: str, parent: str, relation: str) -> str:
     return with_model(f"""SELECT '{relation}' AS relation, '{child_key}' AS key, count(*) AS distinct_keys,
-       count_if(p._hit IS NULL) AS orphan_keys, count_if(p._hit IS NULL) = 0 AS passed
+       CAST(count_if(p._hit IS NULL) AS BIGINT) AS orphan_keys, count_if(p._hit IS NULL) = 0 AS passed
 FROM (SELECT DISTINCT {child_key} FROM transactions) c
 LEFT JOIN (SELECT DISTINCT {child_key} AS _pk, true AS _hit FROM {parent}) p
   ON c.{child_key} IS NOT DISTINCT FROM p._pk""")
