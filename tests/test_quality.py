@@ -95,3 +95,11 @@ def test_one_scan_for_column_stats(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/customer.parquet")
     plan = quality.column_stats(df)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 1
+
+
+def test_duplicates_exact_with_negative_zero_and_nulls(spark):
+    rows = [(0.0, None, "a"), (-0.0, None, "a"), (1.5, "x", None), (1.5, "x", None), (2.0, "y", "b")]
+    df = spark.createDataFrame(rows, "v double, s string, t string")
+    want_unique = df.distinct().count()
+    dup = quality.duplicate_check(df, "t").first()
+    assert dup["total_rows"] == 5 and dup["unique_rows"] == want_unique == 3
