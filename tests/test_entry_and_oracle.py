@@ -40,3 +40,16 @@ def test_volume_fixture_groups(spark):
         (F.lit(100.0) + F.col("id") % 500 - (F.col("id") % 50).cast("double")).alias("total_amount"))
     g = df.groupBy("customer_id").agg(F.sum("total_amount").alias("s"), F.count("*").alias("n"))
     assert g.count() == 1000 and g.filter("n != 10").count() == 0
+
+
+@pytest.mark.parametrize("name", ["enriched_transactions", "cohort_retention", "freshness",
+                                  "log_trend", "customer_lifetime"])
+def test_time_zone_independent(spark, con, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        problems = compare(spark, name, entry.queries()[name], entry.oracle_sql()[name],
+                           ORACLE_SF, con)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert not problems, problems

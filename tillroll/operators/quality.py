@@ -270,12 +270,14 @@ def freshness(df: DataFrame, dataset: str, date_column: str, as_of,
               max_age_hours: float = 24.0) -> DataFrame:
     """One row: latest value, hours_old against ``as_of``, is_fresh
     (a table with no values is not fresh)."""
-    latest = df.agg(F.max(date_column).alias("latest"))
-    asof = F.lit(as_of).cast("timestamp") if isinstance(as_of, str) else F.lit(as_of)
-    hours = (F.unix_micros(asof) - F.unix_micros(F.col("latest").cast("timestamp"))) / F.lit(3.6e9)
+    # Wall-clock arithmetic on TIMESTAMP_NTZ: the result does not depend on the
+    # session time zone or on daylight-saving offsets between the two instants.
+    latest = df.agg(F.max(date_column).cast("timestamp_ntz").alias("latest"))
+    asof = F.lit(as_of).cast("timestamp_ntz")
+    hours = F.timestamp_diff("MICROSECOND", F.col("latest"), asof) / F.lit(3.6e9)
     return latest.select(
         F.lit(dataset).alias("dataset"), F.lit(date_column).alias("column_name"),
-        F.col("latest").cast("timestamp_ntz").alias("latest"),
+        F.col("latest"),
         hours.alias("hours_old"),
         F.coalesce(hours <= F.lit(float(max_age_hours)), F.lit(False)).alias("is_fresh"))
 
