@@ -61,3 +61,23 @@ def money_sum(c: Column | str) -> Column:
 def money_avg(c: Column | str) -> Column:
     col = F.col(c) if isinstance(c, str) else c
     return F.try_divide(money_sum(col), F.count(col).cast("double"))
+
+
+def lit_value(v) -> Column:
+    """A literal for a value read from a one-row aggregate. Datetimes go through
+    their ISO text into TIMESTAMP_NTZ, so no time zone is applied; lists
+    become typed arrays; None stays a null literal."""
+    import datetime as _dt
+
+    if v is None:
+        return F.lit(None)
+    if isinstance(v, _dt.datetime):
+        return F.lit(v.replace(tzinfo=None).isoformat(sep=" ")).cast("timestamp_ntz")
+    if isinstance(v, (list, tuple)):
+        return F.array(*[lit_value(x) for x in v])
+    return F.lit(v)
+
+
+def one_row(df):
+    """Read a one-row aggregate (a handful of scalars) on the driver."""
+    return df.first()

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import money_sum
+from ..functions.exprs import money_sum, one_row
 from ..plans.durable import durable
 
 BASKET = ("customer_id", "transaction_date")
@@ -75,8 +75,9 @@ def basket_pairs(enriched: DataFrame, min_support: float = 0.01, item_col: str =
              .groupBy(*BASKET, "item").agg(F.sum("_rows").alias("item_count")))
     if distinct_items:
         items = items.withColumn("item_count", F.lit(1).cast("long"))
-    total = F.broadcast(grouped.groupBy(*BASKET).agg(F.lit(1).alias("_one"))
-                        .agg(F.count("*").alias("_baskets")))
+    # All baskets (single-item ones included), counted once over the written table.
+    total = F.lit(one_row(grouped.groupBy(*BASKET).agg(F.lit(1).alias("_one"))
+                          .select(F.count("*")))[0])
     stats = items.groupBy(*BASKET).agg(F.count("*").alias("_n_items"),
                                        F.max("item_count").alias("_max_mult"))
     multi = (items.join(stats.filter(F.col("_n_items") >= 2), list(BASKET), "inner")
@@ -84,9 +85,7 @@ def basket_pairs(enriched: DataFrame, min_support: float = 0.01, item_col: str =
     # Exact Apriori bound: pair_count(a, b) <= sum(mult_a * max multiplicity).
     bound = multi.groupBy("item").agg(
         F.sum(F.col("item_count") * F.col("_max_mult")).alias("_bound"))
-    keep = (bound.crossJoin(total)
-            .filter(F.col("_bound") / F.col("_baskets") >= F.lit(min_support))
-            .select("item"))
+    keep = bound.filter(F.col("_bound") / total >= F.lit(min_support)).select("item")
     cand = multi.join(keep, "item", "left_semi").select(*BASKET, "item", "item_count")
     left = cand.select(*BASKET, F.col("item").alias("product_1"), F.col("item_count").alias("_c1"))
     right = cand.select(*BASKET, F.col("item").alias("product_2"), F.col("item_count").alias("_c2"))
@@ -94,9 +93,8 @@ def basket_pairs(enriched: DataFrame, min_support: float = 0.01, item_col: str =
              .filter(F.col("product_1") < F.col("product_2"))
              .groupBy("product_1", "product_2")
              .agg(F.sum(F.col("_c1") * F.col("_c2")).alias("pair_count")))
-    out = (pairs.crossJoin(total)
-           .withColumn("support", F.col("pair_count") / F.col("_baskets"))
-           .filter(F.col("support") >= F.lit(min_support)).drop("_baskets"))
+    out = (pairs.withColumn("support", F.col("pair_count") / total)
+           .filter(F.col("support") >= F.lit(min_support)))
     if with_info:
         info = grouped.filter(F.col("item").isNotNull()).select("item", *info_cols).distinct()
         i1 = info.select(F.col("item").alias("product_1"),

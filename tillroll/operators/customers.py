@@ -3,9 +3,9 @@
 The per-customer table is one hash aggregation (partial on the map side, so
 a customer holding a large share of rows is collapsed before the shuffle;
 the two distinct counts are expanded by Catalyst and spread by item).
-Global values (the as-of date, CLV cut points) are one-row aggregates kept
-inside the plan and attached with a broadcast of that single row: no driver
-round trip, no literal baked in at plan time.
+Global values (the as-of date, CLV cut points) are one-row aggregates over the
+small per-customer table, read once (a few scalars) and used as literals: one
+cheap job each, then a plan without joins.
 """
 
 from __future__ import annotations
@@ -16,20 +16,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.exprs import money_avg, money_sum
+from ..functions.exprs import lit_value, money_avg, money_sum, one_row
 from ..plans.durable import durable
 
 ATTRIBUTES = ("customer_segment", "country", "age_group")
 
 
-def _as_of_row(per_customer: DataFrame, as_of) -> DataFrame:
-    """One-row frame holding the as-of date. The default, the latest
-    transaction, is the max over the per-customer table: the fact table is
-    not scanned a second time."""
+def _as_of(per_customer: DataFrame, as_of):
+    """The as-of date as a Column. The default, the latest transaction, is the
+    max over the per-customer table (the fact is not re-read)."""
     if as_of is None:
-        return per_customer.agg(F.max("last_purchase_date").alias("_as_of"))
+        return lit_value(one_row(per_customer.select(F.max("last_purchase_date")))[0])
     if isinstance(as_of, (_dt.date, _dt.datetime, str)):
-        return per_customer.sparkSession.range(1).select(F.lit(as_of).alias("_as_of"))
+        return F.lit(as_of)
     raise TypeError("as_of must be None, a date/datetime or an ISO string")
 
 
@@ -65,10 +64,11 @@ def customer_lifetime(enriched: DataFrame, as_of=None,
     if materialize:
         per_customer = durable(per_customer, "customer_lifetime")
     lifespan = F.datediff(F.col("last_purchase_date"), F.col("first_purchase_date"))
-    out = per_customer.crossJoin(F.broadcast(_as_of_row(per_customer, as_of))).withColumns({
-        "days_since_last_purchase": F.datediff(F.col("_as_of"), F.col("last_purchase_date")),
+    out = per_customer.withColumns({
+        "days_since_last_purchase": F.datediff(_as_of(per_customer, as_of),
+                                               F.col("last_purchase_date")),
         "customer_lifespan_days": lifespan,
-    }).drop("_as_of")
+    })
     frequency = F.when(F.col("customer_lifespan_days") > 0,
                        F.col("total_orders") / (F.col("customer_lifespan_days") / F.lit(30.0))
                        ).otherwise(F.col("total_orders").cast("double"))
@@ -97,11 +97,10 @@ def clv_segments(lifetime: DataFrame, accuracy: int = 10000, materialize: bool =
     lifetime table that is still an unmaterialized plan."""
     if materialize:
         lifetime = durable(lifetime, "customer_lifetime")
-    cuts = F.broadcast(clv_cut_points(lifetime, accuracy))
-    seg = rules.clv_segment(F.col("estimated_clv"), F.col("clv_p80"), F.col("clv_p60"),
-                            F.col("clv_p40"))
-    return (lifetime.crossJoin(cuts).withColumn("clv_segment", seg)
-            .drop("clv_p80", "clv_p60", "clv_p40"))
+    cuts = one_row(clv_cut_points(lifetime, accuracy))
+    seg = rules.clv_segment(F.col("estimated_clv"), lit_value(cuts["clv_p80"]),
+                            lit_value(cuts["clv_p60"]), lit_value(cuts["clv_p40"]))
+    return lifetime.withColumn("clv_segment", seg)
 
 
 def churn_indicators(customer_metrics: DataFrame) -> DataFrame:

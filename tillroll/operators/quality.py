@@ -4,7 +4,7 @@
   counts, numeric-looking string counts, and mean / sample stddev of numeric
   columns (the per-column jobs of a naive checker become one wide ``agg``).
 * One pass counts z-score outliers against the bounds of that one stats row
-  (broadcast: one row).
+  (a few numbers per column, read once and used as literals).
 * The duplicate check shuffles a 12-byte row fingerprint, not the rows, and
   groups only the rows whose fingerprint repeats by all columns (exact).
 
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.exprs import ratio_pct, rnd
+from ..functions.exprs import lit_value, one_row, ratio_pct, rnd
 from ..plans.durable import durable
 
 NUMERIC_TYPES = ("int", "bigint", "float", "double")
@@ -160,24 +160,27 @@ def outlier_check(df: DataFrame, dataset: str, sigma: float = rules.OUTLIER_SIGM
               "outlier_percentage double, passed boolean")
     if not nums:
         return _empty(df, schema)
-    bounds = stats.select(*[
-        c for i, _ in nums for c in (
-            F.col(f"_nn_{i}"), F.col(f"_mean_{i}"), F.col(f"_sd_{i}"),
-            (F.col(f"_mean_{i}") - F.lit(sigma) * F.col(f"_sd_{i}")).alias(f"_lo_{i}"),
-            (F.col(f"_mean_{i}") + F.lit(sigma) * F.col(f"_sd_{i}")).alias(f"_hi_{i}"))])
-    counted = df.crossJoin(F.broadcast(bounds)).agg(
-        *[F.count_if((_q(c).cast("double") < F.col(f"_lo_{i}"))
-                     | (_q(c).cast("double") > F.col(f"_hi_{i}"))).alias(f"_out_{i}")
+    # The stats row (a few numbers per column), read once; bounds are literals.
+    row = one_row(stats.select(*[
+        e for i, _ in nums for e in (
+            F.col(f"_nn_{i}").alias(f"nn_{i}"), F.col(f"_mean_{i}").alias(f"mean_{i}"),
+            F.col(f"_sd_{i}").alias(f"sd_{i}"),
+            (F.col(f"_mean_{i}") - F.lit(sigma) * F.col(f"_sd_{i}")).alias(f"lo_{i}"),
+            (F.col(f"_mean_{i}") + F.lit(sigma) * F.col(f"_sd_{i}")).alias(f"hi_{i}"))]))
+    b = {k: lit_value(row[k]).cast("double") if not k.startswith("nn_") else
+         lit_value(row[k]).cast("long") for k in row.asDict()}
+    counted = df.agg(
+        *[F.count_if((_q(c).cast("double") < b[f"lo_{i}"])
+                     | (_q(c).cast("double") > b[f"hi_{i}"])).alias(f"_out_{i}")
           for i, c in nums])
-    both = counted.crossJoin(bounds)
     rows = [F.struct(
         F.lit(dataset).alias("dataset"), F.lit(c).alias("column_name"),
-        F.col(f"_mean_{i}").alias("mean"), F.col(f"_sd_{i}").alias("stddev"),
-        rnd(F.col(f"_lo_{i}"), 2).alias("lower_bound"), rnd(F.col(f"_hi_{i}"), 2).alias("upper_bound"),
+        b[f"mean_{i}"].alias("mean"), b[f"sd_{i}"].alias("stddev"),
+        rnd(b[f"lo_{i}"], 2).alias("lower_bound"), rnd(b[f"hi_{i}"], 2).alias("upper_bound"),
         F.col(f"_out_{i}").alias("outlier_count"),
-        rnd(ratio_pct(F.col(f"_out_{i}"), F.col(f"_nn_{i}")), 2).alias("outlier_percentage"))
+        rnd(ratio_pct(F.col(f"_out_{i}"), b[f"nn_{i}"]), 2).alias("outlier_percentage"))
         for i, c in nums]
-    out = _unpivot(both, rows).filter(F.col("stddev").isNotNull() & (F.col("stddev") > 0))
+    out = _unpivot(counted, rows).filter(F.col("stddev").isNotNull() & (F.col("stddev") > 0))
     return out.withColumn("passed", F.lit(True))
 
 

@@ -1,8 +1,8 @@
 """RFM analysis: recency / frequency / monetary, quintile scores, segments.
 
-Plan: one per-customer aggregation; the global max date and the twelve
-quintile cut points are one-row aggregates joined back by broadcast of that
-single row. percentile_approx is a mergeable sketch (bounded memory per task,
+Plan: one per-customer aggregation (written once); the global max date and
+the twelve quintile cut points are one-row aggregates over that small table,
+read once and used as literals (no join). percentile_approx is a mergeable sketch (bounded memory per task,
 partial aggregation), so no task ever holds all customers.
 """
 
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.exprs import money_sum
+from ..functions.exprs import lit_value, money_sum, one_row
 from ..plans.durable import durable
 
 QUINTILES = [0.2, 0.4, 0.6, 0.8]
@@ -33,10 +33,10 @@ def rfm_base(enriched: DataFrame, materialize: bool = True) -> DataFrame:
     if materialize:
         per_customer = durable(per_customer, "rfm_customers")
     # Latest date overall = max of the per-customer maxima (no second fact scan).
-    latest = F.broadcast(per_customer.agg(F.max("_last").alias("_max_date")))
-    return per_customer.crossJoin(latest).select(
+    latest = lit_value(one_row(per_customer.select(F.max("_last")))[0])
+    return per_customer.select(
         "customer_id",
-        F.datediff(F.col("_max_date"), F.col("_last")).alias("recency"),
+        F.datediff(latest, F.col("_last")).alias("recency"),
         "frequency", "monetary",
     )
 
@@ -60,12 +60,13 @@ def rfm_quintiles_long(base: DataFrame, accuracy: int = 10000) -> DataFrame:
 
 def rfm_segments(base: DataFrame, accuracy: int = 10000) -> DataFrame:
     """Scores 1-5, segment, rfm_score string and recommended action."""
-    q = F.broadcast(rfm_quintiles(base, accuracy))
-    scored = base.crossJoin(q).withColumns({
-        "r_score": rules.score_low_is_good(F.col("recency"), F.col("recency_quintiles")),
-        "f_score": rules.score_high_is_good(F.col("frequency"), F.col("frequency_quintiles")),
-        "m_score": rules.score_high_is_good(F.col("monetary"), F.col("monetary_quintiles")),
-    }).drop(*[f"{d}_quintiles" for d in DIMENSIONS])
+    row = one_row(rfm_quintiles(base, accuracy))
+    q = {d: lit_value(row[f"{d}_quintiles"]) for d in DIMENSIONS}
+    scored = base.withColumns({
+        "r_score": rules.score_low_is_good(F.col("recency"), q["recency"]),
+        "f_score": rules.score_high_is_good(F.col("frequency"), q["frequency"]),
+        "m_score": rules.score_high_is_good(F.col("monetary"), q["monetary"]),
+    })
     seg = scored.withColumn("rfm_segment", rules.rfm_segment(F.col("r_score"), F.col("f_score"),
                                                              F.col("m_score")))
     seg = seg.withColumn("rfm_score", F.concat(F.col("r_score").cast("string"),
