@@ -29,3 +29,26 @@ def test_dimension_join_not_hinted(spark):
     # Broadcast is left to AQE's runtime size check, except for the 25-row nation table.
     plan = model.customers(spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in plan and plan.count("strategy=broadcast") == 1
+
+
+def test_model_enriched_equals_generic_enrich(spark):
+    from tillroll.operators.enrich import enrich
+    s = model.star(spark, SF001)
+    generic = enrich(s["transactions"], s["customers"], s["products"])
+    planned = model.enriched(spark, SF001)
+    assert planned.columns == generic.columns
+    assert planned.dtypes == generic.dtypes
+    assert planned.exceptAll(generic).count() == 0 and generic.exceptAll(planned).count() == 0
+
+
+def test_customer_join_at_order_grain(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = model.enriched(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # the customer join's fact side is the orders scan, not line items
+    cust_join = plan[plan.index("SortMergeJoin [o_custkey"):]
+    assert "FileScan parquet [o_orderkey" in cust_join.split("SortMergeJoin")[1]

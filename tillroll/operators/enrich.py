@@ -31,6 +31,13 @@ def enrich(transactions: DataFrame, customers: DataFrame, products: DataFrame,
     cust = customers.select("customer_id", *customer_attrs)
     prod = products.select("product_id", *product_attrs)
     j = fact.join(cust, "customer_id", "left").join(prod, "product_id", "left")
+    return derive(j, list(transactions.columns), customer_attrs, product_attrs)
+
+
+def derive(j: DataFrame, transaction_cols: list[str],
+           customer_attrs: tuple[str, ...] = CUSTOMER_ATTRS,
+           product_attrs: tuple[str, ...] = PRODUCT_ATTRS) -> DataFrame:
+    """Calendar parts, profit, margin and tenure on joined rows; natural order."""
     ts = F.col("transaction_date")
     profit = F.col("total_amount") - F.col("quantity") * F.col("cost")
     derived = {
@@ -48,6 +55,5 @@ def enrich(transactions: DataFrame, customers: DataFrame, products: DataFrame,
         derived["customer_tenure_days"] = F.datediff(ts, F.col("registration_date"))
     out = j.withColumns(derived)
     # Restore the natural column order: transaction, customer, product, derived.
-    order = (list(transactions.columns) + list(customer_attrs) + list(product_attrs)
-             + list(derived))
+    order = list(transaction_cols) + list(customer_attrs) + list(product_attrs) + list(derived)
     return out.select(*order)

@@ -43,8 +43,8 @@ def publishable(df: DataFrame, digits: int = 2, overrides: dict[str, int] | None
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = model.star(spark, sf_dir)
-    return enrich(s["transactions"], s["customers"], s["products"])
+    """The enriched star (customer join at order grain, see ``model.enriched``)."""
+    return model.enriched(spark, sf_dir)
 
 
 def _union_all(frames):
