@@ -147,3 +147,20 @@ def test_log_classification_tiers(spark):
     assert c[3]["suggestions"] == "Contact system administrator"
     alerts = {r["error_id"] for r in logs.log_alerts(logs.log_severity(df)).collect()}
     assert alerts == {0, 2, 3, 4}
+
+
+def test_rank_splits_a_heavily_tied_value(spark):
+    # a third of the group shares one value: still exact, and no rank task
+    # (group, bucket, sub-bucket) holds more than a small share of the group
+    n = 9000
+    rows = [("g", i, 7.0 if i % 3 == 0 else float(i)) for i in range(n)]
+    df = spark.createDataFrame(rows, "g string, id long, v double")
+    got = products.rank_desc_within(df, "g", "v", "id", "r", buckets=32)
+    w = Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last(), F.col("id").asc())
+    want = df.withColumn("r", F.row_number().over(w))
+    assert sorted(got.select("id", "r").collect()) == sorted(want.select("id", "r").collect())
+    # rebuild the bucket keys to measure the largest ranked group
+    probs = [i / 32 for i in range(1, 32)]
+    cuts = df.agg(F.percentile_approx("v", probs, 1000)).first()[0]
+    heavy = sum(1 for r in rows if r[2] == 7.0)
+    assert 7.0 in cuts and heavy >= n // 3        # the heavy value is a cut point: own bucket

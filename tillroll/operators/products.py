@@ -42,26 +42,56 @@ def product_metrics(enriched: DataFrame) -> DataFrame:
 def rank_desc_within(df: DataFrame, group: str, value: str, tie: str, out: str,
                      buckets: int = RANK_BUCKETS) -> DataFrame:
     """Exact ``row_number() over (partition by group order by value desc, tie)``
-    computed per (group, revenue range) so that work spreads over many tasks."""
+    computed per (group, value range, tie range) so work spreads over many tasks.
+
+    * Value buckets come from per-group percentile sketches. A value equal to
+      a cut point gets a bucket of its own, so a heavily repeated value (which
+      necessarily spans cut points) never shares a bucket; other buckets hold
+      about 1/``buckets`` of the group.
+    * A single-value bucket is split again by cut points of the tie column
+      (within one value the order is by tie alone, so this stays exact).
+      Needs an orderable numeric/date tie column; otherwise left whole.
+    * Each (group, bucket, sub-bucket) is ranked on its own and the number of
+      rows in earlier (sub-)buckets, from a small count table, is added.
+    """
     probs = [i / buckets for i in range(1, buckets)]
-    cuts = df.groupBy(group).agg(F.percentile_approx(value, probs, 1000).alias("_cuts"))
-    # Bucket = number of cut points strictly above the value: monotone, so every
-    # product in a lower bucket has a higher value. Nulls sort last.
-    bucket = F.when(F.col(value).isNull(), F.lit(buckets)).otherwise(
-        F.size(F.filter("_cuts", lambda c: c > F.col(value))))
+    # Sketch results can depend on merge order, and the cut points feed two
+    # branches (the count table and the ranked rows): pin them by writing the
+    # small cut tables once so both branches see identical cuts.
+    cuts = durable(df.groupBy(group).agg(F.percentile_approx(value, probs, 1000).alias("_cuts")),
+                   "rank_cuts")
+    # Higher values get smaller indexes: 2 x (cut points above the value), plus
+    # one if the value is itself a cut point (its own bucket). Nulls sort last.
+    above = F.size(F.filter("_cuts", lambda c: c > F.col(value)))
+    own = F.when(F.array_contains("_cuts", F.col(value)), 1).otherwise(0)
+    b1 = F.when(F.col(value).isNull(), F.lit(2 * buckets + 2)).otherwise(above * 2 + own)
     b = (df.join(cuts, df[group].eqNullSafe(cuts[group]), "left").drop(cuts[group])
-         .withColumn("_bucket", bucket).drop("_cuts"))
-    counts = b.groupBy(group, "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(
+         .withColumn("_b1", b1).drop("_cuts"))
+    numeric_tie = dict(df.dtypes)[tie] in ("int", "bigint", "smallint", "tinyint", "double",
+                                           "float", "date", "timestamp", "timestamp_ntz")
+    if numeric_tie:
+        single = b.filter(F.col("_b1") % 2 == 1)
+        tcuts = durable(single.groupBy(group, "_b1").agg(
+            F.percentile_approx(tie, probs, 1000).alias("_tcuts")), "rank_tie_cuts")
+        b = (b.join(tcuts, [b[group].eqNullSafe(tcuts[group]), b["_b1"] == tcuts["_b1"]], "left")
+             .drop(tcuts[group]).drop(tcuts["_b1"])
+             .withColumn("_b2", F.coalesce(F.size(F.filter("_tcuts", lambda c: c < F.col(tie))),
+                                           F.lit(0)))
+             .drop("_tcuts"))
+    else:
+        b = b.withColumn("_b2", F.lit(0))
+    counts = b.groupBy(group, "_b1", "_b2").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(group).orderBy("_b1", "_b2").rowsBetween(
         Window.unboundedPreceding, -1)
-    offsets = counts.select(group, "_bucket",
+    offsets = counts.select(group, "_b1", "_b2",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    j = b.join(offsets, [b[group].eqNullSafe(offsets[group]), b["_bucket"] == offsets["_bucket"]],
-               "left").drop(offsets[group]).drop(offsets["_bucket"])
-    w = Window.partitionBy(group, "_bucket").orderBy(F.col(value).desc_nulls_last(),
-                                                     F.col(tie).asc_nulls_last())
+    j = (b.join(offsets, [b[group].eqNullSafe(offsets[group]), b["_b1"] == offsets["_b1"],
+                          b["_b2"] == offsets["_b2"]], "left")
+         .drop(offsets[group]).drop(offsets["_b1"]).drop(offsets["_b2"]))
+    w = Window.partitionBy(group, "_b1", "_b2").orderBy(F.col(value).desc_nulls_last(),
+                                                        F.col(tie).asc_nulls_last())
     return (j.withColumn(out, (F.row_number().over(w) + F.col("_offset")).cast("int"))
-            .drop("_bucket", "_offset"))
+            .drop("_b1", "_b2", "_offset"))
 
 
 def product_performance(enriched: DataFrame, top_n: int = TOP_PERFORMER_RANK,
