@@ -41,8 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is only
     read. If it is unset but the SparkContext already has a checkpoint folder,
-    that one is used. Only when neither exists (local tests) is a fresh local
-    scratch folder assigned to the SparkContext.
+    that one is used. Only when neither exists and the master is local (tests)
+    is a fresh scratch folder assigned; on a cluster that is an error.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
@@ -50,6 +50,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage "
+                           "that every executor can write (a machine-local folder would not "
+                           "survive an executor loss)")
     local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return spark.sparkContext.getCheckpointDir() or local
