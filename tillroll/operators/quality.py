@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.exprs import lit_value, one_row, ratio_pct, rnd
-from ..plans.durable import durable
 
 NUMERIC_TYPES = ("int", "bigint", "float", "double")
 STRING_TYPES = ("string", "varchar")
@@ -50,6 +49,16 @@ def column_stats(df: DataFrame) -> DataFrame:
     return df.agg(*aggs)
 
 
+def stats_row(df: DataFrame) -> DataFrame:
+    """Run the one stats pass and return its single row as a literal one-row
+    DataFrame with the same columns and types (a few numbers per column), so
+    every check reads it without another pass over ``df``."""
+    stats = column_stats(df)
+    row = one_row(stats)
+    return df.sparkSession.range(1).select(
+        *[lit_value(row[f.name]).cast(f.dataType).alias(f.name) for f in stats.schema.fields])
+
+
 def _unpivot(stats: DataFrame, rows: list) -> DataFrame:
     return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
@@ -151,9 +160,8 @@ def outlier_check(df: DataFrame, dataset: str, sigma: float = rules.OUTLIER_SIGM
     mean -/+ sigma*stddev (2 dp), outlier_count, outlier_percentage of
     non-null values (2 dp). Outliers are reported, never failed.
 
-    Two passes over ``df``: the stats row (written once, then read by both the
-    bound check and the report) and the outlier count."""
-    stats = stats if stats is not None else durable(column_stats(df), "column_stats")
+    Two passes over ``df``: the stats row (read once) and the outlier count."""
+    stats = stats if stats is not None else stats_row(df)
     nums = [(i, c) for i, c in enumerate(df.columns) if c in _cols(df, NUMERIC_TYPES)]
     schema = ("dataset string, column_name string, mean double, stddev double, "
               "lower_bound double, upper_bound double, outlier_count bigint, "
@@ -233,10 +241,10 @@ def quality_report(df: DataFrame, dataset: str, null_threshold: float = rules.NU
     dataset, check_name, column_name, metric, value (double), passed.
 
     Passes over ``df``: one for the stats row (nulls, non-null counts,
-    numeric-looking strings, mean/stddev; written once so every check reads
-    that single row instead of re-aggregating a pruned copy), one for the
-    outlier counts, one shuffle for duplicates."""
-    stats = durable(column_stats(df), "column_stats")
+    numeric-looking strings, mean/stddev; read once, so every check uses that
+    single row instead of re-aggregating a pruned copy), one for the outlier
+    counts, and the fingerprint count for duplicates."""
+    stats = stats_row(df)
 
     def longf(frame, check, col_expr, metrics):
         return frame.select(F.explode(F.array(*[

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from .functions.exprs import rnd
 from .operators import baskets as bk
 from .operators import cohorts, customers, logs, products, quality, rfm, summary, timeseries
-from .operators.enrich import enrich
 from .plans.publish import PUBLISH_PLAN, dataset_profile
 from .sources import model
 
@@ -201,7 +200,7 @@ def q_dataset_profile(spark, sf_dir):
     published (schema_json is left out of the compared columns)."""
     s = model.star(spark, sf_dir)
     frames = dict(s)
-    frames["enriched_transactions"] = enrich(s["transactions"], s["customers"], s["products"])
+    frames["enriched_transactions"] = model.enriched(spark, sf_dir)
     parts = []
     for name, df in frames.items():
         zone, cols = PUBLISH_PLAN.get(name, ("raw", None))
