@@ -52,3 +52,8 @@ def test_customer_join_at_order_grain(spark):
     # the customer join's fact side is the orders scan, not line items
     cust_join = plan[plan.index("SortMergeJoin [o_custkey"):]
     assert "FileScan parquet [o_orderkey" in cust_join.split("SortMergeJoin")[1]
+
+
+def test_completed_filter_pushed_to_orders_scan(spark):
+    plan = model.enriched(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(o_orderstatus,F)" in plan or "In(o_orderstatus, [F])" in plan
