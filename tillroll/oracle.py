@@ -11,8 +11,9 @@ from __future__ import annotations
 
 
 def r(expr: str, digits: int = 2) -> str:
+    # "+ 0.0" turns a rounded -0.0 into 0.0, as Spark's decimal rounding does.
     s = f"1{'0' * digits}.0"
-    return f"round(({expr}) * {s}) / {s}"
+    return f"(round(({expr}) * {s}) / {s} + CAST(0 AS DOUBLE))"
 
 
 def msum(expr: str) -> str:
