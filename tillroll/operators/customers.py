@@ -88,18 +88,26 @@ def clv_cut_points(lifetime: DataFrame, accuracy: int = 10000) -> DataFrame:
         F.col("_q")[2].alias("clv_p40"))
 
 
-def clv_segments(lifetime: DataFrame, accuracy: int = 10000, materialize: bool = False) -> DataFrame:
+def clv_segments(lifetime: DataFrame, accuracy: int = 10000, materialize: bool = False,
+                 exact: bool = False) -> DataFrame:
     """Add clv_segment from global CLV percentiles (Champions ... New Customers).
 
     The lifetime table feeds both the cut points and the scored rows. From
     ``customer_lifetime`` it already reads a durable per-customer table, so
     both branches re-read those files; pass ``materialize=True`` for a
-    lifetime table that is still an unmaterialized plan."""
+    lifetime table that is still an unmaterialized plan. ``exact=True`` uses
+    exact discrete percentiles (``operators.quantiles``) instead of the sketch."""
     if materialize:
         lifetime = durable(lifetime, "customer_lifetime")
-    cuts = one_row(clv_cut_points(lifetime, accuracy))
-    seg = rules.clv_segment(F.col("estimated_clv"), lit_value(cuts["clv_p80"]),
-                            lit_value(cuts["clv_p60"]), lit_value(cuts["clv_p40"]))
+    if exact:
+        from .quantiles import exact_percentiles
+        p80, p60, p40 = exact_percentiles(lifetime, "estimated_clv", [0.8, 0.6, 0.4],
+                                          accuracy=accuracy)
+    else:
+        cuts = one_row(clv_cut_points(lifetime, accuracy))
+        p80, p60, p40 = cuts["clv_p80"], cuts["clv_p60"], cuts["clv_p40"]
+    seg = rules.clv_segment(F.col("estimated_clv"), lit_value(p80), lit_value(p60),
+                            lit_value(p40))
     return lifetime.withColumn("clv_segment", seg)
 
 

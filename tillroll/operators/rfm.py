@@ -58,10 +58,16 @@ def rfm_quintiles_long(base: DataFrame, accuracy: int = 10000) -> DataFrame:
     return q.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
-def rfm_segments(base: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Scores 1-5, segment, rfm_score string and recommended action."""
-    row = one_row(rfm_quintiles(base, accuracy))
-    q = {d: lit_value(row[f"{d}_quintiles"]) for d in DIMENSIONS}
+def rfm_segments(base: DataFrame, accuracy: int = 10000, exact: bool = False) -> DataFrame:
+    """Scores 1-5, segment, rfm_score string and recommended action.
+    ``exact=True`` scores against exact discrete quintiles (``operators.quantiles``)."""
+    if exact:
+        from .quantiles import exact_percentiles
+        q = {d: lit_value(exact_percentiles(base, d, QUINTILES, accuracy=accuracy))
+             for d in DIMENSIONS}
+    else:
+        row = one_row(rfm_quintiles(base, accuracy))
+        q = {d: lit_value(row[f"{d}_quintiles"]) for d in DIMENSIONS}
     scored = base.withColumns({
         "r_score": rules.score_low_is_good(F.col("recency"), q["recency"]),
         "f_score": rules.score_high_is_good(F.col("frequency"), q["frequency"]),
