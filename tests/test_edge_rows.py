@@ -164,3 +164,34 @@ def test_rank_splits_a_heavily_tied_value(spark):
     cuts = df.agg(F.percentile_approx("v", probs, 1000)).first()[0]
     heavy = sum(1 for r in rows if r[2] == 7.0)
     assert 7.0 in cuts and heavy >= n // 3        # the heavy value is a cut point: own bucket
+
+
+@pytest.mark.parametrize("max_items", [2, 4, 1000])
+def test_basket_pairs_big_basket_paths(spark, max_items):
+    # one hot basket holding a third of the rows plus many small ones; small
+    # max_items forces the big-basket paths (lookups, r-filtered enumeration)
+    rnd = random.Random(11)
+    rows = [("hot", 0, f"p{i % 15}", 1.0) for i in range(300)]
+    for b in range(1, 300):
+        for _ in range(rnd.choice([1, 2, 3, 4, 6])):
+            rows.append((f"c{b % 50}", b, f"p{rnd.randint(0, 14)}", 1.0))
+    for b in range(300, 304):                     # a few more big baskets
+        for i in range(8):
+            rows.append(("big", b, f"p{(i * 3 + b) % 15}", 1.0))
+    df = spark.createDataFrame(rows, "customer_id string, b int, product_id string, total_amount double")
+    df = (df.withColumn("transaction_date", F.timestamp_seconds(F.col("b") * 86400))
+          .withColumn("category", F.lit("c")).withColumn("brand", F.lit("x")))
+    baskets_ = {}
+    for c, b, p, _ in rows:
+        baskets_.setdefault((c, b), []).append(p)
+    counts = Counter()
+    for items in baskets_.values():
+        for a, bb in itertools.combinations(items, 2):
+            if a != bb:
+                counts[tuple(sorted((a, bb)))] += 1
+    total = len(baskets_)
+    for min_support in (0.0, 0.02, 0.1, 0.5):
+        want = {k: v for k, v in counts.items() if v / total >= min_support}
+        got = {(r["product_1"], r["product_2"]): r["pair_count"]
+               for r in baskets.basket_pairs(df, min_support, max_items=max_items).collect()}
+        assert got == want, (max_items, min_support)

@@ -23,6 +23,8 @@ Scale plan:
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,6 +32,62 @@ from ..functions.exprs import money_sum, one_row
 from ..plans.durable import durable
 
 BASKET = ("customer_id", "transaction_date")
+# Baskets with more candidate items than this are "big": their pairs are not
+# enumerated basket by basket (see ``_pair_counts``).
+MAX_ENUMERATED_ITEMS = 1000
+
+
+def _pair_counts(cand: DataFrame, total_baskets: int, min_support: float,
+                 max_items: int, big_rows: int, big_max_mult: int | None) -> DataFrame:
+    """Exact pair_count (sum of mult_a * mult_b over baskets, a < b) for every
+    pair that can reach ``min_support``, without enumerating all pairs of a
+    big basket.
+
+    * Small baskets (at most ``max_items`` items, ``_n_items``) enumerate their
+      pairs: at most max_items^2 / 2 per basket.
+    * Big baskets add their contribution to those pairs by lookup joins
+      (pair x big baskets holding its first item).
+    * A pair seen only in big baskets has count <= k * m^2 if it is in k of
+      them (m = largest multiplicity there). With r the least k that can reach
+      min_support, only items found in at least r big baskets are paired
+      inside big baskets. One hot basket (r >= 2) is then never enumerated.
+    """
+    small = cand.filter(F.col("_n_items") <= max_items).drop("_n_items")
+    big = cand.filter(F.col("_n_items") > max_items).drop("_n_items")
+
+    def enumerate_pairs(rows: DataFrame) -> DataFrame:
+        left = rows.select(*BASKET, F.col("item").alias("product_1"), F.col("item_count").alias("_c1"))
+        right = rows.select(*BASKET, F.col("item").alias("product_2"), F.col("item_count").alias("_c2"))
+        return (left.join(right, list(BASKET), "inner")
+                .filter(F.col("product_1") < F.col("product_2"))
+                .groupBy("product_1", "product_2")
+                .agg(F.sum(F.col("_c1") * F.col("_c2")).alias("pair_count")))
+
+    from_small = enumerate_pairs(small)
+    if not big_rows:
+        return from_small
+    # big-basket contributions to pairs already seen in small baskets
+    b1 = big.select(*BASKET, F.col("item").alias("product_1"), F.col("item_count").alias("_c1"))
+    b2 = big.select(*BASKET, F.col("item").alias("product_2"), F.col("item_count").alias("_c2"))
+    added = (from_small.select("product_1", "product_2").join(b1, "product_1", "inner")
+             .join(b2, [*BASKET, "product_2"], "inner")
+             .groupBy("product_1", "product_2")
+             .agg(F.sum(F.col("_c1") * F.col("_c2")).alias("_big")))
+    seen = (from_small.join(added, ["product_1", "product_2"], "left")
+            .select("product_1", "product_2",
+                    (F.col("pair_count") + F.coalesce(F.col("_big"), F.lit(0))).alias("pair_count")))
+    # pairs found only in big baskets: items must sit in at least r of them
+    m2 = int(big_max_mult) ** 2
+    r = max(1, math.ceil(min_support * total_baskets / m2))
+    while r > 1 and ((r - 1) * m2) / total_baskets >= min_support:
+        r -= 1
+    while (r * m2) / total_baskets < min_support:
+        r += 1
+    spread = big.groupBy("item").agg(F.count("*").alias("_k")).filter(F.col("_k") >= r)
+    only_big = (enumerate_pairs(big.join(spread.select("item"), "item", "left_semi"))
+                .join(from_small.select("product_1", "product_2"),
+                      ["product_1", "product_2"], "left_anti"))
+    return seen.unionByName(only_big)
 
 
 def baskets(enriched: DataFrame) -> DataFrame:
@@ -51,7 +109,7 @@ def basket_items(enriched: DataFrame, item_col: str = "product_id") -> DataFrame
 
 def basket_pairs(enriched: DataFrame, min_support: float = 0.01, item_col: str = "product_id",
                  distinct_items: bool = False, with_info: bool | None = None,
-                 materialize: bool = True) -> DataFrame:
+                 materialize: bool = True, max_items: int = MAX_ENUMERATED_ITEMS) -> DataFrame:
     """Item pairs (product_1 < product_2) with pair_count and support >= min_support.
 
     With ``item_col == "product_id"`` each side gets its category and brand
@@ -76,23 +134,23 @@ def basket_pairs(enriched: DataFrame, min_support: float = 0.01, item_col: str =
     if distinct_items:
         items = items.withColumn("item_count", F.lit(1).cast("long"))
     # All baskets (single-item ones included), counted once over the written table.
-    total = F.lit(one_row(grouped.groupBy(*BASKET).agg(F.lit(1).alias("_one"))
-                          .select(F.count("*")))[0])
+    total_baskets = one_row(grouped.groupBy(*BASKET).agg(F.lit(1).alias("_one"))
+                            .select(F.count("*")))[0]
+    total = F.lit(total_baskets)
     stats = items.groupBy(*BASKET).agg(F.count("*").alias("_n_items"),
                                        F.max("item_count").alias("_max_mult"))
-    multi = (items.join(stats.filter(F.col("_n_items") >= 2), list(BASKET), "inner")
-             .drop("_n_items"))
+    multi = items.join(stats.filter(F.col("_n_items") >= 2), list(BASKET), "inner")
+    # Whether any basket is too big to enumerate, from the small per-basket table.
+    big_head = one_row(stats.filter(F.col("_n_items") > max_items).agg(
+        F.count("*").alias("n"), F.max("_max_mult").alias("m")))
     # Exact Apriori bound: pair_count(a, b) <= sum(mult_a * max multiplicity).
     bound = multi.groupBy("item").agg(
         F.sum(F.col("item_count") * F.col("_max_mult")).alias("_bound"))
     keep = bound.filter(F.col("_bound") / total >= F.lit(min_support)).select("item")
-    cand = multi.join(keep, "item", "left_semi").select(*BASKET, "item", "item_count")
-    left = cand.select(*BASKET, F.col("item").alias("product_1"), F.col("item_count").alias("_c1"))
-    right = cand.select(*BASKET, F.col("item").alias("product_2"), F.col("item_count").alias("_c2"))
-    pairs = (left.join(right, list(BASKET), "inner")
-             .filter(F.col("product_1") < F.col("product_2"))
-             .groupBy("product_1", "product_2")
-             .agg(F.sum(F.col("_c1") * F.col("_c2")).alias("pair_count")))
+    cand = multi.join(keep, "item", "left_semi").select(*BASKET, "item", "item_count",
+                                                        "_n_items")
+    pairs = _pair_counts(cand, total_baskets, min_support, max_items, big_head["n"],
+                         big_head["m"])
     out = (pairs.withColumn("support", F.col("pair_count") / total)
            .filter(F.col("support") >= F.lit(min_support)))
     if with_info:
