@@ -67,7 +67,8 @@ def rfm_segments(base: DataFrame, accuracy: int = 10000, exact: bool = False) ->
              for d in DIMENSIONS}
     else:
         row = one_row(rfm_quintiles(base, accuracy))
-        q = {d: lit_value(row[f"{d}_quintiles"]) for d in DIMENSIONS}
+        # no customers: the sketch returns null, which scores every row 1
+        q = {d: lit_value(row[f"{d}_quintiles"] or [None] * len(QUINTILES)) for d in DIMENSIONS}
     scored = base.withColumns({
         "r_score": rules.score_low_is_good(F.col("recency"), q["recency"]),
         "f_score": rules.score_high_is_good(F.col("frequency"), q["frequency"]),
