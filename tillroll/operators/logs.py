@@ -32,16 +32,17 @@ def log_alerts(classified: DataFrame) -> DataFrame:
 def log_summary(classified: DataFrame) -> DataFrame:
     """Long form (dimension, key, error_count): total, per error type, per
     severity, plus the most recent error message (error_count null)."""
-    base = classified.groupBy("error_type", "severity").agg(
-        F.count("*").alias("n"),
-        F.max(F.struct("timestamp", "error_id", "error_message")).alias("_latest"))
+    base = classified.groupBy("error_type", "severity").agg(F.count("*").alias("n"))
     total = base.agg(F.lit("total").alias("dimension"), F.lit("all").alias("key"),
                      F.sum("n").alias("error_count"))
     by_type = base.groupBy("error_type").agg(F.sum("n").alias("error_count")).select(
         F.lit("error_type").alias("dimension"), F.col("error_type").alias("key"), "error_count")
     by_sev = base.groupBy("severity").agg(F.sum("n").alias("error_count")).select(
         F.lit("severity").alias("dimension"), F.col("severity").alias("key"), "error_count")
-    latest = base.agg(F.max("_latest").alias("_l")).select(F.col("_l.error_message").alias("key")).select(
+    # Keyless max over (timestamp, id): one streaming pass, no sort by group.
+    latest = classified.agg(
+        F.max(F.struct("timestamp", "error_id", "error_message")).alias("_l")).select(
+        F.col("_l.error_message").alias("key")).select(
         F.lit("most_recent_error").alias("dimension"), "key",
         F.lit(None).cast("long").alias("error_count"))
     return total.unionByName(by_type).unionByName(by_sev).unionByName(latest)
