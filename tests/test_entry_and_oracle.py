@@ -5,6 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from tillroll import oracle, queries
 from conftest import SF01
 from oracle_compare import compare, duck
 
@@ -18,7 +19,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(queries.registry()) == set(oracle.registry())
+    assert set(queries.registry()) <= set(entry.queries())
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +29,7 @@ def con():
     return duck(ORACLE_SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.registry()))
 def test_matches_oracle(spark, con, name):
     problems = compare(spark, name, entry.queries()[name], entry.oracle_sql()[name], ORACLE_SF, con)
     assert not problems, problems
