@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, sharding
+from . import bpe_codec, exact_dedup, mixing, sharding, token_count
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -23,12 +25,24 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_corpus(_table(spark, sf_dir, "documents")).drop("via")
 
 
+def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe_codec.encode_decode(_table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixing.training_order(mixed).select(
         "doc_id", "size", "source_size", "target", "taken", "first_at", "second_at")
 
 
+def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"),
+                                    public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, sf_dir, "documents"))
 
@@ -36,6 +50,8 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, QueryFn]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op4_bpe_codec": op4_bpe_codec,
         "op6_mixing": op6_mixing,
+        "op8_token_count": op8_token_count,
         "op10_sharding": op10_sharding,
     }
