@@ -8,14 +8,14 @@ certain. A positive joins the snapshot's exact bucket by key and digest, and
 the texts of the two representatives are compared byte by byte.
 
 What moves: digests (about 60 bytes a row), and texts of one representative per
-matched digest only. No bucket, filter or group grows with the number of copies
+matched digest only (found by a broadcast of their ids while those are few, by
+a shuffle join beyond). No bucket, filter or group grows with the number of copies
 of a text: groups are pre-aggregated by digest before anything is bucketed.
 """
 
 from __future__ import annotations
 
 import string
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..plans.durable import durable
 from . import fuse_filter
+from .sized import broadcast_if_small
 
 KEYS_PER_BUCKET = 4096
 
@@ -99,7 +100,7 @@ def screen(snapshot: Snapshot, groups: DataFrame) -> DataFrame:
 def _same_bytes(snapshot: Snapshot, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Pairs (text_sha256, s_id, b_id) whose two texts are equal byte for byte.
     A doc_id may repeat with other texts, so the digest has to fit too."""
-    ids = durable(pairs, "dedup-positives")
+    ids = broadcast_if_small(durable(pairs, "dedup-positives"))
 
     def texts(source: DataFrame, column: str, name: str) -> DataFrame:
         d, p = source.alias("d"), ids.alias("p")
