@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, mixing, sharding, token_count
+from . import bpe_codec, exact_dedup, langid, mixing, sharding, token_count, toxicity, url_filter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_corpus(_table(spark, sf_dir, "documents")).drop("via")
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"))
+
+
 def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe_codec.encode_decode(_table(spark, sf_dir, "documents"),
                                     public_tokenizers.path("word_bpe_49k.json"))
@@ -32,12 +36,28 @@ def op4_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    learned = langid.train_fold(F.col("doc_id"))
+    found = langid.identify(docs, langid.fit(docs, learned))
+    return found.select("doc_id", (~learned).alias("held_out"), "lang_pred", "score")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixing.training_order(mixed).select(
         "doc_id", "size", "source_size", "target", "taken", "first_at", "second_at")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    learned = toxicity.train_fold(F.col("doc_id"))
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), learned)
+    scored = toxicity.score_texts(docs, model)
+    return scored.select("doc_id", (~learned).alias("held_out"), F.col("toxic_score").alias("score"),
+                         (F.col("toxic_score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_table(spark, sf_dir, "documents"),
                                     public_tokenizers.path("word_bpe_49k.json"))
@@ -50,8 +70,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, QueryFn]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op3_url_filter": op3_url_filter,
         "op4_bpe_codec": op4_bpe_codec,
+        "op5_language_id": op5_language_id,
         "op6_mixing": op6_mixing,
+        "op7_toxicity": op7_toxicity,
         "op8_token_count": op8_token_count,
         "op10_sharding": op10_sharding,
     }
