@@ -16,6 +16,20 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
 
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, row_number() OVER best::INTEGER AS rank, vec_id, score FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 20
+"""
+
 MIXING = r"""
 WITH sizes AS (
   SELECT doc_id, source,
@@ -63,4 +77,4 @@ FROM parts
 
 
 def registry() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op6_mixing": MIXING}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op2_top_k": TOP_K, "op6_mixing": MIXING}

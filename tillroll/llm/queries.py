@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, langid, mixing, sharding, token_count, toxicity, url_filter
+from . import bpe_codec, exact_dedup, langid, mixing, sharding, token_count, topk, toxicity, url_filter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +25,12 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_corpus(_table(spark, sf_dir, "documents")).drop("via")
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").filter(topk.usable(F.col("embedding"))).select(
+        "vec_id", topk.quantised(F.col("embedding")).alias("v"))
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"))
 
@@ -70,6 +76,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict[str, QueryFn]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_top_k": op2_top_k,
         "op3_url_filter": op3_url_filter,
         "op4_bpe_codec": op4_bpe_codec,
         "op5_language_id": op5_language_id,
