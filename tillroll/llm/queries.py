@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, langid, mixing, sharding, token_count, topk, toxicity, url_filter
+from . import bpe_codec, exact_dedup, jaccard_join, langid, mixing, sharding, token_count, topk, toxicity, url_filter
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,10 @@ def op8_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, sf_dir, "documents"))
 
@@ -83,5 +87,6 @@ def registry() -> dict[str, QueryFn]:
         "op6_mixing": op6_mixing,
         "op7_toxicity": op7_toxicity,
         "op8_token_count": op8_token_count,
+        "op9_jaccard_join": op9_jaccard_join,
         "op10_sharding": op10_sharding,
     }
