@@ -12,13 +12,12 @@ Work is spread by documents; each task keeps a bounded cache of pre-tokens.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .bpe_vocab import NO_RANK, Vocabulary, received, segments, ship
 
@@ -208,7 +207,7 @@ def chunks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
-def encode_decode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def encode_decode(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """Ids and decoded text of every whole text.
 
     Returns the columns ``keep`` of ``docs`` and n_tokens, ids (binary,
@@ -226,14 +225,14 @@ def encode_decode(docs: DataFrame, path: str, keep: tuple[str, ...] = ("doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(received(shipped))
         for batch in batches:
-            for part in chunks(batch, "_text"):
-                ids = codec.encode([t or "" for t in part.column("_text").to_pylist()])
+            for part in chunks(batch, "text"):
+                ids = codec.encode([t or "" for t in part.column("text").to_pylist()])
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in keep],
                      pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
                      pa.array([codec.decode(x) for x in ids], pa.string())],
                     [*keep, "n_tokens", "ids", "decoded"])
 
-    source = docs.select(*keep, F.col("text").alias("_text"))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
+    source = docs.select(*dict.fromkeys([*keep, "text"]))
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema.fields]
     return source.mapInArrow(run, ", ".join([*kept, "n_tokens long", "ids binary", "decoded string"]))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..plans.durable import durable
 from . import fuse_filter
-from .sized import broadcast_if_small
+from .sized import broadcast_if_small, free_name
 
 KEYS_PER_BUCKET = 4096
 
@@ -173,3 +173,28 @@ def dedup_corpus(docs: DataFrame) -> DataFrame:
     old = F.coalesce(F.col("doc_id") < F.lit(cut), F.lit(False))
     snapshot = build_snapshot(docs.filter(old), digests.filter(old))
     return dedup(snapshot, docs.filter(~old), digests.filter(~old))
+
+
+def distinct_documents(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``dedup_corpus`` keeps, all columns as they
+    are. The dropped rows' ids and digest keys are joined to the texts (by a
+    broadcast while they are few)."""
+    verdicts = durable(dedup_corpus(docs).select("doc_id", F.xxhash64("text_sha256").alias("key"), "kept"),
+                       "dedup-verdicts")
+    dropped = durable(verdicts.filter("not kept").select("doc_id", "key").distinct(), "dedup-dropped")
+    # A row repeated with its doc_id is both kept and dropped: one copy goes back.
+    d, k = dropped.alias("d"), verdicts.filter("kept").alias("k")
+    again = durable(d.join(k, F.col("d.doc_id").eqNullSafe(F.col("k.doc_id"))
+                           & (F.col("d.key") == F.col("k.key")), "left_semi"), "dedup-again")
+    name = free_name(docs.columns, "_digest_key")
+    tagged = docs.withColumn(name, F.xxhash64(text_digest(F.col("text"))))
+
+    def same(right: str):
+        return (F.col("t.doc_id").cast("long").eqNullSafe(F.col(f"{right}.doc_id"))
+                & (F.col(f"t.{name}") == F.col(f"{right}.key")))
+
+    kept = tagged.alias("t").join(broadcast_if_small(dropped).alias("x"), same("x"), "left_anti")
+    if again.count():
+        once = tagged.alias("t").join(broadcast_if_small(again).alias("y"), same("y"), "left_semi")
+        kept = kept.unionByName(once.dropDuplicates(["doc_id", name]))
+    return kept.drop(name)

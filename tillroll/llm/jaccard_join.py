@@ -305,3 +305,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
                     .alias("component_id")))
+
+
+def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is the smallest of its component, all
+    columns as they are. Rows that share this doc_id cannot be told apart by it
+    and stay, as do rows of a component without any id."""
+    found = jaccard_components(docs, words, percent)
+    out = broadcast_if_small(durable(
+        found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(),
+        "join-dropped"))
+    d, x = docs.alias("d"), out.alias("x")
+    return d.join(x, F.col("d.doc_id").cast("long").eqNullSafe(F.col("x.doc_id")), "left_anti")

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from ..plans.durable import durable
 from .numbering import bucket_offsets
+from .sized import broadcast_if_small, free_name
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_BUCKET = 8192
@@ -36,6 +37,12 @@ WEIGHTS = (5, 2, 1)
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)))
 
 
+def order_key(doc_id: Column, text: Column) -> Column:
+    """Where a document stands in its source: an md5 of its id and text."""
+    return F.md5(F.concat(F.coalesce(doc_id.cast("long").cast("string"), F.lit("")), F.lit(":"),
+                          F.md5(F.coalesce(text, F.lit("")).cast("binary"))).cast("binary"))
+
+
 def inverse_demand(share: Column, knots: Sequence[tuple[float, float]]) -> Column:
     """Time at which the integral of a piecewise-linear weight, scaled to 1 at
     the end, reaches ``share`` (0..1). Weights must not be negative, and their
@@ -90,9 +97,10 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, m
     """Words taken from every document and the times at which they are read.
 
     Returns one row per row of ``docs`` (``doc_id``, ``text``, ``source``):
-    doc_id, source, size, source_size, target, taken, first_at, second_at (times
-    of the first and second epoch's copy, null where none is taken) and
-    read_key (what ``training_order`` sorts by). ``most`` may be 1 or 2.
+    doc_id, source, order_key, size, source_size, target, taken, first_words and
+    second_words (by epoch), first_at and second_at (times of the epochs' copies,
+    null where none is taken), and read_key (what ``training_order`` sorts by).
+    ``most`` may be 1 or 2.
 
     A null text has size 0, like an empty one: nothing is taken from it. Null
     sources are one source, last in order. Null ids are ordinary values.
@@ -105,8 +113,7 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, m
     sizes = durable(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
-        F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
-                       F.md5(text.cast("binary"))).cast("binary")).alias("order_key")), "mix-sizes")
+        order_key(F.col("doc_id"), text).alias("order_key")), "mix-sizes")
     n = sizes.count()
     buckets = max(1, -(-n // ROWS_PER_BUCKET))
     # Buckets follow the order key, so bucket order and key order agree.
@@ -140,11 +147,12 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, m
                    else out.when(F.col("source_rank") % len(schedules) == i, this))
         return F.when(part(epoch) > 0, out)
 
-    taken = joined.select("*", (part(0) + part(1)).alias("taken"),
+    taken = joined.select("*", (part(0) + part(1)).alias("taken"), part(0).alias("first_words"),
+                          part(1).alias("second_words"),
                           at(0).alias("first_at"), at(1).alias("second_at"))
     unread = F.lit(1.0) + F.conv(F.substring("order_key", 1, 8), 16, 10).cast("double") / 2 ** 32
-    return taken.select("doc_id", "source", "size", "source_size", "target", "taken",
-                        "first_at", "second_at",
+    return taken.select("doc_id", "source", "order_key", "size", "source_size", "target", "taken",
+                        "first_words", "second_words", "first_at", "second_at",
                         F.coalesce(F.col("first_at"), unread).alias("read_key"))
 
 
@@ -152,3 +160,25 @@ def training_order(rows: DataFrame, at: str = "read_key") -> DataFrame:
     """``rows`` range-sorted by time. Documents the mix leaves out hold keys
     above 1 (spread, so that they fill no single range) and come last."""
     return rows.repartitionByRange(F.col(at), F.col("doc_id")).sortWithinPartitions(at, "doc_id")
+
+
+def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
+    """The documents of a mix in training order, all columns as they are, a row
+    for each time a document is read. Documents stay whole: one that a target
+    cuts is read if at least half of its words are taken. Rows that repeat both
+    id and text take part once."""
+    key, at = free_name(docs.columns, "_mix_key"), free_name(docs.columns, "_mix_at")
+    keyed = docs.withColumn(key, order_key(F.col("doc_id"), F.col("text")))
+    mixed = durable(mix(docs, **parameters), "mixed")
+    if mixed.groupBy("order_key").count().filter("count > 1").limit(1).count():
+        keyed = keyed.dropDuplicates([key])
+        mixed = durable(mix(keyed.drop(key), **parameters), "mixed")
+
+    def whole(epoch: str) -> Column:
+        words = F.col(f"{epoch}_words")
+        return F.when((words > 0) & (words * 2 >= F.col("size")), F.col(f"{epoch}_at"))
+
+    reads = broadcast_if_small(durable(mixed.select(F.col("order_key").alias(key), F.explode(
+        F.array_compact(F.array(whole("first"), whole("second")))).alias(at)), "mix-reads"))
+    read = keyed.join(reads, key)
+    return read.repartitionByRange(at, key).sortWithinPartitions(at, key).select(*docs.columns)

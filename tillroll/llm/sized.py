@@ -14,3 +14,11 @@ def broadcast_if_small(written: DataFrame, limit: int = BROADCAST_ROWS) -> DataF
     reads file footers only) with a broadcast hint if it has at most ``limit``
     rows. Beyond that the join is left to Spark, which shuffles both sides."""
     return F.broadcast(written) if written.count() <= limit else written
+
+
+def free_name(columns: list[str], base: str) -> str:
+    """``base``, with underscores added until no column has that name."""
+    taken = {c.lower() for c in columns}
+    while base.lower() in taken:
+        base += "_"
+    return base

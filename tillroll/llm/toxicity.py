@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -212,30 +212,30 @@ class Scorer:
         return float(_sigmoid(np.float64(total)))
 
 
-def score_texts(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns ``keep`` of ``docs`` and ``toxic_score`` (0 to 1) of every
-    whole text.
+def score_texts(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",),
+                name: str = "toxic_score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` and a column ``name`` with the score (0
+    to 1) of every whole text.
 
     A null text is an empty one, which scores by the bias alone. Null ids,
     repeated rows and empty tables pass through unchanged in number. Long texts
-    are read in pieces cut at blanks. ``keep`` may not name ``toxic_score``.
+    are read in pieces cut at blanks. ``keep`` may not name the new column.
     """
-    if "toxic_score" in keep:
-        raise ValueError("toxic_score is the name of the new column")
+    if name in keep:
+        raise ValueError(f"{name} is the name of the new column")
     shipped = docs.sparkSession.sparkContext.broadcast(model)      # at most FEATURES weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shipped.value)
         for batch in batches:
-            for part in chunks(batch, "_text"):
-                scores = [scorer.score(t or "") for t in part.column("_text").to_pylist()]
+            for part in chunks(batch, "text"):
+                scores = [scorer.score(t or "") for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in keep], pa.array(scores, pa.float64())],
-                    [*keep, "toxic_score"])
+                    [*[part.column(c) for c in keep], pa.array(scores, pa.float64())], [*keep, name])
 
-    source = docs.select(*keep, F.col("text").alias("_text"))
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1]]
-    return source.mapInArrow(run, ", ".join([*kept, "toxic_score double"]))
+    source = docs.select(*dict.fromkeys([*keep, "text"]))
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema.fields]
+    return source.mapInArrow(run, ", ".join([*kept, f"`{name}` double"]))
 
 
 def train_fold(doc_id: Column, folds: int = 3, left_out: int = 1) -> Column:
