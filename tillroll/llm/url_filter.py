@@ -75,8 +75,10 @@ def symbols(url: Column) -> Column:
 def windows(text: Column) -> Column:
     """Every character with the ``ORDER`` before it, the end mark included."""
     chars = F.split(F.concat(F.lit("^" * ORDER), text, F.lit("$")), "")
-    return F.transform(F.sequence(F.lit(1), F.size(chars) - ORDER),
-                       lambda i: F.array_join(F.slice(chars, i, WIDTH), ""))
+    # The outer transform binds the characters once; named twice, they would be
+    # split again for every position.
+    return F.flatten(F.transform(F.array(chars), lambda c: F.transform(
+        F.sequence(F.lit(1), F.size(c) - ORDER), lambda i: F.array_join(F.slice(c, i, WIDTH), ""))))
 
 
 def model_counts(training: DataFrame) -> tuple[DataFrame, DataFrame]:
