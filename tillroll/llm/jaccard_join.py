@@ -42,7 +42,7 @@ from .signature_tree import Parities, candidates, most_difference, parity_sketch
 from .sized import broadcast_if_small
 
 UNIT = 4096                # rows of a unit of trees, and of a block of a large group
-HEAVY_SHARE = 500          # a token in more than 1 / HEAVY_SHARE of the prefixes is heavy
+HEAVY_SHARE = 4000         # a token in more than 1 / HEAVY_SHARE of the prefixes is heavy
 HEAVY_LEAST = 64
 FIRST_PARTNERS = 2         # leaders verified for a document before the trees
 FEATURES = "doc_id long, tag long, n long, key binary, tokens array<long>, sketch binary"
@@ -53,7 +53,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _sketch_bits(n: int, percent: int) -> int:
-    wide = 16 * (100 - percent) * n // percent
+    wide = 8 * (100 - percent) * n // percent
     return min(1 << 14, max(256, 1 << max(0, wide - 1).bit_length()))
 
 
@@ -88,11 +88,10 @@ def _heavy_last(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
     return np.concatenate([tokens[~held], tokens[held]])
 
 
-def _prefixes(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
+def _prefixes(docs: DataFrame, reps: DataFrame, total: int, words: int, percent: int) -> DataFrame:
     """(token, node, n): each representative's prefix."""
     spark = docs.sparkSession
     short = F.expr("slice(tokens, 1, cast(ceil(size(tokens) / 2) as int))")
-    total = reps.count()
     often = max(HEAVY_LEAST, total // HEAVY_SHARE)
     # At most HEAVY_SHARE times the mean prefix length of tokens are heavy.
     heavy = (reps.select(F.explode(short).alias("token")).groupBy("token").count()
@@ -248,27 +247,25 @@ def _tree_pairs(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     dealt = (rows.join(sizes, "token").select("*", own.alias("block"))
              .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other")))
     low, high = F.least("block", "other"), F.greatest("block", "other")
-    unit = F.when(F.col("blocks") == 1, F.struct(
-        F.pmod("token", F.lit(units)).alias("token"), F.lit(-1).cast("long").alias("i"),
-        F.lit(-1).cast("long").alias("j"))).otherwise(F.struct(
-            F.col("token").alias("token"), low.alias("i"), high.alias("j")))
-    side = F.when((F.col("blocks") > 1) & (F.col("block") > F.col("other")), 1).when(
-        (F.col("blocks") > 1) & (F.col("block") == F.col("other")), 0).otherwise(0)
-    placed = (dealt.select(unit.alias("unit"), side.cast("long").alias("side"), "token", "node", "n",
-                           "component")
-              .join(reps.select("node", "sketch"), "node"))
+    whole = F.col("blocks") == 1
+    placed = (dealt.select(
+        F.when(whole, F.pmod("token", F.lit(units))).otherwise(F.col("token")).alias("unit"),
+        F.when(whole, F.lit(-1)).otherwise(low * (1 << 31) + high).cast("long").alias("cut"),
+        (~whole & (F.col("block") > F.col("other"))).cast("byte").alias("side"),
+        "token", "node", F.col("n").cast("int").alias("n"), "component")
+        .join(reps.select("node", "sketch"), "node"))
 
     def traverse(table: pa.Table) -> pa.Table:
         def column(name: str) -> np.ndarray:
             return table.column(name).to_numpy().astype(np.int64)
 
-        unit_row = table.column("unit")[0].as_py()
+        cut = table.column("cut")[0].as_py()
         a, b = candidates(column("token"), column("node"), column("n"), column("component"),
                           column("side"), table.column("sketch").to_pylist(), percent,
-                          unit_row["i"] != unit_row["j"])
+                          cut >= 0 and cut >> 31 != cut & ((1 << 31) - 1))
         return pa.table({"a": a, "b": b})
 
-    return placed.groupBy("unit").applyInArrow(traverse, "a long, b long").distinct()
+    return placed.groupBy("unit", "cut").applyInArrow(traverse, "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -286,9 +283,10 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     classes = durable(features.filter("n > 0").groupBy("key").agg(
         F.min(F.struct("doc_id", "tag")).alias("first"), F.min("doc_id").alias("least_id"))
         .select("key", F.col("first.tag").alias("node"), "least_id"), "join-classes")
-    reps = durable(features.drop("key").join(classes.select("key", F.col("node").alias("tag")), "tag")
-                   .select(F.col("tag").alias("node"), "doc_id", "n", "key", "tokens", "sketch"), "join-reps")
-    every = durable(_prefixes(docs, reps, words, percent), "join-tokens")
+    chosen = broadcast_if_small(durable(classes.select(F.col("node").alias("tag")), "join-chosen"))
+    whole = (features.join(chosen, "tag", "left_semi").withColumnRenamed("tag", "node"))
+    every = _prefixes(docs, whole, classes.count(), words, percent)
+    reps = durable(whole.select("node", "doc_id", "n", "key", "sketch"), "join-reps")
     shared = every.groupBy("token").count().filter("count > 1").select("token")
     prefixes = durable(every.join(shared, "token"), "join-shared")
     tried = durable(_leader_pairs(prefixes, reps, percent), "join-tried")
