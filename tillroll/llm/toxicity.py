@@ -134,13 +134,14 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, positives: int = POSI
         F.broadcast(chosen.distinct()), "doc_id").select("side", "text")
 
     def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("stem", pa.int64()), ("level", pa.int32())]))
         for batch in batches:
-            for part in chunks(batch, "text"):
-                own = [[{"stem": s, "level": v} for s, v in text_features(t or "")]
-                       for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("side"), pa.array(own, kind)],
-                                                 ["side", "features"])
+            for i, text in enumerate(batch.column("text")):
+                own = np.array(text_features(text.as_py() or ""), np.int64).reshape(-1, 2)
+                pairs = pa.StructArray.from_arrays(
+                    [pa.array(own[:, 0]), pa.array(own[:, 1].astype(np.int32))], ["stem", "level"])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("side").slice(i, 1), pa.ListArray.from_arrays(
+                        pa.array([0, len(own)], pa.int32()), pairs)], ["side", "features"])
 
     sample = durable(texts.mapInArrow(
         features_of, "side int, features array<struct<stem: long, level: int>>"), "toxic-features")
@@ -165,12 +166,23 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, positives: int = POSI
         return nothing
     at = {name: i for i, name in enumerate(names)}
 
+    stems = np.unique(np.array([name[0] for name in names], np.int64))
+
     def selected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [sorted(at[f["stem"], f["level"]] for f in own if (f["stem"], f["level"]) in at)
-                    for own in batch.column("features").to_pylist()]
+            lists = batch.column("features")
+            flat = lists.flatten()
+            stem, level = (flat.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            place = np.minimum(np.searchsorted(stems, stem), len(stems) - 1)
+            held: list[list[int]] = [[] for _ in range(len(lists))]
+            for i in np.flatnonzero(stems[place] == stem).tolist():
+                name = (int(stem[i]), int(level[i]))
+                if name in at:
+                    held[row[i]].append(at[name])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("side"), pa.array(held, pa.list_(pa.int32()))], ["side", "held"])
+                [batch.column("side"), pa.array([sorted(h) for h in held], pa.list_(pa.int32()))],
+                ["side", "held"])
 
     rows = sample.mapInArrow(selected, "side int, held array<int>").collect()
     table = {1: np.zeros((n_pos, len(names)), np.float32), 0: np.zeros((n_unl, len(names)), np.float32)}
