@@ -44,6 +44,7 @@ from .sized import broadcast_if_small
 UNIT = 4096                # rows of a unit of trees, and of a block of a large group
 HEAVY_SHARE = 4000         # a token in more than 1 / HEAVY_SHARE of the prefixes is heavy
 HEAVY_LEAST = 64
+SHARED_TOKENS = 2_000_000  # most 8-byte tokens that are broadcast; beyond, a shuffle join
 FIRST_PARTNERS = 2         # leaders verified for a document before the trees
 FEATURES = "doc_id long, tag long, n long, key binary, tokens array<long>, sketch binary"
 
@@ -89,18 +90,20 @@ def _heavy_last(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, reps: DataFrame, total: int, words: int, percent: int) -> DataFrame:
-    """(token, node, n): each representative's prefix."""
+    """(token, node, n): each representative's prefix, without tokens that no
+    other one holds."""
     spark = docs.sparkSession
     short = F.expr("slice(tokens, 1, cast(ceil(size(tokens) / 2) as int))")
     often = max(HEAVY_LEAST, total // HEAVY_SHARE)
+    seen = durable(reps.select(F.explode(short).alias("token")).groupBy("token").count()
+                   .filter("count > 1"), "join-seen")
     # At most HEAVY_SHARE times the mean prefix length of tokens are heavy.
-    heavy = (reps.select(F.explode(short).alias("token")).groupBy("token").count()
-             .filter(F.col("count") > often).select("token").collect())
+    heavy = seen.filter(F.col("count") > often).select("token").collect()
     shipped = spark.sparkContext.broadcast(np.array(sorted(r["token"] for r in heavy), np.int64))
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, out = batch.column("n").to_pylist(), []
+            sizes, out, fresh = batch.column("n").to_pylist(), [], []
             for n, own in zip(sizes, batch.column("tokens")):
                 own = own.values.to_numpy(zero_copy_only=False)
                 p = prefix_length(n, percent)
@@ -110,13 +113,14 @@ def _prefixes(docs: DataFrame, reps: DataFrame, total: int, words: int, percent:
                 else:
                     # All tokens are at hand, or the text has to be read again.
                     out.append(_heavy_last(own, shipped.value)[:p] if len(own) == n else None)
+                fresh.append(None if out[-1] is None else np.setdiff1d(out[-1], own[:p]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("n"), pa.array(out, pa.list_(pa.int64()))],
-                ["node", "n", "prefix"])
+                [batch.column("node"), batch.column("n"), pa.array(out, pa.list_(pa.int64())),
+                 pa.array(fresh, pa.list_(pa.int64()))], ["node", "n", "prefix", "fresh"])
 
     ordered = durable(reps.select("node", "n", "tokens").mapInArrow(
-        order, "node long, n long, prefix array<long>"), "join-prefixes")
-    rows = ordered.filter("prefix is not null")
+        order, "node long, n long, prefix array<long>, fresh array<long>"), "join-prefixes")
+    rows = ordered.filter("prefix is not null").select("node", "n", "prefix", "fresh")
     again = reps.join(ordered.filter("prefix is null").select("node"), "node")
     if ordered.filter("prefix is null").count():
         def reread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,11 +131,18 @@ def _prefixes(docs: DataFrame, reps: DataFrame, total: int, words: int, percent:
                            for s in sets]
                     yield pa.RecordBatch.from_arrays(
                         [part.column("node"), pa.array([len(s) for s in sets], pa.int64()),
-                         pa.array(out, pa.list_(pa.int64()))], ["node", "n", "prefix"])
+                         pa.array(out, pa.list_(pa.int64())), pa.array(out, pa.list_(pa.int64()))],
+                        ["node", "n", "prefix", "fresh"])
 
         texts = node_texts(docs, again.select("node", "doc_id", "key"), words)
-        rows = rows.unionByName(texts.mapInArrow(reread, "node long, n long, prefix array<long>"))
-    return rows.select(F.explode("prefix").alias("token"), "node", "n")
+        rows = rows.unionByName(durable(texts.mapInArrow(
+            reread, "node long, n long, prefix array<long>, fresh array<long>"), "join-reread"))
+    # Tokens that two prefixes held before, or that came in since: all others
+    # are alone in their group.
+    shared = durable(seen.select("token").unionByName(
+        rows.select(F.explode("fresh").alias("token"))).distinct(), "join-shared")
+    return rows.select(F.explode("prefix").alias("token"), "node", "n").join(
+        broadcast_if_small(shared, SHARED_TOKENS), "token", "left_semi")
 
 
 def node_texts(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
@@ -285,10 +296,8 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
         .select("key", F.col("first.tag").alias("node"), "least_id"), "join-classes")
     chosen = broadcast_if_small(durable(classes.select(F.col("node").alias("tag")), "join-chosen"))
     whole = (features.join(chosen, "tag", "left_semi").withColumnRenamed("tag", "node"))
-    every = _prefixes(docs, whole, classes.count(), words, percent)
+    prefixes = durable(_prefixes(docs, whole, classes.count(), words, percent), "join-tokens")
     reps = durable(whole.select("node", "doc_id", "n", "key", "sketch"), "join-reps")
-    shared = every.groupBy("token").count().filter("count > 1").select("token")
-    prefixes = durable(every.join(shared, "token"), "join-shared")
     tried = durable(_leader_pairs(prefixes, reps, percent), "join-tried")
     links = verified(docs, reps, tried, words, percent)
     rest = _unconnected(prefixes, components(links), percent)

@@ -17,7 +17,7 @@ import numpy as np
 
 FAN = 8
 WORDS = 8                  # 64-bit words of a token bitmap
-LEAF_PAIRS = 1 << 15       # node pairs expanded at a time
+LEAF_PAIRS = 1 << 12       # node pairs expanded at a time
 MIXED = np.iinfo(np.int64).min
 
 
@@ -124,8 +124,8 @@ class Parities:
         for both in np.unique(widths).tolist():
             wa, wb = both >> 32, both & 0xFFFFFFFF
             own = np.flatnonzero(widths == both)
-            for s in range(0, len(own), 1 << 16):
-                part = own[s:s + (1 << 16)]
+            for s in range(0, len(own), 1 << 14):
+                part = own[s:s + (1 << 14)]
                 x = self._folded(a[part], wa, min(wa, wb)) ^ self._folded(b[part], wb, min(wa, wb))
                 out[part] = np.bitwise_count(x).sum(axis=1)
         return out
