@@ -195,3 +195,22 @@ def test_basket_pairs_big_basket_paths(spark, max_items):
         got = {(r["product_1"], r["product_2"]): r["pair_count"]
                for r in baskets.basket_pairs(df, min_support, max_items=max_items).collect()}
         assert got == want, (max_items, min_support)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])
+def test_recency_of_timestamps_in_any_zone(spark, zone):
+    from tillroll.operators import customers, rfm
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        rows = spark.sql("""
+            SELECT * FROM VALUES ('a', 't1', 'p', 'c', 10.0D, 1.0D, timestamp'2024-05-06 00:30:00', 's', 'l', 'g'),
+                                 ('b', 't2', 'p', 'c', 20.0D, 2.0D, timestamp'2024-05-02 23:30:00', 's', 'l', 'g')
+            AS t(customer_id, transaction_id, product_id, category, total_amount, profit_amount,
+                 transaction_date, customer_segment, country, age_group)""")
+        base = {r.customer_id: r.recency for r in rfm.rfm_base(rows).collect()}
+        assert base == {"a": 0, "b": 4}
+        life = {r.customer_id: r.days_since_last_purchase for r in customers.customer_lifetime(rows).collect()}
+        assert life == {"a": 0, "b": 4}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

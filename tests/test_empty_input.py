@@ -19,10 +19,10 @@ def test_operators_on_empty_input(spark):
         "weekday": timeseries.weekday_series(e),
         "lifetime": lt,
         "clv": customers.clv_segments(lt),
-        "clv_exact": customers.clv_segments(lt, exact=True),
+        "clv_sketch": customers.clv_segments(lt, accuracy=100),
         "churn": customers.churn_indicators(customers.clv_segments(lt)),
         "rfm": rfm.rfm_segments(rfm.rfm_base(e)),
-        "rfm_exact": rfm.rfm_segments(rfm.rfm_base(e), exact=True),
+        "rfm_sketch": rfm.rfm_segments(rfm.rfm_base(e), accuracy=100),
         "quintiles": rfm.rfm_quintiles_long(rfm.rfm_base(e)),
         "products": products.product_performance(e),
         "top": products.top_products(e),

@@ -37,9 +37,9 @@ def test_customer_lifetime_and_clv(enriched):
     assert c1["purchase_frequency"] == pytest.approx(5.625)
     assert c1["estimated_clv"] == pytest.approx(138.08219178, abs=1e-6)
     assert c1["days_since_last_purchase"] == 0          # as-of = latest transaction
-    cuts = customers.clv_cut_points(lt).first()
-    assert (cuts["clv_p40"], cuts["clv_p60"]) == (0.0, 0.0)
-    assert cuts["clv_p80"] == pytest.approx(138.08219178, abs=1e-6)
+    p80, p60, p40 = customers.clv_cut_points(lt)
+    assert (p40, p60) == (0.0, 0.0)
+    assert p80 == pytest.approx(138.08219178, abs=1e-6)
     seg = {k: v["clv_segment"] for k, v in by_key(customers.clv_segments(lt), "customer_id").items()}
     assert seg == {"CUST_001": "Champions", "CUST_002": "Loyal Customers",
                    "CUST_003": "Loyal Customers"}

@@ -20,11 +20,6 @@ COMPLETED = "Completed"
 # CLV segments by global percentile of estimated_clv (>= p80, >= p60, >= p40).
 CLV_SEGMENTS = ["Champions", "Loyal Customers", "Potential Loyalists", "New Customers"]
 
-# RFM segments, first match wins.
-RFM_SEGMENTS = [
-    "Champions", "Loyal Customers", "New Customers", "Potential Loyalists",
-    "At Risk", "Cannot Lose Them", "Hibernating", "Others",
-]
 # Recommended action per RFM segment; any other segment gets the default.
 RFM_ACTIONS = [
     ("Champions", "Reward them. They can become advocates."),

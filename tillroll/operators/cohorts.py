@@ -47,8 +47,9 @@ def cohort_retention(enriched: DataFrame, whole_months: bool = False,
         revenue.alias("revenue_in_period"),
         F.try_divide(revenue, F.sum("_lines").cast("double")).alias("avg_order_value_in_period"),
     )
-    sizes = (metrics.filter(F.col("period_number") == 0)
-             .select("cohort_month", F.col("customers_in_period").alias("cohort_size")))
+    # Every customer has a transaction in period 0, so a cohort's size is its
+    # number of customers; the metrics are not computed twice.
+    sizes = first.groupBy("cohort_month").agg(F.count(F.lit(1)).alias("cohort_size"))
     return (metrics.join(sizes, "cohort_month", "inner")
             .withColumn("retention_rate",
                         ratio_pct(F.col("customers_in_period"), F.col("cohort_size"))))

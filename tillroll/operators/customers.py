@@ -18,15 +18,17 @@ from pyspark.sql import functions as F
 from ..functions import rules
 from ..functions.exprs import lit_value, money_avg, money_sum, one_row
 from ..plans.durable import durable
+from .quantiles import exact_percentiles
 
 ATTRIBUTES = ("customer_segment", "country", "age_group")
 
 
 def _as_of(per_customer: DataFrame, as_of):
     """The as-of date as a Column. The default, the latest transaction, is the
-    max over the per-customer table (the fact is not re-read)."""
+    max over the per-customer table (the fact is not re-read), made a date
+    inside Spark, so no other time zone touches it."""
     if as_of is None:
-        return lit_value(one_row(per_customer.select(F.max("last_purchase_date")))[0])
+        return lit_value(one_row(per_customer.select(F.to_date(F.max("last_purchase_date"))))[0])
     if isinstance(as_of, (_dt.date, _dt.datetime, str)):
         return F.lit(as_of)
     raise TypeError("as_of must be None, a date/datetime or an ISO string")
@@ -80,32 +82,25 @@ def customer_lifetime(enriched: DataFrame, as_of=None,
     )
 
 
-def clv_cut_points(lifetime: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """One row: approximate p80, p60, p40 of estimated_clv (mergeable sketch)."""
-    q = F.percentile_approx("estimated_clv", [0.8, 0.6, 0.4], accuracy)
-    return lifetime.agg(q.alias("_q")).select(
-        F.col("_q")[0].alias("clv_p80"), F.col("_q")[1].alias("clv_p60"),
-        F.col("_q")[2].alias("clv_p40"))
+def clv_cut_points(lifetime: DataFrame, accuracy: int | None = None) -> list:
+    """p80, p60, p40 of estimated_clv: exact discrete percentiles, or with an
+    ``accuracy`` those of the mergeable sketch."""
+    probs = [0.8, 0.6, 0.4]
+    if accuracy is None:
+        return exact_percentiles(lifetime, "estimated_clv", probs)
+    return one_row(lifetime.agg(F.percentile_approx("estimated_clv", probs, accuracy)))[0] or [None] * 3
 
 
-def clv_segments(lifetime: DataFrame, accuracy: int = 10000, materialize: bool = False,
-                 exact: bool = False) -> DataFrame:
+def clv_segments(lifetime: DataFrame, accuracy: int | None = None, materialize: bool = False) -> DataFrame:
     """Add clv_segment from global CLV percentiles (Champions ... New Customers).
 
     The lifetime table feeds both the cut points and the scored rows. From
     ``customer_lifetime`` it already reads a durable per-customer table, so
     both branches re-read those files; pass ``materialize=True`` for a
-    lifetime table that is still an unmaterialized plan. ``exact=True`` uses
-    exact discrete percentiles (``operators.quantiles``) instead of the sketch."""
+    lifetime table that is still an unmaterialized plan."""
     if materialize:
         lifetime = durable(lifetime, "customer_lifetime")
-    if exact:
-        from .quantiles import exact_percentiles
-        p80, p60, p40 = exact_percentiles(lifetime, "estimated_clv", [0.8, 0.6, 0.4],
-                                          accuracy=accuracy)
-    else:
-        cuts = one_row(clv_cut_points(lifetime, accuracy))
-        p80, p60, p40 = cuts["clv_p80"], cuts["clv_p60"], cuts["clv_p40"]
+    p80, p60, p40 = clv_cut_points(lifetime, accuracy)
     seg = rules.clv_segment(F.col("estimated_clv"), lit_value(p80), lit_value(p60),
                             lit_value(p40))
     return lifetime.withColumn("clv_segment", seg)

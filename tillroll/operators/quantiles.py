@@ -1,71 +1,76 @@
-"""Exact discrete percentiles without gathering a column into one task.
+"""Exact discrete percentiles by counting.
 
-``percentile_approx`` (the default everywhere, as published) is a mergeable
-sketch: bounded memory, but its cut points can sit a few ranks off the exact
-ones on large inputs. ``exact_percentiles`` returns the exact value at rank
-``max(1, ceil(p * n))`` (SQL ``percentile_disc`` / ``quantile_disc``) by
-distributed selection:
+``exact_percentiles`` returns the values at ranks ``max(1, ceil(p * n))`` (SQL
+``percentile_disc`` / ``quantile_disc``). Each round is one aggregation for all
+columns and probabilities together: every probe splits its current value range
+into equal buckets, Spark counts each bucket and keeps its least and greatest
+value, and the bucket that holds the rank becomes the next range. A probe ends
+when its range is one value. The ends of a range have buckets of their own, so
+every round narrows it; doubles need a handful of rounds.
 
-1. approximate cut points split the values into buckets; a value equal to a
-   cut point gets a bucket of its own, so a heavily repeated value never
-   shares one;
-2. a count per bucket (at most 2 x buckets + 1 numbers, read on the driver)
-   locates the bucket holding the target rank;
-3. if that bucket holds one value, that value is the answer; otherwise the
-   search continues inside the bucket, until it has at most ``leaf_rows``
-   rows, which are ordered to pick the exact rank.
-
-No task ever orders more than ``leaf_rows`` rows, and the driver reads only
-counts, cut points and the answers.
+Nothing is ordered and no values are gathered. The driver reads at most
+``buckets`` + 2 counts per probe and round.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.exprs import lit_value, one_row
+
+def _bucket(x: Column, low, high, buckets: int) -> Column:
+    """0 and ``buckets`` + 1 for the ends of the range, between them by value."""
+    width = F.lit(float(high)) / 2 - F.lit(float(low)) / 2
+    share = F.try_divide(x.cast("double") / 2 - F.lit(float(low)) / 2, width)
+    inner = F.least(F.lit(buckets - 1), F.floor(F.coalesce(share, F.lit(0.0)) * buckets).cast("int")) + 1
+    return F.when(x == F.lit(low), 0).when(x == F.lit(high), buckets + 1).otherwise(inner)
 
 
-def _bucket(cuts: list) -> F.Column:
-    arr = lit_value(cuts)
-    below = F.size(F.filter(arr, lambda c: c < F.col("_x")))
-    own = F.when(F.array_contains(arr, F.col("_x")), 1).otherwise(0)
-    return below * 2 + own
+def exact_percentiles_of(df: DataFrame, wanted: Mapping[str, Sequence[float]],
+                         buckets: int = 256) -> dict[str, list]:
+    """Exact discrete percentiles of several columns, by column one value per
+    probability. Nulls, NaN and infinite values are left out; a column without
+    values gives nulls."""
+    columns = list(wanted)
 
+    def value(c: str) -> Column:
+        x = F.col(c)
+        return F.when(F.abs(x.cast("double")) < F.lit(math.inf), x)      # not null, NaN or infinite
 
-def _select(values: DataFrame, k: int, n: int, buckets: int, leaf_rows: int, accuracy: int):
-    """The k-th smallest (1-based) of ``values._x`` (n non-null rows)."""
-    while n > leaf_rows:
-        probs = [i / buckets for i in range(1, buckets)]
-        cuts = one_row(values.select(F.percentile_approx("_x", probs, accuracy)))[0]
-        b = _bucket(cuts)
-        counts = sorted((r[0], r[1]) for r in
-                        values.groupBy(b.alias("_b")).agg(F.count("*")).collect())
-        before = 0
-        for bucket, count in counts:
-            if before + count >= k:
-                break
-            before += count
-        k -= before
-        if bucket % 2 == 1:                       # a single value: the cut itself
-            return cuts[(bucket - 1) // 2]
-        if count == n:                            # no progress: order what is left
-            break
-        values = values.filter(b == F.lit(bucket))
-        n = count
-    row = values.orderBy("_x").offset(k - 1).limit(1).first()
-    return row[0] if row else None
+    values = df.select(*[value(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    ends = values.agg(*[f(f"v{i}").alias(f"{n}{i}") for i in range(len(columns))
+                        for n, f in (("n", F.count), ("low", F.min), ("high", F.max))]).first()
+    # probe: [column, rank inside the range, low, high]
+    probes = {(i, j): [i, max(1, math.ceil(p * ends[f"n{i}"])), ends[f"low{i}"], ends[f"high{i}"]]
+              for i, c in enumerate(columns) for j, p in enumerate(wanted[c])}
+    while open_ranges := sorted({(p[0], p[2], p[3]) for p in probes.values() if p[2] != p[3]}):
+        parts = [F.when(F.col(f"v{i}").between(F.lit(low), F.lit(high)), F.struct(
+            F.lit(r).alias("range"), _bucket(F.col(f"v{i}"), low, high, buckets).alias("bucket"),
+            *[(F.col(f"v{k}") if k == i else F.lit(None).cast(values.schema[f"v{k}"].dataType)).alias(f"x{k}")
+              for k in range(len(columns))])) for r, (i, low, high) in enumerate(open_ranges)]
+        counted = (values.select(F.explode(F.array_compact(F.array(*parts))).alias("p")).select("p.*")
+                   .groupBy("range", "bucket")
+                   .agg(F.count(F.lit(1)).alias("n"), *[f(f"x{k}").alias(f"{name}{k}")
+                        for k in range(len(columns)) for name, f in (("low", F.min), ("high", F.max))])
+                   .collect())
+        by_range: dict[int, list] = {}
+        for row in sorted(counted, key=lambda r: (r["range"], r["bucket"])):
+            by_range.setdefault(row["range"], []).append(row)
+        for probe in probes.values():
+            i, rank, low, high = probe
+            if low == high:
+                continue
+            for row in by_range[open_ranges.index((i, low, high))]:
+                if rank <= row["n"]:
+                    probe[1:] = rank, row[f"low{i}"], row[f"high{i}"]
+                    break
+                rank -= row["n"]
+    return {c: [probes[i, j][2] for j in range(len(wanted[c]))] for i, c in enumerate(columns)}
 
 
-def exact_percentiles(df: DataFrame, column: str, probs: list[float], buckets: int = 1024,
-                      leaf_rows: int = 1_000_000, accuracy: int = 10000) -> list:
-    """Exact discrete percentiles of ``column`` (nulls ignored), one per prob."""
-    values = df.select(F.col(column).alias("_x")).filter(F.col("_x").isNotNull())
-    n = values.count()
-    if n == 0:
-        return [None for _ in probs]
-    return [_select(values, max(1, math.ceil(p * n)), n, buckets, leaf_rows, accuracy)
-            for p in probs]
+def exact_percentiles(df: DataFrame, column: str, probs: Sequence[float], buckets: int = 256) -> list:
+    """``exact_percentiles_of`` for one column."""
+    return exact_percentiles_of(df, {column: probs}, buckets)[column]
