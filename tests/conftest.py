@@ -8,6 +8,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+from tillroll.plans.durable import release  # noqa: E402
 from tillroll.session import local_session  # noqa: E402
 
 SF001 = "/root/testdata/sf0.001"
@@ -35,6 +36,7 @@ def ts(s):
 def spark():
     s = local_session("*", 8, app_name="tillroll-tests")
     yield s
+    release(s)
     s.stop()
 
 

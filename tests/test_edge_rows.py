@@ -214,3 +214,28 @@ def test_recency_of_timestamps_in_any_zone(spark, zone):
         assert life == {"a": 0, "b": 4}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_money_leaves_out_values_that_are_not_finite(spark):
+    from tillroll.functions.exprs import money_avg, money_sum
+    rows = [(1.25,), (float("nan"),), (float("inf"),), (None,), (2.5,), (-0.75,)]
+    got = spark.createDataFrame(rows, "x double").agg(money_sum("x").alias("s"), money_avg("x").alias("a")).first()
+    assert (got.s, got.a) == (3.0, 1.0)
+
+
+def test_partitioned_write_makes_few_files(spark, tmp_path):
+    from tillroll.plans.publish import write_table
+    rows = spark.range(20_000).repartition(16).selectExpr("id", "id % 12 AS month")
+    assert write_table(rows, str(tmp_path / "t"), partition_cols=["month"]) == 20_000
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) <= 24
+
+
+def test_one_row_per_customer_when_the_dimension_repeats_a_key(spark, transactions, customers, products):
+    from tillroll.operators import customers as ops
+    twice = customers.unionByName(customers.withColumns({"customer_segment": F.lit("Zeta")}))
+    life = ops.customer_lifetime(enrich(transactions, twice, products)).collect()
+    once = {r.customer_id: r for r in ops.customer_lifetime(enrich(transactions, customers, products)).collect()}
+    assert sorted(r.customer_id for r in life) == sorted(once)
+    for r in life:
+        assert r.customer_segment == "Zeta"
+        assert r.total_spent == 2 * once[r.customer_id].total_spent

@@ -45,9 +45,16 @@ def first_match(pairs: list[tuple[Column, object]], default: object) -> Column:
 MONEY = "decimal(38,6)"
 
 
-def money_sum_exact(c: Column | str) -> Column:
-    """Exact DECIMAL(38,6) sum (also for partial sums that are summed again)."""
+def finite(c: Column | str) -> Column:
+    """The value, or null where it is NaN or infinite."""
     col = F.col(c) if isinstance(c, str) else c
+    return F.when(F.abs(col) < F.lit(float("inf")), col)
+
+
+def money_sum_exact(c: Column | str) -> Column:
+    """Exact DECIMAL(38,6) sum (also for partial sums that are summed again).
+    NaN and infinite values are left out, like nulls."""
+    col = finite(c)
     whole = F.floor(col)
     micros = F.round((col - whole) * F.lit(1e6)).cast("long")
     return (F.sum(whole).cast(MONEY)
@@ -59,7 +66,7 @@ def money_sum(c: Column | str) -> Column:
 
 
 def money_avg(c: Column | str) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
+    col = finite(c)
     return F.try_divide(money_sum(col), F.count(col).cast("double"))
 
 

@@ -42,16 +42,15 @@ def customer_lifetime(enriched: DataFrame, as_of=None,
     ``as_of`` is the date recency is measured from; by default the latest
     transaction date in the data, so results do not change from day to day.
 
-    Customer attributes depend on the key, so they are grouping keys (keeps a
-    fixed-width hash aggregation; a string ``max``/``first`` buffer would force
-    a sort-based one). A customer key duplicated in the dimension, which the
-    quality checks report, yields one row per attribute combination.
+    One row per customer_id: an attribute is the greatest value among the
+    customer's rows, so a key that the dimension repeats with other attributes
+    does not split its totals.
 
     The per-customer table feeds both the as-of date and the rows, so by
     default it is written once to the shared checkpoint folder (``durable``)
     rather than computed twice from the fact table.
     """
-    per_customer = enriched.groupBy("customer_id", *attributes).agg(
+    per_customer = enriched.groupBy("customer_id").agg(
         money_sum("total_amount").alias("total_spent"),
         money_avg("total_amount").alias("avg_order_value"),
         money_sum("profit_amount").alias("total_profit_generated"),
@@ -60,6 +59,7 @@ def customer_lifetime(enriched: DataFrame, as_of=None,
         F.count_distinct("category").alias("categories_explored"),
         F.max("transaction_date").alias("last_purchase_date"),
         F.min("transaction_date").alias("first_purchase_date"),
+        *[F.max(a).alias(a) for a in attributes],
     ).select("customer_id", "total_spent", "avg_order_value", "total_profit_generated",
              "total_orders", "unique_products_purchased", "categories_explored",
              "last_purchase_date", "first_purchase_date", *attributes)

@@ -222,16 +222,12 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str, relation: str) ->
 
 
 def cleanse(df: DataFrame) -> DataFrame:
-    """Fill missing customer_segment / country and drop exact duplicate rows.
-
-    Deduplication only runs when the row fingerprints show repeats (a
-    12-byte-per-row shuffle); a table without duplicates is returned without
-    shuffling its rows. With repeats it is an exact ``dropDuplicates``."""
+    """Fill missing customer_segment / country and drop exact duplicate rows, in
+    one plan that reads its input once."""
     fills = {k: v for k, v in (("customer_segment", "Unknown"), ("country", "Not Specified"))
              if k in df.columns}
     out = df.fillna(fills) if fills else df
-    _, _, head = _fingerprint_counts(out)
-    return out.dropDuplicates() if head["repeated"] > 0 else out
+    return out.dropDuplicates()
 
 
 def quality_report(df: DataFrame, dataset: str, null_threshold: float = rules.NULL_THRESHOLD,

@@ -12,6 +12,7 @@ as Parquet under ``spark.checkpoint.dir`` and reading it back:
   files instead of recomputing the star join,
 * keeps later reads columnar and column-pruned.
 
+Copies stay until ``release`` deletes this application's folder of them.
 The folder comes from the session (``spark.checkpoint.dir``); it is never a
 machine-local temp folder on a cluster. Only when it is unset (local tests)
 does ``tillroll.session.ensure_checkpoint_dir`` assign one.
@@ -21,7 +22,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
@@ -30,7 +31,19 @@ def durable(df: DataFrame, name: str = "intermediate") -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and return
     a DataFrame that reads it back."""
     spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{root}/tillroll/{name}-{uuid.uuid4().hex}"
+    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
+
+
+def _folder(spark: SparkSession) -> str:
+    """This application's folder for its copies."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/tillroll/{spark.sparkContext.applicationId}"
+
+
+def release(spark: SparkSession) -> None:
+    """Delete all copies this application has written. DataFrames that read them
+    cannot be used afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -61,7 +61,13 @@ def with_lineage(df: DataFrame, etl_job_id: str) -> DataFrame:
 def write_table(df: DataFrame, path: str, file_format: str = "parquet",
                 partition_cols: list[str] | None = None, mode: str = "overwrite",
                 etl_job_id: str | None = None) -> int:
-    """Write ``df`` (plus lineage columns); return the number of rows written."""
+    """Write ``df`` (plus lineage columns); return the number of rows written.
+
+    Rows are first rebalanced by the partition columns, so that a partition
+    value is written by one task (or a few, where it is large) instead of one
+    file by every task."""
+    if partition_cols:
+        df = df.hint("rebalance", *partition_cols)
     fmt = file_format.lower()
     obs = Observation("write")
     out = with_lineage(df, etl_job_id or job_id()).observe(obs, F.count(F.lit(1)).alias("rows"))

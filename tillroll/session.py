@@ -8,6 +8,7 @@ resolve the shared checkpoint folder the cluster names.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,7 +51,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
         return existing
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir is not set: name a folder on shared storage "
                            "that every executor can write (a machine-local folder would not "
                            "survive an executor loss)")
