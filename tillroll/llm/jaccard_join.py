@@ -55,7 +55,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 def _sketch_bits(n: int, percent: int) -> int:
     wide = 8 * (100 - percent) * n // percent
-    return min(1 << 14, max(256, 1 << max(0, wide - 1).bit_length()))
+    return min(1 << 14, max(512, 1 << max(0, wide - 1).bit_length()))
 
 
 def _set_key(tokens: np.ndarray) -> bytes:
