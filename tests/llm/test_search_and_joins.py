@@ -243,3 +243,60 @@ def test_pipeline_stages_on_odd_rows(spark, odd_documents, no_documents):
                 assert out.columns == docs.columns
                 kept = out
             out.count()
+
+
+# --- one row of each group, told apart by row and not by id -------------------
+
+def kept_of_components(rows, k, percent):
+    """(doc_id, text) rows that stay: of each component the first by id (null
+    last), set key and digest of the text; every row without words."""
+    sets = [word_set(t, k) for _, t in rows]
+    label = list(range(len(rows)))
+    for i, x in enumerate(sets):
+        for j in range(i):
+            y, both = sets[j], len(x & sets[j])
+            if x and y and label[i] != label[j] and 100 * both >= percent * (len(x) + len(y) - both):
+                label = [label[j] if c == label[i] else c for c in label]
+
+    def first(row):
+        return (row[0] is None, row[0] or 0, jaccard_join._set_key(shingles.shingle_set(row[1], k)),
+                hashlib.md5(row[1].encode()).digest())
+
+    stay = [r for r, s in zip(rows, sets) if not s]
+    for c in set(label):
+        members = [r for r, s, own in zip(rows, sets, label) if s and own == c]
+        stay += [min(members, key=first)] if members else []
+    return sorted(stay, key=str)
+
+
+def near_rows():
+    """Near copies with null and repeated ids among unrelated texts."""
+    rng = random.Random(11)
+
+    def text(seed, changed=0):
+        words = [f"{seed}{i}" for i in range(100)]
+        for _ in range(changed):
+            words[rng.randrange(100)] = f"new{rng.randrange(10 ** 6)}"
+        return " ".join(words)
+
+    return [(1, text("a")), (None, text("a", 1)), (None, text("b")), (None, text("c")), (None, ""), (None, None),
+            (4, text("d")), (5, text("d", 1)), (5, text("e")), (5, ""),             # (5, e) is unrelated
+            (3, text("a", 1)), (3, text("f")), (9, text("f", 1)),                   # {3, 9} keeps (3, f)
+            (None, text("g")), (None, text("g", 1)), (None, text("g").upper()),     # no id at all
+            (7, text("h")), (7, text("h", 1)), (7, text("i")), (7, text("i")), (7, text("i").replace(" ", "  "))]
+
+
+def test_one_per_group_keeps_unrelated_rows_of_an_id(spark):
+    rows = near_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted((tuple(r) for r in jaccard_join.one_per_group(df).collect()), key=str)
+    assert got == kept_of_components(rows, 5, 80)
+    assert {(None, rows[2][1]), (None, rows[3][1]), (None, ""), (5, rows[8][1]), (3, rows[11][1])} <= set(got)
+
+
+def test_one_per_group_same_row_of_repeats(spark):
+    rows = [(1, "one two three four five six", s, n) for s, n in (("b", 1), ("c", 2), ("a", 3))] + [(2, "", "c", 4)]
+    schema = "doc_id long, text string, source string, n int"
+    for order in (rows, rows[::-1]):
+        got = jaccard_join.one_per_group(spark.createDataFrame(order, schema).repartition(3)).collect()
+        assert sorted(tuple(r) for r in got) == [rows[2], rows[3]]

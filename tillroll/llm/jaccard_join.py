@@ -39,14 +39,14 @@ from .bpe_codec import chunks
 from .components import components
 from .shingles import shingle_set
 from .signature_tree import Parities, candidates, most_difference, parity_sketch
-from .sized import broadcast_if_small
+from .sized import broadcast_if_small, first_rows, free_name
 
 UNIT = 4096                # rows of a unit of trees, and of a block of a large group
 HEAVY_SHARE = 4000         # a token in more than 1 / HEAVY_SHARE of the prefixes is heavy
 HEAVY_LEAST = 64
 SHARED_TOKENS = 2_000_000  # most 8-byte tokens that are broadcast; beyond, a shuffle join
 FIRST_PARTNERS = 2         # leaders verified for a document before the trees
-FEATURES = "doc_id long, tag long, n long, key binary, tokens array<long>, sketch binary"
+FEATURES = "doc_id long, tag long, mark binary, n long, key binary, tokens array<long>, sketch binary"
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -62,25 +62,31 @@ def _set_key(tokens: np.ndarray) -> bytes:
     return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
+def _mark(text: Column) -> Column:
+    """128 bits that tell texts apart; with the doc_id they name a row."""
+    return F.unhex(F.md5(text.cast("binary")))
+
+
 def set_features(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """One row per document: size and 128-bit key of its set, twice its prefix
-    in hash order, and a parity sketch."""
+    """One row per document: mark of its text, size and 128-bit key of its set,
+    twice its prefix in hash order, and a parity sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 sets = [shingle_set(t, words) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), part.column("tag"),
+                    part.column("doc_id"), part.column("tag"), part.column("mark"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_set_key(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([s[:2 * prefix_length(len(s), percent)].view(np.int64) if len(s) else None
                               for s in sets], pa.list_(pa.int64())),
                     pa.array([parity_sketch(s, _sketch_bits(len(s), percent)) if len(s) else None
                               for s in sets], pa.binary())],
-                    ["doc_id", "tag", "n", "key", "tokens", "sketch"])
+                    ["doc_id", "tag", "mark", "n", "key", "tokens", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.monotonically_increasing_id().alias("tag"), "text").mapInArrow(run, FEATURES)
+                       F.monotonically_increasing_id().alias("tag"), _mark(F.col("text")).alias("mark"),
+                       "text").mapInArrow(run, FEATURES)
 
 
 def _heavy_last(tokens: np.ndarray, heavy: np.ndarray) -> np.ndarray:
@@ -279,21 +285,22 @@ def _tree_pairs(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     return placed.groupBy("unit", "cut").applyInArrow(traverse, "a long, b long").distinct()
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+def _documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, mark, n, component_id, alone and kept of every row of ``docs``.
 
-    component_id is the smallest doc_id that links reach, the own one included.
-    A text without words (null included) has the empty set and is linked with
-    nothing. Repeated rows and rows that repeat a doc_id are documents of their
-    own; null ids sort below all others and are no component_id unless the whole
-    component has none. An empty table gives an empty result. Long texts are
-    read whole. Other columns are not looked at.
+    Of each component the row that comes first by doc_id (null last), set key
+    and mark is kept, and every row without words. ``alone`` is whether no other
+    row has the row's set. Rows with the same doc_id and mark are all kept or
+    all not.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     features = durable(set_features(docs, words, percent), "join-sets")
     classes = durable(features.filter("n > 0").groupBy("key").agg(
-        F.min(F.struct("doc_id", "tag")).alias("first"), F.min("doc_id").alias("least_id"))
-        .select("key", F.col("first.tag").alias("node"), "least_id"), "join-classes")
+        F.min(F.struct("doc_id", "tag")).alias("first"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("least"),
+        F.count(F.lit(1)).alias("rows"))
+        .select("key", F.col("first.tag").alias("node"), F.struct(
+            "least.no_id", "least.doc_id", "key", "least.mark").alias("least"), "rows"), "join-classes")
     chosen = broadcast_if_small(durable(classes.select(F.col("node").alias("tag")), "join-chosen"))
     whole = (features.join(chosen, "tag", "left_semi").withColumnRenamed("tag", "node"))
     prefixes = durable(_prefixes(docs, whole, classes.count(), words, percent), "join-tokens")
@@ -303,24 +310,56 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     rest = _unconnected(prefixes, components(links), percent)
     more = _tree_pairs(rest, reps, percent).join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(verified(docs, reps, more, words, percent))
-    joined = components(links).join(classes.select("node", "least_id"), "node")
-    least = joined.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    final = durable(joined.join(least, "component").select("node", "component_id"), "join-components")
+    joined = components(links).join(classes.select("node", "least"), "node")
+    least = joined.groupBy("component").agg(F.min("least").alias("stays"))
+    final = durable(joined.join(least, "component").select("node", "stays"), "join-components")
     of_class = (classes.join(final, "node", "left")
-                .select("key", F.coalesce("component_id", "least_id").alias("component_id")))
-    return (features.select("doc_id", "n", "key").join(of_class, "key", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-                    .alias("component_id")))
+                .select("key", "rows", F.coalesce("stays", "least").alias("stays")))
+    f, c = features.select("doc_id", "mark", "n", "key").alias("f"), of_class.alias("c")
+    first = (F.col("f.doc_id").eqNullSafe(F.col("c.stays.doc_id")) & (F.col("f.key") == F.col("c.stays.key"))
+             & (F.col("f.mark") == F.col("c.stays.mark")))
+    return f.join(c, F.col("f.key") == F.col("c.key"), "left").select(
+        "f.doc_id", "f.mark", "f.n",
+        F.when(F.col("f.n") == 0, F.col("f.doc_id")).otherwise(F.col("c.stays.doc_id")).alias("component_id"),
+        ((F.col("f.n") == 0) | (F.col("c.rows") == 1)).alias("alone"),
+        ((F.col("f.n") == 0) | first).alias("kept"))
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row of ``docs`` (doc_id, text).
+
+    component_id is the smallest doc_id that links reach, the own one included.
+    A text without words (null included) has the empty set and is linked with
+    nothing. Repeated rows and rows that repeat a doc_id are documents of their
+    own; null ids are no component_id unless the whole component has none. An
+    empty table gives an empty result. Long texts are read whole. Other columns
+    are not looked at.
+    """
+    return _documents(docs, words, percent).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, all
-    columns as they are. Rows that share this doc_id cannot be told apart by it
-    and stay, as do rows of a component without any id."""
-    found = jaccard_components(docs, words, percent)
+    """One row of ``docs`` for each component, all columns as they are: the one
+    with the smallest doc_id (null only if the component has no id), then the
+    smallest set key and text digest. Rows without words are linked with nothing
+    and all stay. Rows are told apart by doc_id and text; of rows that repeat
+    both, the one whose other columns come first as JSON stays.
+    """
+    found = durable(_documents(docs, words, percent), "join-documents")
     out = broadcast_if_small(durable(
-        found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(),
-        "join-dropped"))
-    d, x = docs.alias("d"), out.alias("x")
-    return d.join(x, F.col("d.doc_id").cast("long").eqNullSafe(F.col("x.doc_id")), "left_anti")
+        found.filter("not kept").select("doc_id", "mark").distinct(), "join-dropped"))
+    again = durable(found.filter("kept and not alone").groupBy("doc_id", "mark").count()
+                    .filter("count > 1").select("doc_id", "mark"), "join-again")
+    name = free_name(docs.columns, "_text_mark")
+    tagged = docs.withColumn(name, _mark(F.col("text")))
+
+    def same(right: str) -> Column:
+        return (F.col("d.doc_id").cast("long").eqNullSafe(F.col(f"{right}.doc_id"))
+                & (F.col(f"d.{name}") == F.col(f"{right}.mark")))
+
+    kept = tagged.alias("d").join(out.alias("x"), same("x"), "left_anti")
+    if again.count():
+        y = broadcast_if_small(again).alias("y")
+        once = first_rows(kept.alias("d").join(y, same("y"), "left_semi"), ["doc_id", name])
+        kept = kept.alias("d").join(y, same("y"), "left_anti").unionByName(once)
+    return kept.drop(name)

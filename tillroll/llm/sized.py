@@ -1,4 +1,4 @@
-"""Broadcast hints behind a check of the size."""
+"""Broadcast hints behind a check of the size; free names; one row of repeats."""
 
 from __future__ import annotations
 
@@ -22,3 +22,11 @@ def free_name(columns: list[str], base: str) -> str:
     while base.lower() in taken:
         base += "_"
     return base
+
+
+def first_rows(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of rows that repeat ``keys``, the one whose columns come first as JSON
+    (so reruns choose the same). Copies are aggregated before they are moved."""
+    whole = F.struct(*[F.col(c) for c in rows.columns])
+    return (rows.groupBy(*keys).agg(F.min_by(whole, F.to_json(whole)).alias("_first"))
+            .select("_first.*"))
