@@ -6,7 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from tillroll import oracle, queries
-from conftest import SF01
+from conftest import SF001, SF01
 from oracle_compare import compare, duck
 
 ORACLE_SF = os.environ.get("TILLROLL_ORACLE_SF", SF01)
@@ -56,3 +56,18 @@ def test_time_zone_independent(spark, con, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert not problems, problems
+
+
+@pytest.mark.parametrize("name,table", [("cleanse", "customer"), ("cleanse_products", "part"),
+                                        ("cleanse_transactions", "lineitem")])
+def test_cleanse_removes_repeated_rows(spark, tmp_path, name, table):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    for f in os.listdir(SF001):
+        os.symlink(f"{SF001}/{f}", tmp_path / f)
+    once = pq.read_table(f"{SF001}/{table}.parquet")
+    os.unlink(tmp_path / f"{table}.parquet")
+    pq.write_table(pa.concat_tables([once, once.slice(0, 50)]), tmp_path / f"{table}.parquet")
+    query = entry.queries()[name]
+    assert query(spark, str(tmp_path)).count() == query(spark, SF001).count() == once.num_rows
+    assert not compare(spark, name, query, entry.oracle_sql()[name], str(tmp_path), duck(str(tmp_path)))

@@ -581,6 +581,21 @@ def sql_cleanse() -> str:
 FROM customers""")
 
 
+def sql_cleanse_transactions() -> str:
+    cols = [("transaction_id", None), ("customer_id", None), ("product_id", None), ("quantity", None),
+            ("unit_price", 6), ("discount_amount", 6), ("total_amount", 6), ("transaction_date", None),
+            ("status", None)]
+    return with_model(f"""SELECT {_sel(cols)}
+FROM (SELECT DISTINCT * FROM transactions) c""")
+
+
+def sql_cleanse_products() -> str:
+    cols = [("product_id", None), ("product_name", None), ("category", None), ("subcategory", None),
+            ("brand", None), ("price", 6), ("cost", 6)]
+    return with_model(f"""SELECT {_sel(cols)}
+FROM (SELECT DISTINCT * FROM products) c""")
+
+
 def sql_freshness() -> str:
     asof = "TIMESTAMP '2024-02-01 00:00:00'"
 

@@ -177,6 +177,14 @@ def q_cleanse(spark, sf_dir):
     return quality.cleanse(model.customers(spark, sf_dir))
 
 
+def q_cleanse_transactions(spark, sf_dir):
+    return publishable(quality.cleanse(model.transactions(spark, sf_dir)), digits=6)
+
+
+def q_cleanse_products(spark, sf_dir):
+    return publishable(quality.cleanse(model.products(spark, sf_dir)), digits=6)
+
+
 def q_freshness(spark, sf_dir):
     tx = model.transactions(spark, sf_dir)
     lg = model.logs(spark, sf_dir)
