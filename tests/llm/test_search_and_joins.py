@@ -300,3 +300,17 @@ def test_one_per_group_same_row_of_repeats(spark):
     for order in (rows, rows[::-1]):
         got = jaccard_join.one_per_group(spark.createDataFrame(order, schema).repartition(3)).collect()
         assert sorted(tuple(r) for r in got) == [rows[2], rows[3]]
+
+
+def test_top_k_repeated_ids_with_other_vectors(spark):
+    """Every vector under an id is a candidate and a query, as in the SQL."""
+    rng = random.Random(3)
+    rows = sorted({(i % 45, tuple(rng.randint(-4, 4) for _ in range(5))) for i in range(120)})
+    want = []
+    for q in {i for i, _ in rows if i % 20 == 0}:
+        scores = sorted((-sum(a * b for a, b in zip(v, w)), i)
+                        for p, v in rows if p == q for i, w in rows if i != q)
+        want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:7])]
+    df = spark.createDataFrame([(i, list(v)) for i, v in rows], "vec_id long, v array<long>").repartition(4)
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, 7).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)

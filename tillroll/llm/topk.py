@@ -134,21 +134,21 @@ def best_in_chunk(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, ids: np.n
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
-    """The ``k`` highest inner products of every query with all other rows.
+    """The ``k`` highest inner products of every query id with the rows of other ids.
 
     ``vectors`` has vec_id and v (array of whole numbers); ``queries`` is a
     condition on vec_id. Returns query_id, rank from 1, vec_id, score; ties go
     to the smaller vec_id; a query with fewer than ``k`` other rows has all.
 
-    Rows with a null id or null v take no part. Of rows that repeat a vec_id
-    the one with the largest v (in array order) takes part. Shorter vectors
-    count as padded with 0. An empty table gives an empty result. Scores must
+    Rows with a null id or null v take no part. Rows that repeat a vec_id with
+    another v each take part, as candidates (so an id may have several ranks)
+    and as queries (the ``k`` best of all rows of the query's id); rows that
+    repeat both count once. Shorter vectors count as padded with 0. An empty table gives an empty result. Scores must
     fit 64 bits. Other columns are not looked at.
     """
     spark = vectors.sparkSession
     rows = durable(vectors.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
-                   .groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.max("v").alias("v")),
-                   "topk-vectors")
+                   .select(F.col("vec_id").cast("long").alias("vec_id"), "v").distinct(), "topk-vectors")
     n, width = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     asked = rows.filter(queries)
     n_asked = asked.count()
