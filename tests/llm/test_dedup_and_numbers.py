@@ -197,3 +197,25 @@ def test_mixed_documents_are_whole_and_in_order(documents, document_rows, odd_do
         want = sum(w > 0 and 2 * w >= r.size for w in (r.first_words, r.second_words))
         assert reads[i] == want
     assert mixing.mixed_documents(odd_documents).columns == odd_documents.columns
+
+
+def test_mixed_documents_place_every_repeat(spark):
+    rows = [(i % 40 if i % 3 else None, f"text {i % 40} " + "word " * (i % 7), "abc"[i % 5 % 3], i)
+            for i in range(240)]
+    rows += [(1, "same words here", s, n) for n, s in enumerate(["a", "b", None, "b", "a", "c"])]
+    schema = "doc_id long, text string, source string, n int"
+    want = defaultdict(int)
+    for r in mixing.mix(spark.createDataFrame(rows, schema)).collect():
+        want[r.order_key, r.source] += sum(w > 0 and 2 * w >= r.size for w in (r.first_words, r.second_words))
+    seen = []
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, schema).repartition(3)
+        out = mixing.mixed_documents(df)
+        assert out.columns == df.columns
+        key = mixing.order_key(F.col("doc_id"), F.col("text")).alias("key")
+        got = defaultdict(int)
+        for r in out.select(key, "source").collect():
+            got[r.key, r.source] += 1
+        assert dict(got) == {k: n for k, n in want.items() if n}
+        seen.append(sorted((tuple(r) for r in out.collect()), key=str))
+    assert seen[0] == seen[1] and set(seen[0]) <= set(rows)

@@ -162,23 +162,43 @@ def training_order(rows: DataFrame, at: str = "read_key") -> DataFrame:
     return rows.repartitionByRange(F.col(at), F.col("doc_id")).sortWithinPartitions(at, "doc_id")
 
 
+def _numbered(rows: DataFrame, repeated: DataFrame, key: str, name: str, order: Sequence[Column]) -> DataFrame:
+    """``rows`` with a number from 1 among the rows of the same ``key``. Only rows
+    of ``repeated`` keys are ordered."""
+    again = broadcast_if_small(repeated.withColumnRenamed("order_key", key))
+    number = F.row_number().over(W.partitionBy(key).orderBy(*order))
+    return rows.join(again, key, "left_anti").withColumn(name, F.lit(1)).unionByName(
+        rows.join(again, key, "left_semi").withColumn(name, number))
+
+
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
     """The documents of a mix in training order, all columns as they are, a row
     for each time a document is read. Documents stay whole: one that a target
     cuts is read if at least half of its words are taken. Rows that repeat both
-    id and text take part once."""
+    id and text each take part: they are numbered by source, then by their other
+    columns as JSON, and meet the mix's rows of that source in order.
+    """
     key, at = free_name(docs.columns, "_mix_key"), free_name(docs.columns, "_mix_at")
+    number = free_name(docs.columns, "_mix_number")
     keyed = docs.withColumn(key, order_key(F.col("doc_id"), F.col("text")))
-    mixed = durable(mix(docs, **parameters), "mixed")
-    if mixed.groupBy("order_key").count().filter("count > 1").limit(1).count():
-        keyed = keyed.dropDuplicates([key])
-        mixed = durable(mix(keyed.drop(key), **parameters), "mixed")
+    mixed = durable(mix(docs, **parameters), "mixed").withColumnRenamed("order_key", key)
+    on = [key]
+    repeated = durable(mixed.groupBy(key).count().filter("count > 1").select(
+        F.col(key).alias("order_key")), "mix-repeated")
+    if repeated.count():
+        on = [key, number]
+        others = [F.col(c) for c in docs.columns if c.lower() != "text"]
+        keyed = _numbered(keyed, repeated, key, number, [
+            F.col("source").cast("string"), F.to_json(F.struct(*others))])
+        mixed = _numbered(mixed, repeated, key, number, [
+            F.col("source"), F.col("first_at").asc_nulls_last(), F.desc("first_words"),
+            F.col("second_at").asc_nulls_last(), F.desc("second_words")])
 
     def whole(epoch: str) -> Column:
         words = F.col(f"{epoch}_words")
         return F.when((words > 0) & (words * 2 >= F.col("size")), F.col(f"{epoch}_at"))
 
-    reads = broadcast_if_small(durable(mixed.select(F.col("order_key").alias(key), F.explode(
+    reads = broadcast_if_small(durable(mixed.select(*on, F.explode(
         F.array_compact(F.array(whole("first"), whole("second")))).alias(at)), "mix-reads"))
-    read = keyed.join(reads, key)
+    read = keyed.join(reads, on)
     return read.repartitionByRange(at, key).sortWithinPartitions(at, key).select(*docs.columns)
