@@ -219,3 +219,19 @@ def test_mixed_documents_place_every_repeat(spark):
         assert dict(got) == {k: n for k, n in want.items() if n}
         seen.append(sorted((tuple(r) for r in out.collect()), key=str))
     assert seen[0] == seen[1] and set(seen[0]) <= set(rows)
+
+
+@pytest.mark.parametrize("old", [0, 1])
+def test_screen_deals_a_large_batch_over_more_groups(spark, monkeypatch, old):
+    """A snapshot of no or one text (one outlying small id) has one filter, but
+    the batch's digests do not all meet it in one group."""
+    monkeypatch.setattr(exact_dedup, "KEYS_PER_BUCKET", 16)
+    rows = [(-10 ** 12, "text 5")][:old] + [(None if not old else i, f"text {i % 400}") for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    def contains(made, keys):
+        assert len(keys) <= 64
+        return fuse_filter.contains(made, keys)
+
+    monkeypatch.setattr(exact_dedup, "fuse_filter", type("Bounded", (), {
+        "contains": staticmethod(contains), "build": staticmethod(fuse_filter.build)}))
+    check_dedup(exact_dedup.dedup_corpus(df).collect(), rows)

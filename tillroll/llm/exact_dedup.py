@@ -85,15 +85,21 @@ def build_snapshot(docs: DataFrame, digests: DataFrame | None = None) -> Snapsho
 
 
 def screen(snapshot: Snapshot, groups: DataFrame) -> DataFrame:
-    """Batch groups that the snapshot's filters do not rule out (text_sha256,
-    key, n, top). Each bucket's filter meets that bucket's keys in one task."""
+    """Batch groups (a written table: text_sha256, key, n, top) that the
+    snapshot's filters do not rule out. The batch's share of a bucket is dealt
+    into slices of about ``KEYS_PER_BUCKET`` keys, whatever the snapshot's size,
+    and each slice meets a copy of the bucket's filter."""
     def probe(batch: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         keep = fuse_filter.contains(own["filter"].iloc[0] if len(own) else None,
                                     batch["key"].to_numpy(np.int64).view(np.uint64))
         return batch.loc[keep, ["text_sha256", "key"]]
 
-    keys = groups.select("text_sha256", "key", _bucket(snapshot.buckets))
-    return (keys.groupBy("bucket").cogroup(snapshot.filters.groupBy("bucket"))
+    slices = max(1, -(-groups.count() // (KEYS_PER_BUCKET * snapshot.buckets)))
+    own = F.pmod(F.xxhash64("key"), F.lit(slices)).alias("slice")
+    keys = groups.select("text_sha256", "key", _bucket(snapshot.buckets), own)
+    filters = snapshot.filters.select("*", F.explode(
+        F.sequence(F.lit(0).cast("long"), F.lit(slices - 1).cast("long"))).alias("slice"))
+    return (keys.groupBy("bucket", "slice").cogroup(filters.groupBy("bucket", "slice"))
             .applyInPandas(probe, "text_sha256 string, key long"))
 
 
