@@ -5,8 +5,9 @@ side; every node above holds the OR of its children's token bitmaps, the range
 of their sizes and what they have in common (component, side). Two trees, or a
 tree with itself, are traversed together from the roots: a pair of nodes is
 dropped if no token can be shared, if no two sizes can reach the similarity, or
-if all its pairs are known to be connected. What is left of the leaf pairs
-passes a bound on the symmetric difference.
+if all its pairs are known to be connected. Bitmaps hold prefix tokens, so the
+largest possible overlap of whole sets is not bounded at inner nodes. What is
+left of the leaf pairs passes a bound on the symmetric difference.
 """
 
 from __future__ import annotations
