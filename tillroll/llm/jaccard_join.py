@@ -1,7 +1,7 @@
 """Exact n-gram Jaccard join with signature trees.
 
 Which documents are linked by a similarity of ``percent`` / 100 or more, and
-the components of those links. No link between different sets is lost:
+the components of those links. No link between components is lost:
 
 1. Equal sets are one class. Only one representative of a class goes on.
 2. Two sets that are similar enough share a token among each one's first
@@ -19,7 +19,9 @@ the components of those links. No link between different sets is lost:
    the symmetric difference of the pairs left.
 5. Candidates are verified on the whole texts.
 
-Links found in 3 and 5 give the components. Only documents in candidate pairs
+Links found in 3 and 5 give the components, which are all that the operator
+gives: pairs that are connected already are not looked at, so the links found
+are neither all links nor a count of them. Only documents in candidate pairs
 send their texts.
 """
 
