@@ -314,3 +314,56 @@ def test_top_k_repeated_ids_with_other_vectors(spark):
     df = spark.createDataFrame([(i, list(v)) for i, v in rows], "vec_id long, v array<long>").repartition(4)
     got = topk.top_k(df, F.col("vec_id") % 20 == 0, 7).collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == sorted(want)
+
+
+def test_pipeline_keeps_whole_odd_rows(spark, odd_documents, tmp_path):
+    """Every stage on whole texts with null ids, repeated rows and near copies:
+    the (doc_id, text) rows it keeps, by brute force."""
+    blank = odd_documents.limit(1).select(*[F.lit(None).cast(t).alias(c) for c, t in odd_documents.dtypes])
+    more = spark.createDataFrame([(i, t, "s" if n % 2 else "u") for n, (i, t) in enumerate(near_rows())],
+                                 "doc_id long, text string, source string")
+    docs = odd_documents.unionByName(more.crossJoin(blank.drop("doc_id", "text", "source")).select(
+        *odd_documents.columns))
+    docs.write.parquet(str(tmp_path / "documents"))
+    docs = spark.read.parquet(str(tmp_path / "documents"))
+    kept, found = docs, []
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, kept, SF01).write.parquet(str(tmp_path / name))
+        kept = spark.read.parquet(str(tmp_path / name))
+        found.append(kept.collect())
+    pairs = [sorted(((r.doc_id, r.text) for r in rows), key=str) for rows in [docs.collect(), *found[:4]]]
+
+    scorer = toxicity.Scorer(toxicity.fit(docs, spark.read.parquet(f"{SF01}/labels.parquet"), F.lit(True)))
+    assert pairs[1] == [r for r in pairs[0] if scorer.score(r[1] or "") < 0.7]
+
+    groups = defaultdict(list)
+    for i, t in pairs[1]:
+        groups["".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")].append((i, t))
+    assert len(pairs[2]) == len(groups) and set(pairs[2]) <= set(pairs[1])
+    for i, t in pairs[2]:
+        own = groups.pop("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        assert i == max((d for d, _ in own if d is not None), default=None)
+
+    assert pairs[3] == kept_of_components(pairs[2], 5, 80)
+
+    sql = duck(SF01)
+    sql.execute("CREATE OR REPLACE TEMP TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    sql.executemany("INSERT INTO temp.documents VALUES (?, ?, ?)",
+                    [(r.doc_id, r.text, r.source) for r in found[2]])
+    rel = sql.sql(oracle.MIXING)
+    reads, got = defaultdict(int), defaultdict(int)
+    for r in (dict(zip(rel.columns, x)) for x in rel.fetchall()):
+        once = min(r["size"], r["taken"])
+        reads[r["doc_id"], r["size"]] += sum(w > 0 and 2 * w >= r["size"] for w in (once, r["taken"] - once))
+    for i, t in pairs[4]:
+        got[i, len((t or "").encode().split())] += 1
+    assert set(pairs[4]) <= set(pairs[3]) and dict(got) == {k: n for k, n in reads.items() if n}
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = []
+    for i, t in pairs[4]:
+        ids = library.encode(t or "", add_special_tokens=False).ids
+        text = library.decode(ids, skip_special_tokens=False)
+        want.append((str(i), ids, hashlib.sha256(text.encode()).hexdigest()))
+    assert sorted(want) == sorted((str(r.doc_id), np.frombuffer(bytes(r.ids), "<u4").tolist(), r.decoded_sha256)
+                                  for r in found[4])
