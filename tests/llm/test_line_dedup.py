@@ -1,0 +1,103 @@
+"""Line dedup: brute force, lines across partitions, bitmaps, odd rows, SQL."""
+
+import hashlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from llm_fixtures import document_rows, documents, no_documents, odd_documents, sf  # noqa: F401
+from oracle_compare import compare
+from tillroll.llm import line_dedup
+
+
+def key(line):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(line_dedup.BLANKS))
+
+
+def brute(rows, min_chars=20, min_documents=3):
+    """(doc_id, text) rows -> sorted (doc_id, n_lines, n_dropped, kept text)."""
+    holders = defaultdict(set)
+    for i, (doc_id, text) in enumerate(rows):
+        for line in (text or "").split("\n"):
+            if len(key(line)) >= min_chars:
+                holders[key(line)].add((doc_id is not None, doc_id or 0, i))
+    out = []
+    for doc_id, text in rows:
+        lines, me = (text or "").split("\n"), (doc_id is not None, doc_id or 0)
+        keep = [line for line in lines if len(holders.get(key(line), ())) < min_documents
+                or max(holders[key(line)])[:2] == me]
+        out.append((doc_id, len(lines), len(lines) - len(keep), "\n".join(keep)))
+    return sorted(out, key=str)
+
+
+def check(docs):
+    expected = brute([(r.doc_id, r.text) for r in docs.collect()])
+    got = sorted((tuple(r) for r in line_dedup.dedup_lines(docs).collect()), key=str)
+    assert got == sorted([(*r[:3], hashlib.sha256(r[3].encode()).hexdigest()) for r in expected], key=str)
+    return expected
+
+
+def test_brute_force(documents):
+    assert sum(r[2] for r in check(documents)) > 0
+
+
+def test_odd_rows(odd_documents, no_documents):
+    check(odd_documents)
+    assert line_dedup.dedup_lines(no_documents).count() == 0
+
+
+def test_kept_texts_and_other_columns(spark, documents):
+    named = documents.withColumn("_keep_bitmap", F.lit("x")).withColumn("n_dropped", F.lit(7))
+    out = line_dedup.kept_texts(named, line_dedup.keep_bitmaps(named))
+    assert out.columns == named.columns + ["n_dropped_"]
+    expected = [r for r in brute([(r.doc_id, r.text) for r in documents.collect()]) if r[2]]
+    assert sorted((r[0], r.n_dropped_, r.text) for r in out.collect()) == sorted(
+        (r[0], r[2], r[3]) for r in expected)
+
+
+@pytest.mark.parametrize("ids", ["id", "null", "few"])
+def test_hot_lines_over_partitions(spark, ids):
+    """One line is in all documents, one in a third, small Arrow batches, and the
+    line's rows fill many partitions."""
+    doc_id = {"id": F.col("id"), "null": F.when(F.col("id") % 3 > 0, F.col("id")),
+              "few": F.col("id") % 5}[ids]
+    lines = [F.lit("This line is in every single document"),
+             F.when(F.col("id") % 3 == 0, F.lit("  A third of the documents hold THIS line ")),
+             F.concat(F.lit("two documents hold line number "), F.floor(F.col("id") / 2)),
+             F.concat(F.lit("three documents hold line number "), F.floor(F.col("id") / 3)),
+             F.lit("short"), F.lit("\tthis line is in every single document\r")]
+    docs = spark.range(4000).select(doc_id.alias("doc_id"), F.concat_ws("\n", *lines).alias("text"))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        check(docs)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_summaries_are_two_rows_a_partition(spark, documents):
+    keys = ["line", F.desc_nulls_last("doc_id"), "row_tag", "pos"]
+    ordered = line_dedup.line_hashes(documents, 20).repartitionByRange(16, *keys).sortWithinPartitions(*keys)
+    verdicts = line_dedup.stream_verdicts(ordered, 3)
+    assert verdicts.filter(f"kind = {line_dedup.SUMMARY}").count() <= 32
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 8, 9, 16, 1000])
+def test_bitmaps_round_trip(n):
+    rng = np.random.default_rng(n)
+    for dropped in ([0], [n - 1], list(range(n)), sorted(set(rng.integers(0, n, n // 2 + 1).tolist()))):
+        keep = line_dedup.unpack(line_dedup.pack(np.array(dropped)), n)
+        assert len(keep) == n and np.flatnonzero(~keep).tolist() == sorted(set(dropped))
+    assert len(line_dedup.pack(np.arange(100_000))) < 200
+
+
+def test_matches_sql(spark, sf):
+    name = "op13_line_dedup"
+    assert not compare(spark, name, entry.queries()[name], entry.oracle_sql()[name], sf)

@@ -146,7 +146,24 @@ SELECT s.doc_id, s.leaf, s.subroot, r.root, sha256(a.proof) AS proof_sha256, a.n
 FROM start s JOIN above a ON a.row_no = s.row_no JOIN root r ON a.level = r.height
 """
 
+LINE_DEDUP = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS row_no, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (
+  SELECT row_no, doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+shared AS (
+  SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT row_no) >= 3),
+verdicts AS (
+  SELECT k.*, s.key IS NULL OR k.doc_id IS NOT DISTINCT FROM s.top AS stays FROM k LEFT JOIN shared s ON k.key = s.key)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (stays), '')) AS kept_sha256
+FROM verdicts GROUP BY row_no
+"""
+
 
 def registry() -> dict[str, str]:
     return {"op1_exact_dedup": EXACT_DEDUP, "op2_top_k": TOP_K, "op6_mixing": MIXING,
-            "op11_merkle_manifest": MERKLE}
+            "op11_merkle_manifest": MERKLE, "op13_line_dedup": LINE_DEDUP}
