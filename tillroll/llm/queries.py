@@ -12,8 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_codec, exact_dedup, jaccard_join, langid, line_dedup, merkle, mixing, sharding,
-               token_count, topk, toxicity, url_filter)
+from . import (bpe_codec, conversation_trie, exact_dedup, jaccard_join, langid, line_dedup, merkle,
+               mixing, sharding, token_count, topk, toxicity, url_filter)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -82,6 +82,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(_table(spark, sf_dir, "documents"))
 
@@ -99,5 +103,6 @@ def registry() -> dict[str, QueryFn]:
         "op9_jaccard_join": op9_jaccard_join,
         "op10_sharding": op10_sharding,
         "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_conversation_trie": op12_conversation_trie,
         "op13_line_dedup": op13_line_dedup,
     }
