@@ -166,10 +166,10 @@ def test_rank_splits_a_heavily_tied_value(spark):
     assert 7.0 in cuts and heavy >= n // 3        # the heavy value is a cut point: own bucket
 
 
-@pytest.mark.parametrize("max_items", [2, 4, 1000])
-def test_basket_pairs_big_basket_paths(spark, max_items):
+@pytest.mark.parametrize("block_items", [2, 4, 512])
+def test_basket_pairs_big_baskets_in_blocks(spark, block_items):
     # one hot basket holding a third of the rows plus many small ones; small
-    # max_items forces the big-basket paths (lookups, r-filtered enumeration)
+    # block_items cuts them into many blocks
     rnd = random.Random(11)
     rows = [("hot", 0, f"p{i % 15}", 1.0) for i in range(300)]
     for b in range(1, 300):
@@ -193,8 +193,8 @@ def test_basket_pairs_big_basket_paths(spark, max_items):
     for min_support in (0.0, 0.02, 0.1, 0.5):
         want = {k: v for k, v in counts.items() if v / total >= min_support}
         got = {(r["product_1"], r["product_2"]): r["pair_count"]
-               for r in baskets.basket_pairs(df, min_support, max_items=max_items).collect()}
-        assert got == want, (max_items, min_support)
+               for r in baskets.basket_pairs(df, min_support, block_items=block_items).collect()}
+        assert got == want, (block_items, min_support)
 
 
 @pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Tokyo"])

@@ -10,84 +10,126 @@ counts twice (pair weight = multiplicity_a x multiplicity_b); support divides
 by all baskets, single-item ones included. ``distinct_items=True`` counts each
 item once per basket.
 
-Scale plan:
+Scale plan (heavy-light decomposition, every step exact):
 1. (basket, item) multiplicities with map-side combine, shuffled by all three
    keys, so a hot basket is spread by item.
-2. Exact Apriori pruning before any pair is formed: for item a,
-   bound(a) = sum over multi-item baskets of mult_a * max multiplicity in the
-   basket, and pair_count(a, b) <= bound(a). Items whose bound cannot reach
-   min_support never enter the pair join.
-3. Self equi-join on the basket key with a < b, each pair weighted, then a
-   partial/final aggregation by pair; skewed baskets are split by AQE.
+2. Apriori bound before any pair is formed: pair_count(a, b) <= sum over baskets
+   of mult_a * largest multiplicity there. Items that cannot reach min_support go.
+3. Each basket is split by multiplicity: its light maximum is the smallest
+   multiplicity that at most sqrt(items) of its items exceed; those are heavy.
+   Pairs with a heavy item are joined linearly: heavy items x items.
+4. Light pairs can only be frequent by themselves if both items reach min_support
+   under the *light* maximum; only those items are paired, so one item bought 200
+   times does not make every item of its basket a candidate.
+5. A pair that needs its heavy part to be frequent is looked up: the light rows of
+   its rarer item meet the other item's by (basket, item).
+6. Joins inside a basket are salted: its items are dealt into blocks of about
+   ``BLOCK_ITEMS`` and pairs of blocks are joined, so a big basket is many tasks.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.exprs import money_sum, one_row
 from ..plans.durable import durable
 
 BASKET = ("customer_id", "transaction_date")
-# Baskets with more candidate items than this are "big": their pairs are not
-# enumerated basket by basket (see ``_pair_counts``).
-MAX_ENUMERATED_ITEMS = 1000
-
-
-def _pair_counts(cand: DataFrame, total_baskets: int, min_support: float,
-                 max_items: int, big_rows: int, big_max_mult: int | None) -> DataFrame:
-    """Exact pair_count (sum of mult_a * mult_b over baskets, a < b) for every
-    pair that can reach ``min_support``, without enumerating all pairs of a
-    big basket.
-
-    * Small baskets (at most ``max_items`` items, ``_n_items``) enumerate their
-      pairs: at most max_items^2 / 2 per basket.
-    * Big baskets add their contribution to those pairs by lookup joins
-      (pair x big baskets holding its first item).
-    * A pair seen only in big baskets has count <= k * m^2 if it is in k of
-      them (m = largest multiplicity there). With r the least k that can reach
-      min_support, only items found in at least r big baskets are paired
-      inside big baskets. One hot basket (r >= 2) is then never enumerated.
-    """
-    small = cand.filter(F.col("_n_items") <= max_items).drop("_n_items")
-    big = cand.filter(F.col("_n_items") > max_items).drop("_n_items")
-
-    def enumerate_pairs(rows: DataFrame) -> DataFrame:
-        left = rows.select(*BASKET, F.col("item").alias("product_1"), F.col("item_count").alias("_c1"))
-        right = rows.select(*BASKET, F.col("item").alias("product_2"), F.col("item_count").alias("_c2"))
-        return (left.join(right, list(BASKET), "inner")
-                .filter(F.col("product_1") < F.col("product_2"))
-                .groupBy("product_1", "product_2")
-                .agg(F.sum(F.col("_c1") * F.col("_c2")).alias("pair_count")))
-
-    from_small = enumerate_pairs(small)
-    if not big_rows:
-        return from_small
-    # big-basket contributions to pairs already seen in small baskets
-    b1 = big.select(*BASKET, F.col("item").alias("product_1"), F.col("item_count").alias("_c1"))
-    b2 = big.select(*BASKET, F.col("item").alias("product_2"), F.col("item_count").alias("_c2"))
-    added = (from_small.select("product_1", "product_2").join(b1, "product_1", "inner")
-             .join(b2, [*BASKET, "product_2"], "inner")
-             .groupBy("product_1", "product_2")
-             .agg(F.sum(F.col("_c1") * F.col("_c2")).alias("_big")))
-    seen = (from_small.join(added, ["product_1", "product_2"], "left")
-            .select("product_1", "product_2",
-                    (F.col("pair_count") + F.coalesce(F.col("_big"), F.lit(0))).alias("pair_count")))
-    # pairs found only in big baskets: items must sit in at least r of them
-    m2 = int(big_max_mult) ** 2
-    r = max(1, math.ceil(min_support * total_baskets / m2))
-    while r > 1 and ((r - 1) * m2) / total_baskets >= min_support:
-        r -= 1
-    while (r * m2) / total_baskets < min_support:
-        r += 1
-    spread = big.groupBy("item").agg(F.count("*").alias("_k")).filter(F.col("_k") >= r)
-    only_big = (enumerate_pairs(big.join(spread.select("item"), "item", "left_semi"))
-                .join(from_small.select("product_1", "product_2"),
-                      ["product_1", "product_2"], "left_anti"))
-    return seen.unionByName(only_big)
+BLOCK_ITEMS = 512
+PAIR = ("product_1", "product_2")
+
+
+def basket_limits(items: DataFrame) -> DataFrame:
+    """Per basket of at least two items: ``max_mult`` and ``light_max``, the
+    smallest multiplicity of it that at most sqrt(items) items exceed. The window
+    holds one row per distinct multiplicity (at most about sqrt(2 x purchases))."""
+    at = items.groupBy(*BASKET, "item_count").agg(F.count(F.lit(1)).alias("_n"))
+    basket = W.partitionBy(*BASKET)
+    higher = basket.orderBy(F.desc("item_count")).rowsBetween(W.unboundedPreceding, -1)
+    told = at.select(*BASKET, "item_count", F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_above"),
+                     F.sum("_n").over(basket).alias("_items"))
+    return (told.groupBy(*BASKET).agg(
+        F.max("_items").alias("_items"), F.max("item_count").alias("max_mult"),
+        F.min(F.when(F.col("_above") <= F.floor(F.sqrt("_items")), F.col("item_count"))).alias("light_max"))
+        .filter("_items >= 2").drop("_items"))
+
+
+def _own_block(item: Column) -> Column:
+    return F.pmod(F.xxhash64(item), F.col("blocks"))
+
+
+def _block_pairs(left: DataFrame, right: DataFrame, once: Column) -> DataFrame:
+    """Sums of mult_a * mult_b of pairs from ``left`` and ``right`` (basket, item,
+    item_count, _i, _j), joined by basket and pair of blocks where ``once`` holds."""
+    met = left.alias("a").join(right.alias("b"), [F.col(f"a.{c}") == F.col(f"b.{c}")
+                                                  for c in (*BASKET, "_i", "_j")], "inner").filter(once)
+    return met.groupBy(F.least("a.item", "b.item").alias("product_1"),
+                       F.greatest("a.item", "b.item").alias("product_2")).agg(
+        F.sum(F.col("a.item_count") * F.col("b.item_count")).alias("pair_count"))
+
+
+def light_pairs(light: DataFrame) -> DataFrame:
+    """All pairs of light rows of a basket; rows carry the basket's ``blocks``."""
+    own = _own_block(F.col("item"))
+    left = light.select("*", own.alias("_i"), F.explode(F.sequence(own, F.col("blocks") - 1)).alias("_j"))
+    right = light.select("*", F.explode(F.sequence(F.lit(0).cast("long"), own)).alias("_i"), own.alias("_j"))
+    return _block_pairs(left, right, (F.col("a._i") < F.col("a._j")) | (F.col("a.item") < F.col("b.item")))
+
+
+def heavy_pairs(cand: DataFrame) -> DataFrame:
+    """All pairs of a basket with at least one heavy item."""
+    zero = F.lit(0).cast("long")
+    heavy = cand.filter("heavy").select("*", F.explode(F.sequence(zero, F.col("blocks") - 1)).alias("_i"),
+                                        zero.alias("_j"))
+    others = cand.select("*", _own_block(F.col("item")).alias("_i"), zero.alias("_j"))
+    return _block_pairs(heavy, others, (F.col("a.item") != F.col("b.item")) & (
+        ~F.col("b.heavy") | (F.col("a.item") < F.col("b.item"))))
+
+
+def _light_bounds(light: DataFrame) -> DataFrame:
+    return light.groupBy("item").agg(F.sum(F.col("item_count") * F.col("light_max")).alias("light_bound"))
+
+
+def looked_up_pairs(wanted: DataFrame, light: DataFrame) -> DataFrame:
+    """The light part of the pairs in ``wanted`` (product_1, product_2, and item: the
+    rarer of the two)."""
+    rows = light.select(*BASKET, "item", "item_count")
+    other = F.when(F.col("item") == F.col("product_1"), F.col("product_2")).otherwise(F.col("product_1"))
+    first = wanted.join(rows, "item").select(*PAIR, *BASKET, F.col("item_count").alias("_c1"),
+                                             other.alias("item"))
+    return (first.join(rows, [*BASKET, "item"]).groupBy(*PAIR)
+            .agg(F.sum(F.col("_c1") * F.col("item_count")).alias("pair_count")))
+
+
+def _pair_counts(items: DataFrame, frequent, block_items: int) -> DataFrame:
+    """Exact pair_count (sum of mult_a * mult_b over baskets, a < b) of every pair
+    that can be ``frequent`` (a test of a count or of an upper bound)."""
+    sized = items.join(basket_limits(items), list(BASKET), "inner")
+    bound = sized.groupBy("item").agg(F.sum(F.col("item_count") * F.col("max_mult")).alias("_bound"))
+    keep = bound.filter(frequent(F.col("_bound"))).select("item")
+    kept = durable(sized.join(keep, "item", "left_semi").drop("max_mult"), "basket_candidates")
+    # Baskets are counted again: few of a big basket's items may be left.
+    blocks = kept.groupBy(*BASKET).agg(F.count(F.lit(1)).alias("_left")).filter("_left >= 2").select(
+        *BASKET, F.ceil(F.col("_left") / block_items).alias("blocks"))
+    cand = kept.join(blocks, list(BASKET), "inner").withColumn(
+        "heavy", F.col("item_count") > F.col("light_max"))
+    light = cand.filter("not heavy")
+    heavy = durable(heavy_pairs(cand), "basket_heavy_pairs")
+    bounds = durable(_light_bounds(light), "basket_light_bounds")
+    alone = bounds.filter(frequent(F.col("light_bound"))).select("item")
+    from_light = light_pairs(light.join(alone, "item", "left_semi"))
+    # Pairs of which an item is not in ``alone``: their light part is below min_support.
+    b1 = bounds.select(F.col("item").alias("product_1"), F.col("light_bound").alias("_b1"))
+    b2 = bounds.select(F.col("item").alias("product_2"), F.col("light_bound").alias("_b2"))
+    least = F.least("_b1", "_b2")
+    wanted = (heavy.join(b1, "product_1").join(b2, "product_2")
+              .filter(~frequent(least) & frequent(F.col("pair_count") + least))
+              .select(*PAIR, F.when(F.col("_b1") <= F.col("_b2"), F.col("product_1"))
+                      .otherwise(F.col("product_2")).alias("item")))
+    return (from_light.unionByName(heavy).unionByName(looked_up_pairs(wanted, light))
+            .groupBy(*PAIR).agg(F.sum("pair_count").alias("pair_count")))
 
 
 def baskets(enriched: DataFrame) -> DataFrame:
@@ -109,16 +151,17 @@ def basket_items(enriched: DataFrame, item_col: str = "product_id") -> DataFrame
 
 def basket_pairs(enriched: DataFrame, min_support: float = 0.01, item_col: str = "product_id",
                  distinct_items: bool = False, with_info: bool | None = None,
-                 materialize: bool = True, max_items: int = MAX_ENUMERATED_ITEMS) -> DataFrame:
+                 materialize: bool = True, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Item pairs (product_1 < product_2) with pair_count and support >= min_support.
 
     With ``item_col == "product_id"`` each side gets its category and brand
     (lookups into the distinct (product, category, brand) triples), as published.
 
-    The enriched input is read once: every later step (basket totals, basket
-    stats, the item lookup, the pair join) derives from one pre-aggregated
-    (basket, item[, category, brand]) table, written once to the shared
-    checkpoint folder by default (``materialize``).
+    The enriched input is read once: every later step derives from one
+    pre-aggregated (basket, item[, category, brand]) table, written once to the
+    shared checkpoint folder by default (``materialize``). The candidates left by the
+    Apriori bound, their heavy pairs and their light bounds (each used several
+    times, each much smaller) are written too.
     """
     if with_info is None:
         with_info = item_col == "product_id"
@@ -137,22 +180,12 @@ def basket_pairs(enriched: DataFrame, min_support: float = 0.01, item_col: str =
     total_baskets = one_row(grouped.groupBy(*BASKET).agg(F.lit(1).alias("_one"))
                             .select(F.count("*")))[0]
     total = F.lit(total_baskets)
-    stats = items.groupBy(*BASKET).agg(F.count("*").alias("_n_items"),
-                                       F.max("item_count").alias("_max_mult"))
-    multi = items.join(stats.filter(F.col("_n_items") >= 2), list(BASKET), "inner")
-    # Whether any basket is too big to enumerate, from the small per-basket table.
-    big_head = one_row(stats.filter(F.col("_n_items") > max_items).agg(
-        F.count("*").alias("n"), F.max("_max_mult").alias("m")))
-    # Exact Apriori bound: pair_count(a, b) <= sum(mult_a * max multiplicity).
-    bound = multi.groupBy("item").agg(
-        F.sum(F.col("item_count") * F.col("_max_mult")).alias("_bound"))
-    keep = bound.filter(F.col("_bound") / total >= F.lit(min_support)).select("item")
-    cand = multi.join(keep, "item", "left_semi").select(*BASKET, "item", "item_count",
-                                                        "_n_items")
-    pairs = _pair_counts(cand, total_baskets, min_support, max_items, big_head["n"],
-                         big_head["m"])
-    out = (pairs.withColumn("support", F.col("pair_count") / total)
-           .filter(F.col("support") >= F.lit(min_support)))
+
+    def frequent(count: Column) -> Column:
+        return count / total >= F.lit(min_support)
+
+    pairs = _pair_counts(items, frequent, block_items)
+    out = pairs.withColumn("support", F.col("pair_count") / total).filter(F.col("support") >= F.lit(min_support))
     if with_info:
         info = grouped.filter(F.col("item").isNotNull()).select("item", *info_cols).distinct()
         i1 = info.select(F.col("item").alias("product_1"),
