@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,6 +28,14 @@ def ratio_pct(part: Column, whole: Column) -> Column:
     return F.try_divide(part.cast("double"), whole) * F.lit(100.0)
 
 
+def free_name(df: DataFrame, base: str) -> str:
+    """``base``, with underscores added until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while base.lower() in taken:
+        base += "_"
+    return base
+
+
 def first_match(pairs: list[tuple[Column, object]], default: object) -> Column:
     """A CASE WHEN chain: first matching condition wins."""
     out = None

@@ -1,11 +1,10 @@
 """Product performance, in-category revenue rank, and the top-k report.
 
 The in-category rank is exact but never puts a whole category in one task:
-revenue is cut into range buckets from per-category percentile sketches, each
-(category, bucket) is ranked on its own, and the bucket's offset (the number
-of products in higher-revenue buckets, from a tiny count table) is added.
-A window partitioned by category alone would give each category's products
-to a single task, and a category can hold a large share of the catalogue.
+products are range partitioned by (category, revenue descending, id), and the
+number of the category's rows in earlier partitions is added to a row's place in
+its own. A window partitioned by category alone would give each category's
+products to a single task, and a category can hold a large share of the catalogue.
 """
 
 from __future__ import annotations
@@ -13,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import money_avg, money_sum
+from ..functions.exprs import free_name, money_avg, money_sum
 from ..plans.durable import durable
 
 TOP_PERFORMER_RANK = 5
-RANK_BUCKETS = 64
 
 
 def product_metrics(enriched: DataFrame) -> DataFrame:
@@ -39,70 +37,36 @@ def product_metrics(enriched: DataFrame) -> DataFrame:
     })
 
 
-def rank_desc_within(df: DataFrame, group: str, value: str, tie: str, out: str,
-                     buckets: int = RANK_BUCKETS) -> DataFrame:
-    """Exact ``row_number() over (partition by group order by value desc, tie)``
-    computed per (group, value range, tie range) so work spreads over many tasks.
+def rank_desc_within(df: DataFrame, group: str, value: str, tie: str, out: str) -> DataFrame:
+    """Exact ``row_number() over (partition by group order by value desc, tie)``,
+    nulls last, spread over as many tasks as the data fills.
 
-    * Value buckets come from per-group percentile sketches. A value equal to
-      a cut point gets a bucket of its own, so a heavily repeated value (which
-      necessarily spans cut points) never shares a bucket; other buckets hold
-      about 1/``buckets`` of the group.
-    * A single-value bucket is split again by cut points of the tie column
-      (within one value the order is by tie alone, so this stays exact).
-      Needs an orderable numeric/date tie column; otherwise left whole.
-    * Each (group, bucket, sub-bucket) is ranked on its own and the number of
-      rows in earlier (sub-)buckets, from a small count table, is added.
+    Rows are range partitioned and sorted by (group, value desc, tie) and written
+    once (two range sorts of one input may choose other cut points, and the counts
+    have to fit the rows). The write numbers the rows of each partition; a count
+    table with one row per partition and group gives what lies before. A value
+    that a third of the rows share is spread by the tie. Columns may be of any
+    orderable type. Null groups are a group.
     """
-    probs = [i / buckets for i in range(1, buckets)]
-    # Sketch results can depend on merge order, and the cut points feed two
-    # branches (the count table and the ranked rows): pin them by writing the
-    # small cut tables once so both branches see identical cuts.
-    cuts = durable(df.groupBy(group).agg(F.percentile_approx(value, probs, 1000).alias("_cuts")),
-                   "rank_cuts")
-    # Higher values get smaller indexes: 2 x (cut points above the value), plus
-    # one if the value is itself a cut point (its own bucket). Nulls sort last.
-    above = F.size(F.filter("_cuts", lambda c: c > F.col(value)))
-    own = F.when(F.array_contains("_cuts", F.col(value)), 1).otherwise(0)
-    b1 = F.when(F.col(value).isNull(), F.lit(2 * buckets + 2)).otherwise(above * 2 + own)
-    b = (df.join(cuts, df[group].eqNullSafe(cuts[group]), "left").drop(cuts[group])
-         .withColumn("_b1", b1).drop("_cuts"))
-    numeric_tie = dict(df.dtypes)[tie] in ("int", "bigint", "smallint", "tinyint", "double",
-                                           "float", "date", "timestamp", "timestamp_ntz")
-    if numeric_tie:
-        single = b.filter(F.col("_b1") % 2 == 1)
-        tcuts = durable(single.groupBy(group, "_b1").agg(
-            F.percentile_approx(tie, probs, 1000).alias("_tcuts")), "rank_tie_cuts")
-        b = (b.join(tcuts, [b[group].eqNullSafe(tcuts[group]), b["_b1"] == tcuts["_b1"]], "left")
-             .drop(tcuts[group]).drop(tcuts["_b1"])
-             .withColumn("_b2", F.coalesce(F.size(F.filter("_tcuts", lambda c: c < F.col(tie))),
-                                           F.lit(0)))
-             .drop("_tcuts"))
-    else:
-        b = b.withColumn("_b2", F.lit(0))
-    counts = b.groupBy(group, "_b1", "_b2").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(group).orderBy("_b1", "_b2").rowsBetween(
-        Window.unboundedPreceding, -1)
-    offsets = counts.select(group, "_b1", "_b2",
-                            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    j = (b.join(offsets, [b[group].eqNullSafe(offsets[group]), b["_b1"] == offsets["_b1"],
-                          b["_b2"] == offsets["_b2"]], "left")
-         .drop(offsets[group]).drop(offsets["_b1"]).drop(offsets["_b2"]))
-    w = Window.partitionBy(group, "_b1", "_b2").orderBy(F.col(value).desc_nulls_last(),
-                                                        F.col(tie).asc_nulls_last())
-    return (j.withColumn(out, (F.row_number().over(w) + F.col("_offset")).cast("int"))
-            .drop("_b1", "_b2", "_offset"))
+    order = [F.col(group), F.col(value).desc_nulls_last(), F.col(tie).asc_nulls_last()]
+    at, part = free_name(df, "_at"), free_name(df, "_part")
+    placed = durable(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                     .withColumn(at, F.monotonically_increasing_id()), "rank_order")
+    placed = placed.withColumn(part, F.shiftright(at, 33))
+    counts = placed.groupBy(part, group).agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_first"))
+    earlier = Window.partitionBy(group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(part, group, (F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+                                         - F.col("_first") + 1).alias("_shift"))
+    p, b = placed.alias("p"), before.alias("b")
+    return p.join(b, (F.col(f"p.{part}") == F.col(f"b.{part}"))
+                  & F.col(f"p.{group}").eqNullSafe(F.col(f"b.{group}"))).select(
+        *[F.col(f"p.{c}") for c in df.columns], (F.col(f"p.{at}") + F.col("b._shift")).cast("int").alias(out))
 
 
-def product_performance(enriched: DataFrame, top_n: int = TOP_PERFORMER_RANK,
-                        materialize: bool = True) -> DataFrame:
+def product_performance(enriched: DataFrame, top_n: int = TOP_PERFORMER_RANK) -> DataFrame:
     """Product metrics plus category_revenue_rank (ties broken by product_id)
-    and is_top_performer (rank <= top_n). The per-product table feeds three
-    branches of the ranking, so by default it is written once (``durable``)."""
-    metrics = product_metrics(enriched)
-    if materialize:
-        metrics = durable(metrics, "product_metrics")
-    ranked = rank_desc_within(metrics, "category", "total_revenue",
+    and is_top_performer (rank <= top_n)."""
+    ranked = rank_desc_within(product_metrics(enriched), "category", "total_revenue",
                               "product_id", "category_revenue_rank")
     return ranked.withColumn("is_top_performer", F.col("category_revenue_rank") <= top_n)
 
