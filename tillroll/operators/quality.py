@@ -3,10 +3,10 @@
 * One aggregate pass gives, for every column at once: null counts, non-null
   counts, numeric-looking string counts, and mean / sample stddev of numeric
   columns (the per-column jobs of a naive checker become one wide ``agg``).
-* One pass counts z-score outliers against the bounds of that one stats row
-  (a few numbers per column, read once and used as literals).
-* The duplicate check shuffles a 12-byte row fingerprint, not the rows, and
-  groups only the rows whose fingerprint repeats by all columns (exact).
+* The duplicate check groups a row fingerprint, not the rows.
+* Checks that need more than one look (``read_once``) read their table once: the
+  statistics are observed while its numeric columns and fingerprints are written
+  to the shared checkpoint folder, and the rest is done on that narrow copy.
 
 Results are long-form DataFrames, unpivoted with ``explode(array(struct))``
 over the one-row aggregates (one row per column, bounded by the schema).
@@ -15,11 +15,14 @@ Percentages are null on an empty table, and a null percentage passes.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import rules
-from ..functions.exprs import lit_value, one_row, ratio_pct, rnd
+from ..functions.exprs import lit_value, ratio_pct, rnd
+from ..plans.durable import durable
 
 NUMERIC_TYPES = ("int", "bigint", "float", "double")
 STRING_TYPES = ("string", "varchar")
@@ -33,9 +36,8 @@ def _q(c: str):
     return F.col(f"`{c}`")
 
 
-def column_stats(df: DataFrame) -> DataFrame:
-    """One row with per-column counters (one scan for Q1, Q3, Q5 and Q4's stats)."""
-    aggs = [F.count("*").alias("_rows")]
+def _stat_aggs(df: DataFrame) -> list[Column]:
+    aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(df.columns):
         aggs.append(F.count_if(_q(c).isNull()).alias(f"_null_{i}"))
         aggs.append(F.count(_q(c)).alias(f"_nn_{i}"))
@@ -46,17 +48,46 @@ def column_stats(df: DataFrame) -> DataFrame:
         if c in _cols(df, NUMERIC_TYPES):
             aggs.append(F.avg(_q(c).cast("double")).alias(f"_mean_{i}"))
             aggs.append(F.stddev_samp(_q(c).cast("double")).alias(f"_sd_{i}"))
-    return df.agg(*aggs)
+    return aggs
+
+
+def column_stats(df: DataFrame) -> DataFrame:
+    """One row with per-column counters (one scan for Q1, Q3, Q5 and Q4's stats)."""
+    return df.agg(*_stat_aggs(df))
+
+
+def _fingerprint(df: DataFrame) -> list[Column]:
+    """Three 64-bit hashes of a row. Every value is hashed with whether it is null
+    (the hash functions skip nulls), and -0.0 as 0.0, which grouping treats as equal."""
+    parts = []
+    for c, t in df.dtypes:
+        col = _q(c)
+        parts += [col.isNull(), F.when(col == 0, F.lit(0.0)).otherwise(col) if t in ("double", "float") else col]
+    return [F.xxhash64(F.lit(seed), *parts).alias(f"_h{seed}") for seed in (1, 2, 3)]
+
+
+@dataclass(frozen=True)
+class Checked:
+    """A table that has been read once."""
 
+    row: dict            # the row of ``column_stats``: a few numbers per column
+    stats: DataFrame     # the same as a DataFrame of literals
+    copy: DataFrame      # written: numeric columns as _x_<index>, fingerprints _h1 to _h3
 
-def stats_row(df: DataFrame) -> DataFrame:
-    """Run the one stats pass and return its single row as a literal one-row
-    DataFrame with the same columns and types (a few numbers per column), so
-    every check reads it without another pass over ``df``."""
-    stats = column_stats(df)
-    row = one_row(stats)
-    return df.sparkSession.range(1).select(
-        *[lit_value(row[f.name]).cast(f.dataType).alias(f.name) for f in stats.schema.fields])
+
+def read_once(df: DataFrame) -> Checked:
+    """Observe the statistics of ``df`` while its numeric columns and fingerprints
+    are written: what follows reads these few bytes a row, not ``df`` again."""
+    numbers = _cols(df, NUMERIC_TYPES)
+    seen = Observation()
+    narrow = df.observe(seen, *_stat_aggs(df)).select(
+        *[_q(c).cast("double").alias(f"_x_{i}") for i, c in enumerate(df.columns) if c in numbers],
+        *_fingerprint(df))
+    copy = durable(narrow, "quality")
+    row = seen.get
+    stats = df.sparkSession.range(1).select(
+        *[lit_value(row[f.name]).cast(f.dataType).alias(f.name) for f in column_stats(df).schema.fields])
+    return Checked(row, stats, copy)
 
 
 def _unpivot(stats: DataFrame, rows: list) -> DataFrame:
@@ -78,56 +109,27 @@ def null_check(df: DataFrame, dataset: str, threshold: float = rules.NULL_THRESH
         F.col("null_percentage") <= F.lit(threshold * 100.0), F.lit(True)))
 
 
-def _fingerprint_inputs(df: DataFrame) -> list:
-    """Columns as hashed for the fingerprint: -0.0 becomes 0.0 so that values
-    grouping treats as equal also hash equal."""
-    out = []
-    for c, t in df.dtypes:
-        col = _q(c)
-        out.append(F.when(col == 0, F.lit(0.0)).otherwise(col) if t in ("double", "float") else col)
-    return out
-
+def fingerprint_groups(rows: DataFrame) -> DataFrame:
+    """One aggregation buffer per fingerprint (_h1, _h2): ``n`` rows, and ``collided``:
+    the rows differ in their third hash, so they are not all equal. The buffer holds
+    three numbers, so copies meet in the map tasks and no row crosses the shuffle."""
+    return rows.groupBy("_h1", "_h2").agg(
+        F.count(F.lit(1)).alias("n"), (F.min("_h3") != F.max("_h3")).alias("collided"))
 
-def _fingerprint_counts(df: DataFrame):
-    """(rows with fingerprint columns, fingerprint counts, one-row summary:
-    total, singletons, repeated)."""
-    cols = _fingerprint_inputs(df)
-    keyed = df.withColumns({"_h1": F.xxhash64(*cols), "_h2": F.hash(*cols)})
-    fp = keyed.groupBy("_h1", "_h2").agg(F.count("*").alias("_n"))
-    head = fp.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("total"),
-                  F.count_if(F.col("_n") == 1).alias("singletons"),
-                  F.count_if(F.col("_n") > 1).alias("repeated")).first()
-    return keyed, fp, head
 
-
-def duplicate_check(df: DataFrame, dataset: str,
-                    threshold: float = rules.DUPLICATE_THRESHOLD) -> DataFrame:
+def duplicate_check(df: DataFrame, dataset: str, threshold: float = rules.DUPLICATE_THRESHOLD,
+                    checked: Checked | None = None) -> DataFrame:
     """One row: total_rows, unique_rows, duplicate_count, duplicate_percentage, passed.
 
-    Exact, without shuffling full rows:
-    1. count a 96-bit row fingerprint (xxhash64 + murmur3 of all columns):
-       12 bytes per row cross the shuffle, with map-side combine. One small
-       aggregate of those counts (total, singletons, repeated fingerprints)
-       is read on the driver: three numbers.
-    2. only if some fingerprint repeats, the rows carrying a repeated
-       fingerprint (the candidates) are semi-joined back and grouped by all
-       columns, which also settles any fingerprint collision exactly.
-    unique_rows = singleton fingerprints + distinct candidate rows.
-    """
-    spark = df.sparkSession
-    keyed, fp, head = _fingerprint_counts(df)
-    if head["repeated"] == 0:
-        base = spark.range(1).select(F.lit(head["total"]).cast("long").alias("total_rows"),
-                                     F.lit(head["singletons"]).cast("long").alias("unique_rows"))
-    else:
-        repeated = fp.filter(F.col("_n") > 1).select("_h1", "_h2")
-        candidates = keyed.join(repeated, ["_h1", "_h2"], "left_semi").drop("_h1", "_h2")
-        distinct = (candidates.groupBy(*[_q(c) for c in df.columns]).agg(F.lit(1).alias("_g"))
-                    .agg(F.count("*").alias("_cand")))
-        base = distinct.select(F.lit(head["total"]).cast("long").alias("total_rows"),
-                               (F.lit(head["singletons"]).cast("long") + F.col("_cand"))
-                               .alias("unique_rows"))
-    t = base.withColumn("duplicate_count", F.col("total_rows") - F.col("unique_rows"))
+    One pass and one plan: fingerprints are grouped (28 bytes a row at most cross
+    the shuffle) and counted. A fingerprint whose rows are not all equal counts as
+    two, so the count is exact unless two different rows agree in 192 bits, or three
+    in 128."""
+    groups = fingerprint_groups(df.select(*_fingerprint(df)) if checked is None else checked.copy)
+    t = groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("total_rows"),
+        F.coalesce(F.sum(F.when(F.col("collided"), 2).otherwise(1)), F.lit(0)).cast("long").alias("unique_rows"))
+    t = t.withColumn("duplicate_count", F.col("total_rows") - F.col("unique_rows"))
     t = t.withColumn("duplicate_percentage",
                      rnd(ratio_pct(F.col("duplicate_count"), F.col("total_rows")), 2))
     return t.select(F.lit(dataset).alias("dataset"), "*").withColumn(
@@ -155,38 +157,38 @@ def numeric_string_check(df: DataFrame, dataset: str, stats: DataFrame | None =
 
 
 def outlier_check(df: DataFrame, dataset: str, sigma: float = rules.OUTLIER_SIGMA,
-                  stats: DataFrame | None = None) -> DataFrame:
+                  checked: Checked | None = None) -> DataFrame:
     """Per numeric column with a positive stddev: mean, stddev, bounds
     mean -/+ sigma*stddev (2 dp), outlier_count, outlier_percentage of
     non-null values (2 dp). Outliers are reported, never failed.
 
-    Two passes over ``df``: the stats row (read once) and the outlier count."""
-    stats = stats if stats is not None else stats_row(df)
+    ``df`` is read once (``read_once``); the numeric copy is counted against the
+    bounds of its one stats row, which are literals."""
     nums = [(i, c) for i, c in enumerate(df.columns) if c in _cols(df, NUMERIC_TYPES)]
     schema = ("dataset string, column_name string, mean double, stddev double, "
               "lower_bound double, upper_bound double, outlier_count bigint, "
               "outlier_percentage double, passed boolean")
     if not nums:
         return _empty(df, schema)
-    # The stats row (a few numbers per column), read once; bounds are literals.
-    row = one_row(stats.select(*[
-        e for i, _ in nums for e in (
-            F.col(f"_nn_{i}").alias(f"nn_{i}"), F.col(f"_mean_{i}").alias(f"mean_{i}"),
-            F.col(f"_sd_{i}").alias(f"sd_{i}"),
-            (F.col(f"_mean_{i}") - F.lit(sigma) * F.col(f"_sd_{i}")).alias(f"lo_{i}"),
-            (F.col(f"_mean_{i}") + F.lit(sigma) * F.col(f"_sd_{i}")).alias(f"hi_{i}"))]))
-    b = {k: lit_value(row[k]).cast("double") if not k.startswith("nn_") else
-         lit_value(row[k]).cast("long") for k in row.asDict()}
-    counted = df.agg(
-        *[F.count_if((_q(c).cast("double") < b[f"lo_{i}"])
-                     | (_q(c).cast("double") > b[f"hi_{i}"])).alias(f"_out_{i}")
-          for i, c in nums])
+    checked = checked or read_once(df)
+    # The observed row (a few numbers per column): its bounds are literals.
+    row = checked.row
+    b = {}
+    for i, _ in nums:
+        mean, sd = row[f"_mean_{i}"], row[f"_sd_{i}"]
+        known = mean is not None and sd is not None
+        b[i] = [lit_value(v).cast("double") for v in (
+            mean, sd, mean - sigma * sd if known else None, mean + sigma * sd if known else None)]
+    counted = checked.copy.agg(*[
+        F.count_if((F.col(f"_x_{i}") < b[i][2]) | (F.col(f"_x_{i}") > b[i][3])).alias(f"_out_{i}")
+        for i, _ in nums])
     rows = [F.struct(
         F.lit(dataset).alias("dataset"), F.lit(c).alias("column_name"),
-        b[f"mean_{i}"].alias("mean"), b[f"sd_{i}"].alias("stddev"),
-        rnd(b[f"lo_{i}"], 2).alias("lower_bound"), rnd(b[f"hi_{i}"], 2).alias("upper_bound"),
+        b[i][0].alias("mean"), b[i][1].alias("stddev"),
+        rnd(b[i][2], 2).alias("lower_bound"), rnd(b[i][3], 2).alias("upper_bound"),
         F.col(f"_out_{i}").alias("outlier_count"),
-        rnd(ratio_pct(F.col(f"_out_{i}"), b[f"nn_{i}"]), 2).alias("outlier_percentage"))
+        rnd(ratio_pct(F.col(f"_out_{i}"), lit_value(row[f"_nn_{i}"]).cast("long")), 2)
+        .alias("outlier_percentage"))
         for i, c in nums]
     out = _unpivot(counted, rows).filter(F.col("stddev").isNotNull() & (F.col("stddev") > 0))
     return out.withColumn("passed", F.lit(True))
@@ -236,11 +238,10 @@ def quality_report(df: DataFrame, dataset: str, null_threshold: float = rules.NU
     """All checks for one table in long form:
     dataset, check_name, column_name, metric, value (double), passed.
 
-    Passes over ``df``: one for the stats row (nulls, non-null counts,
-    numeric-looking strings, mean/stddev; read once, so every check uses that
-    single row instead of re-aggregating a pruned copy), one for the outlier
-    counts, and the fingerprint count for duplicates."""
-    stats = stats_row(df)
+    ``df`` is read once (``read_once``): nulls, types and integrity come from its
+    stats row, duplicates and outliers from the narrow copy."""
+    checked = read_once(df)
+    stats = checked.stats
 
     def longf(frame, check, col_expr, metrics):
         return frame.select(F.explode(F.array(*[
@@ -252,12 +253,12 @@ def quality_report(df: DataFrame, dataset: str, null_threshold: float = rules.NU
     parts = [
         longf(null_check(df, dataset, null_threshold, stats), "null_values",
               F.col("column_name"), ["null_count", "null_percentage"]),
-        longf(duplicate_check(df, dataset, duplicate_threshold), "duplicates",
+        longf(duplicate_check(df, dataset, duplicate_threshold, checked), "duplicates",
               F.lit(None).cast("string"),
               ["total_rows", "unique_rows", "duplicate_count", "duplicate_percentage"]),
         longf(numeric_string_check(df, dataset, stats), "data_types",
               F.col("column_name"), ["non_null_count", "non_numeric_count"]),
-        longf(outlier_check(df, dataset, sigma, stats), "outliers", F.col("column_name"),
+        longf(outlier_check(df, dataset, sigma, checked), "outliers", F.col("column_name"),
               ["outlier_count", "outlier_percentage", "lower_bound", "upper_bound"]),
         longf(integrity_check(df, dataset, stats), "referential_integrity",
               F.lit("customer_id"), ["null_customer_ids"]),

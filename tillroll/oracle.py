@@ -24,8 +24,9 @@ def mavg(expr: str) -> str:
     return f"({msum(expr)} / CAST(count({expr}) AS DOUBLE))"
 
 
-MODEL = f"""
-transactions AS (
+def _star(suffix: str = "") -> str:
+    return f"""
+transactions{suffix} AS (
   SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS transaction_id,
          o_custkey AS customer_id,
          l_partkey AS product_id,
@@ -37,7 +38,7 @@ transactions AS (
          CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Pending'
               WHEN 'P' THEN 'Processing' END AS status
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
-customers AS (
+customers{suffix} AS (
   SELECT c_custkey AS customer_id, c_name AS first_name, c_mktsegment AS customer_segment,
          n_name AS country,
          CASE WHEN c_acctbal < 0 THEN '18-24' WHEN c_acctbal < 2500 THEN '25-34'
@@ -45,11 +46,14 @@ customers AS (
               ELSE '55+' END AS age_group,
          CAST(DATE '1994-01-01' + CAST(c_custkey % 365 AS INTEGER) AS DATE) AS registration_date
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
-products AS (
+products{suffix} AS (
   SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
          list_extract(string_split(p_name, ' '), 2) AS subcategory, p_brand AS brand,
          p_retailprice AS price, p_retailprice * CAST(0.6 AS DOUBLE) AS cost
-  FROM part),
+  FROM part)"""
+
+
+ENRICHED = """
 enriched AS (
   SELECT t.*, c.customer_segment, c.country, c.age_group, c.registration_date,
          p.category, p.subcategory, p.brand, p.cost,
@@ -70,6 +74,8 @@ enriched AS (
   WHERE t.status = 'Completed')
 """
 
+MODEL = _star() + "," + ENRICHED
+
 
 def with_model(body: str, *ctes: str) -> str:
     extra = "".join(f",\n{c}" for c in ctes)
@@ -607,6 +613,124 @@ def sql_freshness() -> str:
                       + one("logs", '"timestamp"', "logs"), LOGS_CTE)
 
 
+def sql_dq_verdict() -> str:
+    return f"""SELECT dataset, bool_and(passed) AS passed FROM ({sql_dq_report()}) GROUP BY dataset"""
+
+
+# --- faulty inputs ------------------------------------------------------------
+def _hit(key: str, salt: int, per_thousand: int) -> str:
+    return f"({_mixed(key, salt)} % 1000 < {per_thousand})"
+
+
+def _mixed(key: str, salt: int) -> str:
+    return f"((({key} % 2147483647) * 48271 + {salt * 69621}) % 2147483647)"
+
+
+def _twice(again: str) -> str:
+    return f"unnest(CASE WHEN {again} THEN [0, 1] ELSE [0] END)"
+
+
+_TX_KEY = "(CAST(split_part(transaction_id, '-', 1) AS BIGINT) * 8 + CAST(split_part(transaction_id, '-', 2) AS BIGINT))"
+
+DIRTY = _star("_clean") + f""",
+transactions AS (
+  SELECT * EXCLUDE (again) FROM (
+    SELECT transaction_id,
+           CASE WHEN {_hit(_TX_KEY, 1, 70)} THEN NULL
+                WHEN {_hit(_TX_KEY, 2, 10)} THEN customer_id + 1000000000 ELSE customer_id END AS customer_id,
+           product_id, quantity, unit_price, discount_amount,
+           CASE WHEN {_hit(_TX_KEY, 3, 3)} THEN total_amount * CAST(50 AS DOUBLE) ELSE total_amount END AS total_amount,
+           transaction_date + to_seconds(CAST({_mixed(_TX_KEY, 4)} % 86400 AS INTEGER)) AS transaction_date,
+           status, {_twice(_hit(_TX_KEY, 5, 20))} AS again
+    FROM transactions_clean)),
+customers AS (
+  SELECT * EXCLUDE (again) FROM (
+    SELECT customer_id, first_name,
+           CASE WHEN NOT {_hit('customer_id', 6, 80)} THEN customer_segment END AS customer_segment,
+           CASE WHEN NOT {_hit('customer_id', 7, 60)} THEN country END AS country,
+           age_group, registration_date, {_twice(_hit('customer_id', 8, 30))} AS again
+    FROM customers_clean)),
+products AS (
+  SELECT * EXCLUDE (again) FROM (
+    SELECT product_id, product_name,
+           CASE WHEN NOT {_hit('product_id', 10, 70)} THEN category END AS category,
+           (product_id % 97) || '.5' AS subcategory, brand, price, cost,
+           {_twice(_hit('product_id', 11, 20))} AS again
+    FROM products_clean WHERE NOT {_hit('product_id', 9, 25)}))"""
+
+_CLEANSED = """,
+transactions AS (SELECT DISTINCT * FROM transactions_dirty),
+customers AS (
+  SELECT DISTINCT customer_id, first_name, coalesce(customer_segment, 'Unknown') AS customer_segment,
+         coalesce(country, 'Not Specified') AS country, age_group, registration_date FROM customers_dirty),
+products AS (SELECT DISTINCT * FROM products_dirty),"""
+
+
+def _on_dirty(sql: str) -> str:
+    """The same statement over the faulty star."""
+    return sql.replace(f"WITH {MODEL}", f"WITH {DIRTY}", 1)
+
+
+def _on_cleansed(sql: str) -> str:
+    """The same statement over the faulty star after cleansing."""
+    dirty = DIRTY
+    for t in STAR_COLUMNS:
+        dirty = dirty.replace(f"\n{t} AS (", f"\n{t}_dirty AS (")
+    return sql.replace(f"WITH {MODEL}", f"WITH {dirty}{_CLEANSED}{ENRICHED}", 1)
+
+
+def sql_dirty_dq_nulls() -> str:
+    return _on_dirty(sql_dq_nulls())
+
+
+def sql_dirty_dq_duplicates() -> str:
+    return _on_dirty(sql_dq_duplicates())
+
+
+def sql_dirty_dq_numeric_strings() -> str:
+    return _on_dirty(sql_dq_numeric_strings())
+
+
+def sql_dirty_dq_outliers() -> str:
+    return _on_dirty(sql_dq_outliers())
+
+
+def sql_dirty_dq_report() -> str:
+    return _on_dirty(sql_dq_report())
+
+
+def sql_dirty_dq_verdict() -> str:
+    return _on_dirty(sql_dq_verdict())
+
+
+def sql_dirty_ri_customers() -> str:
+    return _on_dirty(sql_ri_customers())
+
+
+def sql_dirty_ri_products() -> str:
+    return _on_dirty(sql_ri_products())
+
+
+def sql_dirty_cleanse() -> str:
+    return _on_dirty(sql_cleanse())
+
+
+def sql_dirty_cleanse_transactions() -> str:
+    return _on_dirty(sql_cleanse_transactions())
+
+
+def sql_dirty_cleanse_products() -> str:
+    return _on_dirty(sql_cleanse_products())
+
+
+def sql_dirty_enriched() -> str:
+    return _on_cleansed(sql_enriched_transactions())
+
+
+def sql_dirty_executive_totals() -> str:
+    return _on_cleansed(sql_executive_totals())
+
+
 # --- summary ------------------------------------------------------------------
 TOTALS_CTE = f"""totals AS (
   SELECT {msum('total_amount')} AS total_revenue, {msum('profit_amount')} AS total_profit,

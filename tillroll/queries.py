@@ -15,8 +15,9 @@ from pyspark.sql import types as T
 from .functions.exprs import rnd
 from .operators import baskets as bk
 from .operators import cohorts, customers, logs, products, quality, rfm, summary, timeseries
+from .operators.enrich import enrich
 from .plans.publish import PUBLISH_PLAN, dataset_profile
-from .sources import model
+from .sources import dirty, model
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -52,8 +53,8 @@ def _union_all(frames):
     return out
 
 
-def _per_star_table(spark, sf_dir, check):
-    s = model.star(spark, sf_dir)
+def _per_star_table(spark, sf_dir, check, source=model):
+    s = source.star(spark, sf_dir)
     return _union_all([check(s[name], name) for name in STAR_TABLES])
 
 
@@ -161,6 +162,10 @@ def q_dq_report(spark, sf_dir):
     return publishable(_per_star_table(spark, sf_dir, quality.quality_report))
 
 
+def q_dq_verdict(spark, sf_dir):
+    return quality.quality_verdict(_per_star_table(spark, sf_dir, quality.quality_report))
+
+
 def q_ri_customers(spark, sf_dir):
     s = model.star(spark, sf_dir)
     return quality.orphan_keys(s["transactions"], s["customers"], "customer_id",
@@ -193,6 +198,70 @@ def q_freshness(spark, sf_dir):
         quality.freshness(lg, "logs", "timestamp", FRESHNESS_AS_OF, FRESHNESS_MAX_AGE_HOURS)))
 
 
+# --- the same over faulty inputs (every check has a row that fails) ----------------
+def q_dirty_dq_nulls(spark, sf_dir):
+    return _per_star_table(spark, sf_dir, quality.null_check, dirty)
+
+
+def q_dirty_dq_duplicates(spark, sf_dir):
+    return _per_star_table(spark, sf_dir, quality.duplicate_check, dirty)
+
+
+def q_dirty_dq_numeric_strings(spark, sf_dir):
+    return _per_star_table(spark, sf_dir, quality.numeric_string_check, dirty)
+
+
+def q_dirty_dq_outliers(spark, sf_dir):
+    return publishable(_per_star_table(spark, sf_dir, quality.outlier_check, dirty))
+
+
+def q_dirty_dq_report(spark, sf_dir):
+    return publishable(_per_star_table(spark, sf_dir, quality.quality_report, dirty))
+
+
+def q_dirty_dq_verdict(spark, sf_dir):
+    return quality.quality_verdict(_per_star_table(spark, sf_dir, quality.quality_report, dirty))
+
+
+def q_dirty_ri_customers(spark, sf_dir):
+    s = dirty.star(spark, sf_dir)
+    return quality.orphan_keys(s["transactions"], s["customers"], "customer_id",
+                               "transactions->customers")
+
+
+def q_dirty_ri_products(spark, sf_dir):
+    s = dirty.star(spark, sf_dir)
+    return quality.orphan_keys(s["transactions"], s["products"], "product_id",
+                               "transactions->products")
+
+
+def q_dirty_cleanse(spark, sf_dir):
+    return quality.cleanse(dirty.customers(spark, sf_dir))
+
+
+def q_dirty_cleanse_transactions(spark, sf_dir):
+    return publishable(quality.cleanse(dirty.transactions(spark, sf_dir)), digits=6)
+
+
+def q_dirty_cleanse_products(spark, sf_dir):
+    return publishable(quality.cleanse(dirty.products(spark, sf_dir)), digits=6)
+
+
+def _cleansed_enriched(spark, sf_dir):
+    """Ingest, cleanse each dataset, then enrich: unknown customers and products
+    stay, with null attributes."""
+    s = {name: quality.cleanse(df) for name, df in dirty.star(spark, sf_dir).items()}
+    return enrich(s["transactions"], s["customers"], s["products"])
+
+
+def q_dirty_enriched(spark, sf_dir):
+    return publishable(_cleansed_enriched(spark, sf_dir), digits=6)
+
+
+def q_dirty_executive_totals(spark, sf_dir):
+    return publishable(summary.executive_totals(_cleansed_enriched(spark, sf_dir)))
+
+
 # --- summary and catalog ---------------------------------------------------------
 def q_executive_totals(spark, sf_dir):
     return publishable(summary.executive_totals(enriched(spark, sf_dir)))
