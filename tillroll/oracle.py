@@ -126,6 +126,23 @@ FROM monthly"""
     return with_model(body, m)
 
 
+def _by_period(column: str, name: str) -> str:
+    levels = [("day", "CAST(transaction_date AS DATE)"), *[
+        (lv, f"CAST(date_trunc('{lv}', transaction_date) AS DATE)") for lv in ("month", "quarter", "year")],
+        ("all", "CAST(NULL AS DATE)")]
+    return with_model("\nUNION ALL ".join(
+        f"SELECT '{lv}' AS period_level, {start} AS period_start, count(DISTINCT {column}) AS {name} "
+        f"FROM enriched GROUP BY 1, 2" for lv, start in levels))
+
+
+def sql_active_customers_by_period() -> str:
+    return _by_period("customer_id", "active_customers")
+
+
+def sql_products_sold_by_period() -> str:
+    return _by_period("product_id", "products_sold")
+
+
 def sql_weekday_series() -> str:
     d = f"""daily AS (
   SELECT year, month, day_of_week, {msum('total_amount')} AS daily_revenue,

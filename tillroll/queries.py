@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .functions.exprs import rnd
 from .operators import baskets as bk
-from .operators import cohorts, customers, logs, products, quality, rfm, summary, timeseries
+from .operators import cohorts, customers, distinct, logs, products, quality, rfm, summary, timeseries
 from .operators.enrich import enrich
 from .plans.publish import PUBLISH_PLAN, dataset_profile
 from .sources import dirty, model
@@ -67,6 +67,14 @@ def q_monthly_series(spark, sf_dir):
     return publishable(timeseries.monthly_series(enriched(spark, sf_dir)))
 
 
+def q_active_customers_by_period(spark, sf_dir):
+    return distinct.active_by_period(enriched(spark, sf_dir), "customer_id", "active_customers")
+
+
+def q_products_sold_by_period(spark, sf_dir):
+    return distinct.active_by_period(enriched(spark, sf_dir), "product_id", "products_sold")
+
+
 def q_weekday_series(spark, sf_dir):
     return publishable(timeseries.weekday_series(enriched(spark, sf_dir)))
 
