@@ -35,14 +35,22 @@ def test_matches_oracle(spark, con, name):
     assert not problems, problems
 
 
-def test_volume_fixture_groups(spark):
-    # 10,000 generated rows, 1,000 customers of 10 rows each.
+def test_many_customers_through_the_lifetime_operator(spark):
+    """20,000 purchases of 500 customers, 40 each, ten days apart."""
     from pyspark.sql import functions as F
-    df = spark.range(10000).select(
-        F.format_string("CUST_%03d", F.col("id") % 1000).alias("customer_id"),
-        (F.lit(100.0) + F.col("id") % 500 - (F.col("id") % 50).cast("double")).alias("total_amount"))
-    g = df.groupBy("customer_id").agg(F.sum("total_amount").alias("s"), F.count("*").alias("n"))
-    assert g.count() == 1000 and g.filter("n != 10").count() == 0
+    from tillroll.operators import customers
+    rows = spark.range(20_000).select(
+        (F.col("id") % 500).alias("customer_id"), F.col("id").cast("string").alias("transaction_id"),
+        (F.col("id") % 7).alias("product_id"), F.lit("c").alias("category"),
+        (F.col("id") % 500 + 0.25).alias("total_amount"), F.lit(1.5).alias("profit_amount"),
+        F.timestamp_seconds(F.lit(1_600_000_000) + F.floor(F.col("id") / 500) * 864_000).alias("transaction_date"),
+        *[F.lit("x").alias(c) for c in customers.ATTRIBUTES])
+    got = customers.customer_lifetime(rows).collect()
+    assert len(got) == 500
+    for r in got:
+        assert (r.total_orders, r.unique_products_purchased, r.customer_lifespan_days) == (40, 7, 390)
+        assert r.total_spent == 40 * (r.customer_id + 0.25) and r.total_profit_generated == 60.0
+        assert r.purchase_frequency == pytest.approx(40 / 13)
 
 
 @pytest.mark.parametrize("name", ["enriched_transactions", "cohort_retention", "freshness",

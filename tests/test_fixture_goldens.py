@@ -1,4 +1,4 @@
-"""Golden values on the reference's 4-customer / 4-product / 5-transaction fixture."""
+"""Golden values of the garden shop in conftest.py, worked out by hand."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,95 +11,106 @@ def by_key(df, key):
 
 
 def test_enriched_columns_rows_and_profit(enriched):
-    cols = set(enriched.columns)
-    for c in ("customer_segment", "country", "age_group", "category", "subcategory", "brand",
-              "year", "month", "quarter", "day_of_week", "hour", "profit_amount",
-              "profit_margin", "customer_tenure_days"):
-        assert c in cols
+    assert enriched.columns[-8:] == ["year", "month", "quarter", "day_of_week", "hour", "profit_amount",
+                                     "profit_margin", "customer_tenure_days"]
+    assert {"customer_segment", "country", "age_group", "category", "subcategory", "brand"} <= set(enriched.columns)
     rows = by_key(enriched, "transaction_id")
-    assert len(rows) == 5
-    assert rows["TXN_002"]["profit_amount"] == pytest.approx(280 - 2 * 75)
-    assert rows["TXN_001"]["hour"] == 10
-    assert rows["TXN_001"]["day_of_week"] == 5          # 2023-06-15 is a Thursday; Sunday = 1
+    assert sorted(rows) == [f"b{i}" for i in range(1, 8)]
+    # 85 for two trees that cost 30 each; 25 of 85 is 29.4 %
+    assert rows["b1"]["profit_amount"] == pytest.approx(25.0)
+    assert rows["b1"]["profit_margin"] == pytest.approx(2500 / 85)
+    # a Saturday evening in the fourth quarter (Sunday = 1)
+    assert [rows["b5"][c] for c in ("year", "quarter", "month", "day_of_week", "hour")] == [2022, 4, 10, 7, 19]
+    # 2021-11-03 to 2022-09-05
+    assert rows["b1"]["customer_tenure_days"] == 306
     profit = {r["customer_id"]: r["p"] for r in
               enriched.groupBy("customer_id").agg(F.sum("profit_amount").alias("p")).collect()}
-    assert profit == pytest.approx({"CUST_001": 610.0, "CUST_002": 70.0, "CUST_003": 250.0})
+    assert profit == pytest.approx({"k01": 25.0 + 35.0 + 12.0, "k02": 10.0 + 7.0, "k03": 15.0, "k04": 10.0})
 
 
 def test_customer_lifetime_and_clv(enriched):
     lt = customers.customer_lifetime(enriched)
     rows = by_key(lt, "customer_id")
-    assert set(rows) == {"CUST_001", "CUST_002", "CUST_003"}
-    c1 = rows["CUST_001"]
-    assert c1["total_spent"] == pytest.approx(1680.0)
-    assert c1["total_orders"] == 3
-    assert c1["customer_lifespan_days"] == 16
-    assert c1["purchase_frequency"] == pytest.approx(5.625)
-    assert c1["estimated_clv"] == pytest.approx(138.08219178, abs=1e-6)
-    assert c1["days_since_last_purchase"] == 0          # as-of = latest transaction
-    p80, p60, p40 = customers.clv_cut_points(lt)
-    assert (p40, p60) == (0.0, 0.0)
-    assert p80 == pytest.approx(138.08219178, abs=1e-6)
+    assert set(rows) == {"k01", "k02", "k03", "k04"}          # k05 never bought
+    one = rows["k01"]
+    assert (one["total_spent"], one["total_orders"], one["avg_order_value"]) == (177.0, 3, 59.0)
+    assert (one["unique_products_purchased"], one["categories_explored"]) == (3, 2)
+    # 5 September to 14 November: 70 days; 3 orders in 70 / 30 months
+    assert one["customer_lifespan_days"] == 70
+    assert one["purchase_frequency"] == pytest.approx(9 / 7)
+    assert one["estimated_clv"] == pytest.approx(59 * 90 / 365)
+    assert rows["k02"]["estimated_clv"] == pytest.approx(24 * 60 / 365)
+    # one order: no lifespan, so no value yet
+    assert (rows["k03"]["purchase_frequency"], rows["k03"]["estimated_clv"]) == (1.0, 0.0)
+    # recency is counted from the latest purchase of all, 14 November
+    assert {k: r["days_since_last_purchase"] for k, r in rows.items()} == {"k01": 0, "k02": 23, "k03": 43, "k04": 6}
+    # of 0, 0, 3.95, 14.55: the 4th, 3rd and 2nd smallest
+    assert customers.clv_cut_points(lt) == pytest.approx([59 * 90 / 365, 24 * 60 / 365, 0.0])
     seg = {k: v["clv_segment"] for k, v in by_key(customers.clv_segments(lt), "customer_id").items()}
-    assert seg == {"CUST_001": "Champions", "CUST_002": "Loyal Customers",
-                   "CUST_003": "Loyal Customers"}
+    assert seg == {"k01": "Champions", "k02": "Loyal Customers", "k03": "Potential Loyalists",
+                   "k04": "Potential Loyalists"}
 
 
 def test_churn_bands(enriched):
     ch = by_key(customers.churn_indicators(customers.clv_segments(customers.customer_lifetime(enriched))),
                 "customer_id")
-    assert ch["CUST_002"]["frequency_risk"] == "High"
-    assert ch["CUST_002"]["engagement_risk"] == "High"
-    assert ch["CUST_002"]["churn_risk_score"] == 3
-    assert ch["CUST_002"]["churn_risk_level"] == "High"
-    assert ch["CUST_001"]["frequency_risk"] == "Medium"
-    assert ch["CUST_001"]["churn_risk_level"] == "Low"
+    bands = {k: (r["days_since_last_purchase_risk"], r["frequency_risk"], r["engagement_risk"],
+                 r["churn_risk_score"], r["churn_risk_level"]) for k, r in ch.items()}
+    assert bands == {
+        "k01": ("Very Low", "Medium", "Medium", 0, "Low"),
+        "k02": ("Very Low", "Medium", "High", 1, "Medium"),
+        "k03": ("Low", "High", "High", 3, "High"),
+        "k04": ("Very Low", "High", "High", 3, "High"),
+    }
 
 
 def test_rfm(enriched):
     base = rfm.rfm_base(enriched)
-    rec = {k: v["recency"] for k, v in by_key(base, "customer_id").items()}
-    assert rec == {"CUST_001": 0, "CUST_002": 13, "CUST_003": 9}
+    assert {r["customer_id"]: (r["recency"], r["frequency"], r["monetary"]) for r in base.collect()} == {
+        "k01": (0, 3, 177.0), "k02": (23, 2, 48.0), "k03": (43, 1, 27.0), "k04": (6, 1, 32.0)}
+    # of four values the 20th, 40th, 60th and 80th percentiles are the 1st to 4th
     q = rfm.rfm_quintiles(base).first()
-    assert list(q["recency_quintiles"]) == [0, 9, 9, 13]
-    assert list(q["frequency_quintiles"]) == [1, 1, 1, 3]
-    assert list(q["monetary_quintiles"]) == pytest.approx([190, 750, 750, 1680])
+    assert list(q["recency_quintiles"]) == [0, 6, 23, 43]
+    assert list(q["frequency_quintiles"]) == [1, 1, 2, 3]
+    assert list(q["monetary_quintiles"]) == [27.0, 32.0, 48.0, 177.0]
     seg = by_key(rfm.rfm_segments(base), "customer_id")
-    assert {k: v["rfm_score"] for k, v in seg.items()} == {
-        "CUST_001": "555", "CUST_002": "242", "CUST_003": "444"}
-    assert {k: v["rfm_segment"] for k, v in seg.items()} == {
-        "CUST_001": "Champions", "CUST_002": "Others", "CUST_003": "Champions"}
-    for r in seg.values():
-        assert 1 <= r["r_score"] <= 5 and 1 <= r["f_score"] <= 5 and 1 <= r["m_score"] <= 5
-    assert seg["CUST_001"]["recommended_action"] == "Reward them. They can become advocates."
+    assert {k: (v["rfm_score"], v["rfm_segment"]) for k, v in seg.items()} == {
+        "k01": ("555", "Champions"), "k02": ("344", "Loyal Customers"), "k03": ("232", "Others"),
+        "k04": ("433", "Loyal Customers")}
+    assert seg["k02"]["recommended_action"] == "Upsell higher value products."
+    assert seg["k03"]["recommended_action"] == "Re-engage with special offers."
     dist = {r["rfm_segment"]: r["customer_count"]
             for r in rfm.rfm_segment_distribution(rfm.rfm_segments(base)).collect()}
-    assert dist == {"Champions": 2, "Others": 1}
+    assert dist == {"Champions": 1, "Loyal Customers": 2, "Others": 1}
 
 
 def test_cohorts(enriched):
-    rows = sorted(cohorts.cohort_retention(enriched).collect(), key=lambda r: r["period_number"])
-    assert [r["cohort_month"] for r in rows] == ["2023-06"] * 3
-    assert [r["period_number"] for r in rows] == pytest.approx([0.0, 0.16633065, 0.54905914])
-    assert [r["customers_in_period"] for r in rows] == [3, 1, 1]
-    assert [r["revenue_in_period"] for r in rows] == pytest.approx([2140.0, 280.0, 200.0])
-    assert [r["retention_rate"] for r in rows] == pytest.approx([100.0, 100 / 3, 100 / 3])
-    for r in rows:
-        assert 0 <= r["retention_rate"] <= 100
-
-
-def test_monthly_series(enriched):
-    rows = {(r["year"], r["month"]): r for r in timeseries.monthly_series(enriched).collect()}
-    jun, jul = rows[(2023, 6)], rows[(2023, 7)]
-    assert (jun["monthly_revenue"], jun["monthly_profit"], jun["monthly_active_customers"]) == \
-        pytest.approx((2420.0, 850.0, 3))
-    assert (jul["monthly_revenue"], jul["monthly_profit"], jul["monthly_active_customers"]) == \
-        pytest.approx((200.0, 80.0, 1))
-    assert jun["mom_revenue_growth"] is None
-    assert jul["mom_revenue_growth"] == pytest.approx(-91.7355, abs=1e-4)
+    rows = {(r["cohort_month"], round(r["period_number"], 8)): r for r in cohorts.cohort_retention(enriched).collect()}
+    # k01 and k02 began in September; 25 September 17:05 is 20 days 8 h 45 min past the 5th 08:20
+    later = [(20 * 1440 + 525) / (31 * 1440), 1 + (10 * 1440 + 465) / (31 * 1440), 2 + (9 * 1440 + 455) / (31 * 1440)]
+    assert sorted(rows) == [("2022-09", 0.0), *[("2022-09", round(x, 8)) for x in later],
+                            ("2022-10", 0.0), ("2022-11", 0.0)]
+    first = rows["2022-09", 0.0]
+    assert (first["customers_in_period"], first["revenue_in_period"], first["cohort_size"]) == (2, 115.0, 2)
+    assert [rows["2022-09", round(x, 8)]["retention_rate"] for x in later] == [50.0] * 3
+    assert [rows[m, 0.0]["revenue_in_period"] for m in ("2022-10", "2022-11")] == [27.0, 32.0]
+
+
+def test_monthly_and_weekday_series(enriched):
+    rows = {r["month"]: r for r in timeseries.monthly_series(enriched).collect()}
+    assert {m: (r["monthly_revenue"], r["monthly_profit"], r["monthly_active_customers"])
+            for m, r in rows.items()} == {9: (175.0, 70.0, 2), 10: (45.0, 22.0, 2), 11: (64.0, 22.0, 2)}
+    assert rows[9]["mom_revenue_growth"] is None
+    assert rows[10]["mom_revenue_growth"] == pytest.approx((45 - 175) / 175 * 100)
+    assert rows[11]["mom_revenue_growth"] == pytest.approx((64 - 45) / 45 * 100)
+    assert rows[11]["mom_customer_growth"] == 0.0
+    days = {(r["month"], r["day_of_week"]): r for r in timeseries.weekday_series(enriched).collect()}
+    # Mondays: 115 in September, none in October, 32 in November
+    assert days[11, 2]["revenue_growth_rate"] == pytest.approx((32 - 115) / 115 * 100)
+    assert days[10, 7]["revenue_growth_rate"] is None
 
 
 def test_no_basket_pairs_when_every_basket_has_one_item(enriched):
     assert baskets.basket_pairs(enriched, min_support=0.0).count() == 0
     b = baskets.baskets(enriched)
-    assert b.count() == 5 and b.agg(F.max("basket_size")).first()[0] == 1
+    assert b.count() == 7 and b.agg(F.max("basket_size")).first()[0] == 1
