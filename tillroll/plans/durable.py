@@ -31,11 +31,16 @@ def durable(df: DataFrame, name: str = "intermediate") -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and return
     a DataFrame that reads it back."""
     spark = df.sparkSession
-    path = f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in this application's shared folder; ``release`` deletes it."""
+    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def _folder(spark: SparkSession) -> str:
     """This application's folder for its copies."""
     root = ensure_checkpoint_dir(spark).rstrip("/")

@@ -1,17 +1,18 @@
 """Writers, dataset profiles and the multi-dataset publish plan.
 
-* ``write_table``: Parquet (snappy) / CSV / Delta with optional partition
-  columns and lineage columns; the row count is observed during the write
-  (``Observation``), not recomputed by a second job.
+* ``write_table``: Parquet (snappy) or CSV with optional partition columns and
+  lineage columns; the row count is observed during the write (``Observation``),
+  not recomputed by a second job.
 * ``verify_write``: reads the written data back and compares its count with
   the observed count.
 * ``dataset_profile``: a one-row profile DataFrame (count as an aggregate),
   appended to a catalog table next to the datasets (never inside a
   partitioned dataset's folder, where Spark would refuse to read it).
-* ``publish_all``: writes the enriched table first, partitioned by
-  (year, month), then derives every metric table from that written copy: the
-  lineage is cut at a durable table in shared storage, so a lost executor
-  never forces the star join to be recomputed.
+* ``publish_all``: stages every table as a new version (``plans.versions``): the
+  enriched table first, partitioned by (year, month), then every metric table from
+  that written copy, so the lineage is cut at a durable table in shared storage.
+  What was written is read back and compared by digest; then all tables become
+  current at once.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from ..operators import baskets as _baskets
 from ..operators import cohorts, customers, products, rfm, summary, timeseries
 from ..operators.enrich import enrich
+from . import versions
 
 # FIXED VALUES: bytes per value by type for the size estimate; others 10.
 TYPE_BYTES = [
@@ -34,7 +36,7 @@ TYPE_BYTES = [
 ]
 DEFAULT_TYPE_BYTES = 10
 
-# Publish plan: dataset -> (zone, partition columns).
+# FIXED VALUES: publish plan, dataset -> (zone, partition columns).
 PUBLISH_PLAN = {
     "enriched_transactions": ("processed", ["year", "month"]),
     "customer_metrics": ("curated", ["customer_segment"]),
@@ -77,11 +79,6 @@ def write_table(df: DataFrame, path: str, file_format: str = "parquet",
         if partition_cols:
             writer = writer.partitionBy(*partition_cols)
         writer.parquet(path)
-    elif fmt == "delta":
-        # Needs the Delta package on the cluster; Spark raises if it is absent.
-        if partition_cols:
-            writer = writer.partitionBy(*partition_cols)
-        writer.format("delta").save(path)
     elif fmt == "csv":
         writer.option("header", "true").csv(path)
     else:
@@ -154,28 +151,52 @@ def derived_tables(enriched: DataFrame) -> dict[str, DataFrame]:
 
 
 def publish_all(spark: SparkSession, star: dict[str, DataFrame], root: str,
-                etl_job_id: str | None = None, verify: bool = True) -> dict[str, int]:
-    """Write every dataset under ``root`` following ``PUBLISH_PLAN`` and append
-    a profile per dataset to ``root/_catalog``. Returns rows written by name."""
+                etl_job_id: str | None = None) -> dict[str, int]:
+    """Stage every dataset under ``root`` following ``PUBLISH_PLAN``, verify it,
+    and switch all of them at once (``versions.read_current`` reads them). A profile
+    per dataset is appended to ``root/_catalog``. Returns rows written by name. A
+    run that fails before the switch leaves the old tables current."""
     jid = etl_job_id or job_id()
     root = root.rstrip("/")
-    written: dict[str, int] = {}
+    version = versions.new_version(spark, root)
+    staged: dict[str, versions.Staged] = {}
 
     def put(name: str, df: DataFrame) -> None:
         zone, parts = PUBLISH_PLAN[name]
-        path = f"{root}/{zone}/{name}"
-        n = write_table(df, path, "parquet", parts, etl_job_id=jid)
-        if verify and not verify_write(spark, path, n):
-            raise RuntimeError(f"write verification failed for {path}")
-        append_profile(dataset_profile(df, path, "parquet", parts, record_count=n),
-                       f"{root}/_catalog")
-        written[name] = n
+        staged[name] = versions.stage(with_lineage(df, jid), root, zone, name, version, parts or ())
 
     enriched = enrich(star["transactions"], star["customers"], star["products"])
     put("enriched_transactions", enriched)
-    zone, _ = PUBLISH_PLAN["enriched_transactions"]
-    durable = (spark.read.parquet(f"{root}/{zone}/enriched_transactions")
-               .drop("etl_timestamp", "etl_job_id"))
-    for name, df in derived_tables(durable).items():
+    copy = spark.read.schema(enriched.schema).parquet(staged["enriched_transactions"].path)
+    tables = derived_tables(copy)
+    for name, df in tables.items():
         put(name, df)
-    return written
+    versions.switch(spark, root, version, list(staged.values()))
+    for name, df in {"enriched_transactions": enriched, **tables}.items():
+        append_profile(dataset_profile(df, staged[name].path, "parquet", PUBLISH_PLAN[name][1],
+                                       record_count=staged[name].rows), f"{root}/_catalog")
+    return {name: s.rows for name, s in staged.items()}
+
+
+def replace_partitions(df: DataFrame, root: str, name: str, etl_job_id: str | None = None) -> int:
+    """Publish ``df`` in place of the partitions of ``name`` that it holds rows of;
+    other partitions and tables stay as they are. Returns the rows written."""
+    spark = df.sparkSession
+    zone, parts = PUBLISH_PLAN[name]
+    if not parts:
+        raise ValueError(f"{name} has no partitions")
+    version = versions.new_version(spark, root)
+    staged = versions.stage(with_lineage(df, etl_job_id or job_id()), root, zone, name, version, parts)
+    versions.switch(spark, root, version, [staged], replace="partitions")
+    return staged.rows
+
+
+def published_catalog(spark: SparkSession, root: str) -> DataFrame:
+    """Per current table: zone, partitions, rows by its manifest and by its files'
+    footers, files, bytes, data versions, and whether all digests still agree."""
+    listed = versions.manifest(spark, root).groupBy("table", "zone").agg(
+        F.count_if(F.col("rows") > 0).alias("partitions"), F.sum("rows").alias("record_count"))
+    checked = versions.verify_current(spark, root).groupBy("table").agg(F.bool_and("passed").alias("verified"))
+    files = versions.footprint(spark, root).withColumnRenamed("rows", "footer_rows")
+    return (listed.join(files, "table").join(checked, "table", "left")
+            .withColumn("verified", F.coalesce("verified", F.lit(True))).withColumnRenamed("table", "dataset"))

@@ -10,12 +10,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .functions.exprs import rnd
+from .functions.exprs import money_sum, rnd
 from .operators import baskets as bk
 from .operators import cohorts, customers, distinct, logs, products, quality, rfm, summary, timeseries
 from .operators.enrich import enrich
+from .plans import publish, versions
+from .plans.durable import scratch_path
 from .plans.publish import PUBLISH_PLAN, dataset_profile
 from .sources import dirty, model
 
@@ -292,6 +295,40 @@ def q_dataset_profile(spark, sf_dir):
     return _union_all(parts).drop("schema_json")
 
 
+REPUBLISHED_YEAR = 1995
+
+
+def q_published_catalog(spark, sf_dir):
+    """All tables published under the shared checkpoint folder, as their manifest,
+    their footers and their digests describe them (bytes and files vary)."""
+    root = scratch_path(spark, "published")
+    publish.publish_all(spark, model.star(spark, sf_dir), root)
+    return publish.published_catalog(spark, root).select(
+        "dataset", "zone", "partitions", "record_count", "footer_rows", "data_versions", "verified")
+
+
+def q_published_months(spark, sf_dir):
+    """The enriched table published, republished by a run that never gets to its
+    switch, and then with one year's amounts doubled in place of that year's
+    partitions; read back by month."""
+    root = scratch_path(spark, "published")
+    zone, parts = PUBLISH_PLAN["enriched_transactions"]
+    sales = enriched(spark, sf_dir)
+    v = versions.new_version(spark, root)
+    versions.switch(spark, root, v, [versions.stage(sales, root, zone, "enriched_transactions", v, parts)])
+    sales = versions.read_current(spark, root, "enriched_transactions")
+    doubled = sales.withColumn("total_amount", F.col("total_amount") * 2.0)
+    versions.stage(doubled, root, zone, "enriched_transactions", versions.new_version(spark, root), parts)
+    v = versions.new_version(spark, root)
+    year = versions.stage(doubled.filter(F.col("year") == REPUBLISHED_YEAR), root, zone, "enriched_transactions",
+                          v, parts)
+    versions.switch(spark, root, v, [year], replace="partitions")
+    back = versions.read_current(spark, root, "enriched_transactions")
+    return publishable(back.groupBy("year", "month").agg(
+        F.count(F.lit(1)).alias("transactions"), money_sum("total_amount").alias("revenue"),
+        F.max("transaction_date").alias("latest")))
+
+
 # --- error logs ------------------------------------------------------------------
 def q_log_severity(spark, sf_dir):
     return logs.log_severity(model.logs(spark, sf_dir))
