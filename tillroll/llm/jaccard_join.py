@@ -142,7 +142,7 @@ def _prefixes(docs: DataFrame, reps: DataFrame, total: int, words: int, percent:
                          pa.array(out, pa.list_(pa.int64())), pa.array(out, pa.list_(pa.int64()))],
                         ["node", "n", "prefix", "fresh"])
 
-        texts = node_texts(docs, again.select("node", "doc_id", "key"), words)
+        texts = node_texts(docs, again.select("node", "doc_id", "mark"))
         rows = rows.unionByName(durable(texts.mapInArrow(
             reread, "node long, n long, prefix array<long>, fresh array<long>"), "join-reread"))
     # Tokens that two prefixes held before, or that came in since: all others
@@ -153,22 +153,13 @@ def _prefixes(docs: DataFrame, reps: DataFrame, total: int, words: int, percent:
         broadcast_if_small(shared, SHARED_TOKENS), "token", "left_semi")
 
 
-def node_texts(docs: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
-    """(node, text) of representatives (node, doc_id, key). A doc_id may repeat
-    with another text, so the set's key has to fit."""
+def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of representatives (node, doc_id, mark). Id and mark name the
+    row's text, so only rows that repeat both meet a representative more than once."""
     wanted = broadcast_if_small(durable(nodes, "join-nodes"))
-    d, w = docs.alias("d"), wanted.alias("w")
-    found = d.join(w, F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select("w.node", "w.key", "d.text")
-
-    def fits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(batch, "text"):
-                keep = [_set_key(shingle_set(t, words)) == k for t, k in zip(
-                    part.column("text").to_pylist(), part.column("key").to_pylist())]
-                yield part.filter(pa.array(keep, pa.bool_())).select(["node", "text"])
-
-    once = found.mapInArrow(fits, "node long, text string")
-    return once.groupBy("node").agg(F.max("text").alias("text"))
+    d, w = docs.withColumn("mark", _mark(F.col("text"))).alias("d"), wanted.alias("w")
+    found = d.join(w, (F.col("d.mark") == F.col("w.mark")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
+    return found.groupBy("w.node").agg(F.any_value("d.text").alias("text"))
 
 
 def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -178,8 +169,7 @@ def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, words: int, per
         return pairs
     involved = pairs.select(F.col("a").alias("node")).unionByName(
         pairs.select(F.col("b").alias("node"))).distinct()
-    texts = durable(node_texts(docs, reps.select("node", "doc_id", "key").join(involved, "node"), words),
-                    "join-texts")
+    texts = durable(node_texts(docs, reps.select("node", "doc_id", "mark").join(involved, "node")), "join-texts")
     both = (pairs.join(texts.withColumnsRenamed({"node": "a", "text": "a_text"}), "a")
             .join(texts.withColumnsRenamed({"node": "b", "text": "b_text"}), "b"))
 
@@ -298,7 +288,7 @@ def _documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     features = durable(set_features(docs, words, percent), "join-sets")
     classes = durable(features.filter("n > 0").groupBy("key").agg(
-        F.min(F.struct("doc_id", "tag")).alias("first"),
+        F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tag"))).alias("first"),
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark")).alias("least"),
         F.count(F.lit(1)).alias("rows"))
         .select("key", F.col("first.tag").alias("node"), F.struct(
@@ -306,7 +296,7 @@ def _documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
     chosen = broadcast_if_small(durable(classes.select(F.col("node").alias("tag")), "join-chosen"))
     whole = (features.join(chosen, "tag", "left_semi").withColumnRenamed("tag", "node"))
     prefixes = durable(_prefixes(docs, whole, classes.count(), words, percent), "join-tokens")
-    reps = durable(whole.select("node", "doc_id", "n", "key", "sketch"), "join-reps")
+    reps = durable(whole.select("node", "doc_id", "mark", "n", "sketch", "bits"), "join-reps")
     tried = durable(_leader_pairs(prefixes, reps, percent), "join-tried")
     links = verified(docs, reps, tried, words, percent)
     rest = _unconnected(prefixes, components(links), percent)
