@@ -40,15 +40,16 @@ from ..plans.durable import durable
 from .bpe_codec import chunks
 from .components import components
 from .shingles import shingle_set
-from .signature_tree import Parities, candidates, most_difference, parity_sketch
+from .signature_tree import Parities, candidates, most_difference, parity_sketch, token_bits
 from .sized import broadcast_if_small, first_rows, free_name
 
 UNIT = 4096                # rows of a unit of trees, and of a block of a large group
 HEAVY_SHARE = 4000         # a token in more than 1 / HEAVY_SHARE of the prefixes is heavy
 HEAVY_LEAST = 64
+HEAVY_MOST = 500_000       # tokens put last (4 MB); the others keep their hash order
 SHARED_TOKENS = 2_000_000  # most 8-byte tokens that are broadcast; beyond, a shuffle join
 FIRST_PARTNERS = 2         # leaders verified for a document before the trees
-FEATURES = "doc_id long, tag long, mark binary, n long, key binary, tokens array<long>, sketch binary"
+FEATURES = "doc_id long, tag long, mark binary, n long, key binary, tokens array<long>, sketch binary, bits binary"
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -71,7 +72,7 @@ def _mark(text: Column) -> Column:
 
 def set_features(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """One row per document: mark of its text, size and 128-bit key of its set,
-    twice its prefix in hash order, and a parity sketch."""
+    twice its prefix in hash order, a parity sketch and a bitmap of all tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
@@ -83,8 +84,9 @@ def set_features(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     pa.array([s[:2 * prefix_length(len(s), percent)].view(np.int64) if len(s) else None
                               for s in sets], pa.list_(pa.int64())),
                     pa.array([parity_sketch(s, _sketch_bits(len(s), percent)) if len(s) else None
-                              for s in sets], pa.binary())],
-                    ["doc_id", "tag", "mark", "n", "key", "tokens", "sketch"])
+                              for s in sets], pa.binary()),
+                    pa.array([token_bits(s).tobytes() if len(s) else None for s in sets], pa.binary())],
+                    ["doc_id", "tag", "mark", "n", "key", "tokens", "sketch", "bits"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.monotonically_increasing_id().alias("tag"), _mark(F.col("text")).alias("mark"),
@@ -105,8 +107,10 @@ def _prefixes(docs: DataFrame, reps: DataFrame, total: int, words: int, percent:
     often = max(HEAVY_LEAST, total // HEAVY_SHARE)
     seen = durable(reps.select(F.explode(short).alias("token")).groupBy("token").count()
                    .filter("count > 1"), "join-seen")
-    # At most HEAVY_SHARE times the mean prefix length of tokens are heavy.
-    heavy = seen.filter(F.col("count") > often).select("token").collect()
+    # Any order that all sets share gives the same links, so it is no loss if only the
+    # most frequent tokens come last: the broadcast has a bound of 8 bytes each.
+    heavy = (seen.filter(F.col("count") > often).orderBy(F.desc("count"), "token").limit(HEAVY_MOST)
+             .select("token").collect())
     shipped = spark.sparkContext.broadcast(np.array(sorted(r["token"] for r in heavy), np.int64))
 
     def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -153,13 +157,17 @@ def _prefixes(docs: DataFrame, reps: DataFrame, total: int, words: int, percent:
         broadcast_if_small(shared, SHARED_TOKENS), "token", "left_semi")
 
 
+def _texts_met(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    wanted = broadcast_if_small(durable(nodes, "join-nodes"))
+    d, w = docs.withColumn("mark", _mark(F.col("text"))).alias("d"), wanted.alias("w")
+    return d.join(w, (F.col("d.mark") == F.col("w.mark")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id"))).select(
+        "w.node", "d.text")
+
+
 def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """(node, text) of representatives (node, doc_id, mark). Id and mark name the
     row's text, so only rows that repeat both meet a representative more than once."""
-    wanted = broadcast_if_small(durable(nodes, "join-nodes"))
-    d, w = docs.withColumn("mark", _mark(F.col("text"))).alias("d"), wanted.alias("w")
-    found = d.join(w, (F.col("d.mark") == F.col("w.mark")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")))
-    return found.groupBy("w.node").agg(F.any_value("d.text").alias("text"))
+    return _texts_met(docs, nodes).groupBy("node").agg(F.any_value("text").alias("text"))
 
 
 def verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -262,7 +270,7 @@ def _tree_pairs(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         F.when(whole, F.lit(-1)).otherwise(low * (1 << 31) + high).cast("long").alias("cut"),
         (~whole & (F.col("block") > F.col("other"))).cast("byte").alias("side"),
         "token", "node", F.col("n").cast("int").alias("n"), "component")
-        .join(reps.select("node", "sketch"), "node"))
+        .join(reps.select("node", "sketch", "bits"), "node"))
 
     def traverse(table: pa.Table) -> pa.Table:
         def column(name: str) -> np.ndarray:
@@ -270,7 +278,7 @@ def _tree_pairs(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
         cut = table.column("cut")[0].as_py()
         a, b = candidates(column("token"), column("node"), column("n"), column("component"),
-                          column("side"), table.column("sketch").to_pylist(), percent,
+                          column("side"), table.column("sketch").to_pylist(), table.column("bits").to_pylist(), percent,
                           cut >= 0 and cut >> 31 != cut & ((1 << 31) - 1))
         return pa.table({"a": a, "b": b})
 

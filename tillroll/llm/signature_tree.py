@@ -3,11 +3,17 @@
 A tree's leaves are sets, in an order that puts sets with common tokens side by
 side; every node above holds the OR of its children's token bitmaps, the range
 of their sizes and what they have in common (component, side). Two trees, or a
-tree with itself, are traversed together from the roots: a pair of nodes is
-dropped if no token can be shared, if no two sizes can reach the similarity, or
-if all its pairs are known to be connected. Bitmaps hold prefix tokens, so the
-largest possible overlap of whole sets is not bounded at inner nodes. What is
-left of the leaf pairs passes a bound on the symmetric difference.
+tree with itself, are traversed together from the roots. A pair of nodes is
+dropped if no two sizes can reach the similarity, if all its pairs are known to be
+connected, if no prefix token can be shared, or if the largest possible overlap
+of two of its sets is less than their sizes need. What is left of the leaf pairs
+passes a bound on the symmetric difference.
+
+Largest possible overlap: a bitmap of a whole set has one bit for each token, of
+which several may share a bit. Common tokens lie on common bits, so two sets below a
+pair of nodes have at most as many as the two OR bitmaps have common bits, and as the
+set with fewer shared bits has tokens beyond its bits. A wide node's bitmap is
+nearly full and drops little; near the leaves the bound is sharp.
 """
 
 from __future__ import annotations
@@ -24,7 +30,9 @@ MIXED = np.iinfo(np.int64).min
 
 @dataclass
 class Level:
-    bitmap: np.ndarray     # [nodes, WORDS]
+    bitmap: np.ndarray     # [nodes, WORDS], prefix tokens
+    whole: np.ndarray      # [nodes, WORDS], all tokens
+    spare: np.ndarray      # most tokens that a set below has beyond its bits
     low: np.ndarray        # sizes
     high: np.ndarray
     component: np.ndarray  # MIXED where children differ
@@ -36,14 +44,23 @@ def _uniform(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.where(low == high, low, MIXED)
 
 
-def build(bitmap: np.ndarray, sizes: np.ndarray, component: np.ndarray, side: np.ndarray) -> list[Level]:
+def token_bits(tokens: np.ndarray) -> np.ndarray:
+    """The bitmap of a whole set: ``WORDS`` 64-bit words."""
+    bit = ((tokens >> np.uint64(23)) % np.uint64(64 * WORDS)).astype(np.int64)
+    return np.packbits(np.bincount(bit, minlength=64 * WORDS) > 0, bitorder="little").view(np.uint64)
+
+
+def build(bitmap: np.ndarray, whole: np.ndarray, sizes: np.ndarray, component: np.ndarray,
+          side: np.ndarray) -> list[Level]:
     """Levels from the leaves (one per set) to the root."""
-    levels = [Level(bitmap, sizes, sizes, component, side)]
+    spare = sizes - np.bitwise_count(whole).sum(axis=1).astype(np.int64)
+    levels = [Level(bitmap, whole, spare, sizes, sizes, component, side)]
     while len(levels[-1].low) > 1:
         below = levels[-1]
         starts = np.arange(0, len(below.low), FAN)
         levels.append(Level(
             np.bitwise_or.reduceat(below.bitmap, starts, axis=0),
+            np.bitwise_or.reduceat(below.whole, starts, axis=0), np.maximum.reduceat(below.spare, starts),
             np.minimum.reduceat(below.low, starts), np.maximum.reduceat(below.high, starts),
             _uniform(below.component, starts), _uniform(below.side, starts)))
     return levels
@@ -57,8 +74,21 @@ def _possible(level: Level, a: np.ndarray, b: np.ndarray, percent: int, crossing
     if crossing:
         keep &= (level.side[a] != level.side[b]) | (level.side[a] == MIXED)
     at = np.flatnonzero(keep)
-    shared = (level.bitmap[a[at]] & level.bitmap[b[at]]).any(axis=1)
-    return at[shared]
+    at = at[(level.bitmap[a[at]] & level.bitmap[b[at]]).any(axis=1)]
+    return at[most_overlap(level, a[at], b[at]) >= least_overlap(level.low[a[at]], level.low[b[at]], percent)]
+
+
+def most_overlap(level: Level, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Most tokens that a set below node a and one below node b can share."""
+    bits = np.bitwise_count(level.whole[a] & level.whole[b]).sum(axis=1).astype(np.int64)
+    return np.minimum(bits + np.minimum(level.spare[a], level.spare[b]),
+                      np.minimum(level.high[a], level.high[b]))
+
+
+def least_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Fewest common tokens of sets of sizes n and m at the similarity
+    ``percent`` / 100: 100 i >= percent (n + m - i) for the intersection i."""
+    return -(-percent * (n + m) // (100 + percent))
 
 
 def _children(a: np.ndarray, b: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,10 +119,8 @@ def pairs(levels: list[Level], percent: int, crossing: bool):
 
 
 def most_difference(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
-    """Largest symmetric difference of sets of sizes n and m at the similarity
-    ``percent`` / 100: 100 i >= percent (n + m - i) for the intersection i."""
-    least = -(-percent * (n + m) // (100 + percent))
-    return n + m - 2 * least
+    """Largest symmetric difference of sets of sizes n and m at the similarity."""
+    return n + m - 2 * least_overlap(n, m, percent)
 
 
 class Parities:
@@ -138,7 +166,7 @@ def parity_sketch(tokens: np.ndarray, bits: int) -> bytes:
 
 
 def candidates(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, component: np.ndarray,
-               side: np.ndarray, sketches: list[bytes], percent: int, crossing: bool
+               side: np.ndarray, sketches: list[bytes], bits: list[bytes], percent: int, crossing: bool
                ) -> tuple[np.ndarray, np.ndarray]:
     """Node pairs (smaller first) of rows (token, node, ...) that share a token,
     are not of one component, and may reach the similarity."""
@@ -155,8 +183,9 @@ def candidates(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, compone
     first = first[order]
     parity = Parities([sketches[i] for i in first.tolist()])
     n, ids = sizes[first], nodes[first]
+    whole = np.frombuffer(b"".join(bits[i] for i in first.tolist()), np.uint64).reshape(len(leaf), WORDS)
     found_a, found_b = [], []
-    for a, b in pairs(build(bitmap, n, component[first], side[first]), percent, crossing):
+    for a, b in pairs(build(bitmap, whole, n, component[first], side[first]), percent, crossing):
         for s in range(0, len(a), 1 << 18):
             x, y = a[s:s + (1 << 18)], b[s:s + (1 << 18)]
             near = parity.least_difference(x, y) <= most_difference(n[x], n[y], percent)
