@@ -141,14 +141,15 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
     to the smaller vec_id; a query with fewer than ``k`` other rows has all.
 
     Rows with a null id or null v take no part. Rows that repeat a vec_id with
-    another v each take part, as candidates (so an id may have several ranks)
-    and as queries (the ``k`` best of all rows of the query's id); rows that
-    repeat both count once. Shorter vectors count as padded with 0. An empty table gives an empty result. Scores must
+    another v, or both, each take part: as candidates (so an id may have several
+    ranks) and as queries (the ``k`` best of all rows of the query's id). Shorter
+    vectors count as padded with 0. An empty table gives an empty result. Scores must
     fit 64 bits. Other columns are not looked at.
     """
     spark = vectors.sparkSession
     rows = durable(vectors.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
-                   .select(F.col("vec_id").cast("long").alias("vec_id"), "v").distinct(), "topk-vectors")
+                   .select(F.col("vec_id").cast("long").alias("vec_id"), "v",
+                           F.monotonically_increasing_id().alias("tag")), "topk-vectors")
     n, width = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
     asked = rows.filter(queries)
     n_asked = asked.count()
@@ -158,11 +159,12 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
     rotation = spark.sparkContext.broadcast(_rotation(rows, width))
     length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     parts = -(-n // CHUNK)
-    sorted_rows = (rows.select("vec_id", "v", length.alias("l2"))
-                   .repartitionByRange(parts, F.col("l2").desc(), "vec_id")
-                   .sortWithinPartitions(F.col("l2").desc(), "vec_id"))
+    # The tag spreads equal rows.
+    by_length = [F.col("l2").desc(), F.col("vec_id"), F.col("tag")]
+    sorted_rows = (rows.select("vec_id", "v", "tag", length.alias("l2"))
+                   .repartitionByRange(parts, *by_length).sortWithinPartitions(*by_length))
     chunks = durable(_pack(sorted_rows, CHUNK, width), "topk-chunks")
-    blocks = _pack(asked.repartitionByRange(-(-n_asked // BLOCK), "vec_id"), BLOCK, width)
+    blocks = _pack(asked.repartitionByRange(-(-n_asked // BLOCK), "vec_id", "tag"), BLOCK, width)
 
     # The longest vectors, about SEEDS of them, and at most GRID norm boundaries.
     first, seeds, held = 0, [], 0
