@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import unicodedata
 from collections import Counter, defaultdict
 import zlib
 
@@ -90,6 +91,11 @@ def test_language_odd_rows(documents, odd_documents, no_documents):
     model = langid.fit(documents, F.lit(True), per_language=40)
     rows = {(r.doc_id, r.lang_pred) for r in langid.identify(odd_documents, model).collect()}
     assert {(4, "und"), (5, "und"), (3, "und")} <= rows and len(model.languages) == 2
+    # numerals, marks and symbols are no letters; letters of any script are
+    texts = ["²", "½ Ⅷ ③", "٣٤ 12", "\u0301", "_", "€ ♥", "a", "日", "ª", "1 ß"]
+    numerals = odd_documents.sparkSession.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    judged = {r.doc_id: r.lang_pred != "und" for r in langid.identify(numerals, model).collect()}
+    assert judged == {i: any(unicodedata.category(c)[0] == "L" for c in t) for i, t in enumerate(texts)}
     assert langid.identify(no_documents, model).count() == 0
     nothing = langid.fit(no_documents, F.lit(True))
     assert {r.lang_pred for r in langid.identify(odd_documents, nothing).collect()} == {"und"}

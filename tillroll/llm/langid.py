@@ -10,12 +10,12 @@ and a short excerpt of each; prediction reads every whole text.
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,7 +28,7 @@ EXCERPT = 48               # characters of the excerpt
 PAIRS, TRIPLES = 1 << 11, 1 << 12
 WIDTH = PAIRS + TRIPLES
 STEP = 1 << 22             # bytes counted at a time
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 # Families by ISO 639-1 code. A language not listed is a family
 # of its own.
