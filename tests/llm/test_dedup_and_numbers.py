@@ -183,6 +183,22 @@ def test_schedule_is_inverted(spark):
         assert math.isclose(area(r.t), r.s * area(1.0), abs_tol=1e-9)
 
 
+def test_mixing_equal_rows(spark):
+    """Equal rows are one row of the windows, each is still placed, and its copies
+    are made in runs."""
+    n = 9000
+    docs = spark.range(n).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "the same few words").otherwise(F.concat(F.lit("text "), "id")).alias("text"),
+        F.when(F.col("id") % 5 > 0, "s").alias("source"))
+    check_mix(mixing.mix(docs).collect(), [(r.doc_id, r.source, r.text) for r in docs.collect()])
+    group = spark.createDataFrame([("k", 10_000, 7), ("l", 1, 8)], "order_key string, copies long, x int")
+    copies = mixing.each_copy(group)
+    assert sorted((r.order_key, r.copy, r.x) for r in copies.collect()) == [
+        *[("k", i, 7) for i in range(10_000)], ("l", 0, 8)]
+    assert mixing.mixed_documents(docs.repartition(7)).groupBy("text").count().count() > n / 3
+
+
 def test_mixed_documents_are_whole_and_in_order(documents, document_rows, odd_documents):
     texts = {r.doc_id: r.text for r in document_rows}
     out = mixing.mixed_documents(documents)

@@ -7,9 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from llm_fixtures import document_rows, documents, no_documents, odd_documents, sf  # noqa: F401
-from oracle_compare import compare
 from tillroll.llm import line_dedup
 
 
@@ -96,8 +94,3 @@ def test_bitmaps_round_trip(n):
         keep = line_dedup.unpack(line_dedup.pack(np.array(dropped)), n)
         assert len(keep) == n and np.flatnonzero(~keep).tolist() == sorted(set(dropped))
     assert len(line_dedup.pack(np.arange(100_000))) < 200
-
-
-def test_matches_sql(spark, sf):
-    name = "op13_line_dedup"
-    assert not compare(spark, name, entry.queries()[name], entry.oracle_sql()[name], sf)

@@ -28,10 +28,12 @@ from pyspark.sql import functions as F
 
 from ..plans.durable import durable
 from .numbering import bucket_offsets
+from .ordering import numbered
 from .sized import broadcast_if_small, free_name
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_BUCKET = 8192
+COPIES_PER_RUN = 4096
 WEIGHTS = (5, 2, 1)
 #: Knots (time, weight) by rank of the source, repeating: early, even, late.
 SCHEDULES = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)))
@@ -92,6 +94,17 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], share: float, most:
     return leveled.select("source", "source_size", "source_rank", target.alias("target"))
 
 
+def each_copy(groups: DataFrame) -> DataFrame:
+    """A row (``copy`` from 0) for each of a group's ``copies``. Large groups are first
+    dealt out as runs of ``COPIES_PER_RUN``, so one task never makes all copies."""
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+    run = F.explode(F.sequence(zero, F.expr(f"(copies - 1) div {COPIES_PER_RUN}"))).alias("run")
+    runs = groups.select("*", run).repartition("order_key", "run")
+    first = F.col("run") * COPIES_PER_RUN
+    last = F.least(F.col("copies"), first + COPIES_PER_RUN) - one
+    return runs.select("*", F.explode(F.sequence(first, last)).alias("copy")).drop("run", "copies")
+
+
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, most: int = 2,
         schedules: Sequence[Sequence[tuple[float, float]]] = SCHEDULES) -> DataFrame:
     """Words taken from every document and the times at which they are read.
@@ -114,22 +127,30 @@ def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, share: float = 1.5, m
         F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
         F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
         order_key(F.col("doc_id"), text).alias("order_key")), "mix-sizes")
-    n = sizes.count()
+    # Rows that repeat id and text lie side by side: they are one row here, so a text
+    # that a third of the rows repeat does not meet in one window.
+    groups = durable(sizes.groupBy("source", "order_key", "size").agg(
+        F.count(F.lit(1)).alias("copies"), F.first("doc_id").alias("doc_id"))
+        .withColumn("words", F.col("size") * F.col("copies")), "mix-groups")
+    n = groups.count()
     buckets = max(1, -(-n // ROWS_PER_BUCKET))
     # Buckets follow the order key, so bucket order and key order agree.
     place = F.conv(F.substring("order_key", 1, 8), 16, 10).cast("long")
-    rows = sizes.select("*", F.floor(place * buckets / F.lit(2 ** 32)).cast("long").alias("_bucket"))
-    before = bucket_offsets(rows, ["source"], "_bucket", "size")
+    rows = groups.select("*", F.floor(place * buckets / F.lit(2 ** 32)).cast("long").alias("_bucket"))
+    before = bucket_offsets(rows, ["source"], "_bucket", "words")
     inside = (W.partitionBy("source", "_bucket").orderBy("order_key", "size")
               .rowsBetween(W.unboundedPreceding, -1))
-    summed = rows.select("*", F.coalesce(F.sum("size").over(inside), F.lit(0)).alias("_in"))
+    summed = rows.select("*", F.coalesce(F.sum("words").over(inside), F.lit(0)).alias("_in"))
     targets = source_targets(sizes, weights, share, most)
     a, b, t = summed.alias("a"), before.alias("b"), targets.alias("t")
-    offset = (F.col("b.before") + F.col("a._in")).alias("offset")
-    joined = (a.join(b, F.col("a.source").eqNullSafe(F.col("b.source"))
+    placed = (a.join(b, F.col("a.source").eqNullSafe(F.col("b.source"))
                      & (F.col("a._bucket") == F.col("b._bucket")))
-              .join(t, F.col("a.source").eqNullSafe(F.col("t.source")))
-              .select("a.doc_id", "a.source", "a.size", "a.order_key", "t.source_size",
+              .select("a.doc_id", "a.source", "a.size", "a.order_key", "a.copies",
+                      (F.col("b.before") + F.col("a._in")).alias("start")))
+    p = each_copy(placed).alias("p")
+    offset = (F.col("p.start") + F.col("p.copy") * F.col("p.size")).alias("offset")
+    joined = (p.join(t, F.col("p.source").eqNullSafe(F.col("t.source")))
+              .select("p.doc_id", "p.source", "p.size", "p.order_key", "t.source_size",
                       "t.source_rank", "t.target", offset))
     words = F.floor(F.col("target") + F.lit(0.5)).cast("long")
 
@@ -163,12 +184,15 @@ def training_order(rows: DataFrame, at: str = "read_key") -> DataFrame:
 
 
 def _numbered(rows: DataFrame, repeated: DataFrame, key: str, name: str, order: Sequence[Column]) -> DataFrame:
-    """``rows`` with a number from 1 among the rows of the same ``key``. Only rows
-    of ``repeated`` keys are ordered."""
+    """``rows`` with a number from 1 among the rows of the same ``key``. Only rows of
+    ``repeated`` keys are ordered, by a range sort that spreads a key's rows."""
     again = broadcast_if_small(repeated.withColumnRenamed("order_key", key))
-    number = F.row_number().over(W.partitionBy(key).orderBy(*order))
-    return rows.join(again, key, "left_anti").withColumn(name, F.lit(1)).unionByName(
-        rows.join(again, key, "left_semi").withColumn(name, number))
+    keys = [free_name(rows.columns, f"_order{i}") for i in range(len(order) + 1)]
+    tagged = durable(rows.join(again, key, "left_semi").withColumns(
+        dict(zip(keys, [*order, F.monotonically_increasing_id()]))), "mix-repeated-rows")
+    told = numbered(tagged, [key], keys, "mix-repeated-rows")
+    return rows.join(again, key, "left_anti").withColumn(name, F.lit(1).cast("long")).unionByName(
+        told.withColumn(name, F.col("pos") + 1).select(*rows.columns, name))
 
 
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
@@ -191,8 +215,8 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
         keyed = _numbered(keyed, repeated, key, number, [
             F.col("source").cast("string"), F.to_json(F.struct(*others))])
         mixed = _numbered(mixed, repeated, key, number, [
-            F.col("source"), F.col("first_at").asc_nulls_last(), F.desc("first_words"),
-            F.col("second_at").asc_nulls_last(), F.desc("second_words")])
+            F.col("source"), F.coalesce("first_at", F.lit(2.0)), -F.col("first_words"),
+            F.coalesce("second_at", F.lit(2.0)), -F.col("second_words")])
 
     def whole(epoch: str) -> Column:
         words = F.col(f"{epoch}_words")
