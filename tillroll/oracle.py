@@ -876,6 +876,50 @@ FROM (SELECT period_start, error_count, lag(error_count) OVER (ORDER BY period_s
             FROM classified GROUP BY 1))""", LOGS_CTE, CLASSIFIED_CTE)
 
 
+# --- text files with bad records --------------------------------------------------
+RECORDS = f"""records AS (
+  SELECT CASE WHEN NOT {_hit('product_id', 23, 15)} THEN CAST(product_id AS VARCHAR) END AS product_id,
+         product_name, category, subcategory, brand, price, cost,
+         CAST(DATE '2000-01-01' + CAST(product_id % 3000 AS INTEGER) AS DATE) AS launch_date,
+         {_hit('product_id', 21, 30)} AS bad_price, {_hit('product_id', 22, 20)} AS cut_off
+  FROM products)"""
+
+
+def _round_trip(partial: str) -> str:
+    return with_model(f"""SELECT product_id, product_name,
+       CASE WHEN NOT cut_off THEN category END AS category, CASE WHEN NOT cut_off THEN subcategory END AS subcategory,
+       CASE WHEN NOT cut_off THEN brand END AS brand,
+       {r('CASE WHEN NOT cut_off AND NOT bad_price THEN price END', 6)} AS price,
+       {r('CASE WHEN NOT cut_off THEN cost END', 6)} AS cost,
+       CASE WHEN NOT cut_off THEN launch_date END AS launch_date
+FROM records WHERE product_id IS NOT NULL AND (NOT cut_off OR {partial})""", RECORDS)
+
+
+def sql_csv_round_trip() -> str:
+    return _round_trip("true")
+
+
+def sql_json_round_trip() -> str:
+    return _round_trip("false")     # of a cut JSON text no field is read
+
+
+def _quarantined(cut_off_name: str) -> str:
+    return with_model(f"""SELECT CASE WHEN cut_off OR bad_price THEN 'malformed' ELSE 'missing key' END AS reason,
+       CASE WHEN cut_off THEN 'cut off' WHEN bad_price THEN 'bad price' ELSE 'missing key' END AS kind,
+       count(*) AS records, count(*) AS with_file, count(*) AS with_text,
+       count(CASE WHEN cut_off THEN {cut_off_name} ELSE product_name END) AS with_name,
+       count(CASE WHEN NOT cut_off AND NOT bad_price THEN price END) AS with_price
+FROM records WHERE cut_off OR bad_price OR product_id IS NULL GROUP BY ALL""", RECORDS)
+
+
+def sql_csv_quarantine() -> str:
+    return _quarantined("product_name")
+
+
+def sql_json_quarantine() -> str:
+    return _quarantined("NULL")
+
+
 # --- published tables -------------------------------------------------------------
 PUBLISHED = [       # dataset, zone, partition columns of the statement's rows
     ("enriched_transactions", "processed", ("year", "month"), sql_enriched_transactions),

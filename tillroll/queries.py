@@ -20,7 +20,7 @@ from .operators.enrich import enrich
 from .plans import publish, versions
 from .plans.durable import scratch_path
 from .plans.publish import PUBLISH_PLAN, dataset_profile
-from .sources import dirty, model
+from .sources import dirty, model, quarantine, schemas
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -273,6 +273,64 @@ def q_dirty_executive_totals(spark, sf_dir):
     return publishable(summary.executive_totals(_cleansed_enriched(spark, sf_dir)))
 
 
+# --- text files with bad records ----------------------------------------------------
+# Records of a thousand: a price that is no number, a record that is cut off, no key.
+BAD_PRICE, CUT_OFF, NO_KEY = 30, 20, 15
+
+
+def _product_records(spark, sf_dir):
+    """Products with the columns of the registered schema, and which record is bad."""
+    p = model.products(spark, sf_dir)
+    key = F.col("product_id")
+    return p.select(
+        F.when(~dirty.hit(key, 23, NO_KEY), key.cast("string")).alias("product_id"), "product_name", "category",
+        "subcategory", "brand", "price", "cost",
+        F.date_add(F.lit("2000-01-01").cast("date"), (key % 3000).cast("int")).alias("launch_date"),
+        dirty.hit(key, 21, BAD_PRICE).alias("bad_price"), dirty.hit(key, 22, CUT_OFF).alias("cut_off"))
+
+
+def _parsed(spark, sf_dir, file_format):
+    """All products written as text, one record a line, some of them bad, and read."""
+    rows = _product_records(spark, sf_dir)
+    fields = [F.col(c) for c in schemas.PRODUCTS.names]
+    wrong = [F.lit("n/a").alias("price") if c == "price" else F.col(c) for c in schemas.PRODUCTS.names]
+    line = F.to_csv if file_format == "csv" else F.to_json
+    short = F.concat_ws(",", "product_id", "product_name") if file_format == "csv" else F.concat(
+        F.lit('{"product_id":"'), F.coalesce("product_id", F.lit("")), F.lit('","price":'))
+    text = F.when(F.col("cut_off"), short).when(F.col("bad_price"), line(F.struct(*wrong))).otherwise(
+        line(F.struct(*fields)))
+    path = scratch_path(spark, f"records-{file_format}")
+    rows.select(text.alias("value")).write.text(path)
+    return quarantine.read_with_quarantine(spark, path, schemas.PRODUCTS, file_format, keep_partial=True,
+                                           header=False)
+
+
+def q_csv_round_trip(spark, sf_dir):
+    return publishable(_parsed(spark, sf_dir, "csv").rows, digits=6)
+
+
+def q_json_round_trip(spark, sf_dir):
+    return publishable(_parsed(spark, sf_dir, "json").rows, digits=6)
+
+
+def _quarantined(spark, sf_dir, file_format):
+    bad = _parsed(spark, sf_dir, file_format).quarantine
+    kind = F.when(F.col("reason") == "missing key", "missing key").when(
+        F.col("raw_record").contains("n/a"), "bad price").otherwise("cut off")
+    return bad.groupBy("reason", kind.alias("kind")).agg(
+        F.count(F.lit(1)).alias("records"), F.count_if(F.col("source_file").contains("records-")).alias("with_file"),
+        F.count_if(F.col("raw_record").isNotNull()).alias("with_text"),
+        F.count("fields.product_name").alias("with_name"), F.count("fields.price").alias("with_price"))
+
+
+def q_csv_quarantine(spark, sf_dir):
+    return _quarantined(spark, sf_dir, "csv")
+
+
+def q_json_quarantine(spark, sf_dir):
+    return _quarantined(spark, sf_dir, "json")
+
+
 # --- summary and catalog ---------------------------------------------------------
 def q_executive_totals(spark, sf_dir):
     return publishable(summary.executive_totals(enriched(spark, sf_dir)))
