@@ -920,6 +920,16 @@ def sql_json_quarantine() -> str:
     return _quarantined("NULL")
 
 
+def sql_bucketed_status_totals() -> str:
+    return with_model(f"""SELECT status, CAST(year(transaction_date) AS INTEGER) AS year, count(*) AS transactions,
+       {r(msum('total_amount'))} AS revenue, count(DISTINCT customer_id) AS customers
+FROM transactions GROUP BY ALL""")
+
+
+def sql_bucketed_enriched() -> str:
+    return sql_enriched_transactions()
+
+
 # --- published tables -------------------------------------------------------------
 PUBLISHED = [       # dataset, zone, partition columns of the statement's rows
     ("enriched_transactions", "processed", ("year", "month"), sql_enriched_transactions),

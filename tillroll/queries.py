@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .functions import rules
 from .functions.exprs import money_sum, rnd
 from .operators import baskets as bk
 from .operators import cohorts, customers, distinct, logs, products, quality, rfm, summary, timeseries
@@ -387,6 +388,23 @@ def q_published_months(spark, sf_dir):
         F.max("transaction_date").alias("latest")))
 
 
+def q_bucketed_status_totals(spark, sf_dir):
+    """Transactions by status and year over the bucketed fact tables."""
+    stored = model.store_bucketed(spark, sf_dir, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    tx = model.bucketed_transactions(spark, stored)
+    return publishable(tx.groupBy("status", F.year("transaction_date").alias("year")).agg(
+        F.count(F.lit(1)).alias("transactions"), money_sum("total_amount").alias("revenue"),
+        F.count_distinct("customer_id").alias("customers")))
+
+
+def q_bucketed_enriched(spark, sf_dir):
+    """The enriched table, its fact join over the bucketed tables."""
+    stored = model.store_bucketed(spark, sf_dir, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    codes = [k for k, v in rules.STATUS_NAMES.items() if v == rules.COMPLETED]
+    tx = model.bucketed_transactions(spark, stored, codes)
+    return publishable(enrich(tx, model.customers(spark, sf_dir), model.products(spark, sf_dir)), digits=6)
+
+
 # --- error logs ------------------------------------------------------------------
 def q_log_severity(spark, sf_dir):
     return logs.log_severity(model.logs(spark, sf_dir))

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.rules import COMPLETED, STATUS_NAMES, status_name
+from ..plans.bucketed import Bucketed, store_fact
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -98,6 +99,21 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derive(out, cols, CUSTOMER_ATTRS, PRODUCT_ATTRS)
 
 
+def store_bucketed(spark: SparkSession, sf_dir: str, buckets: int) -> Bucketed:
+    """Line items and orders stored for their join (``plans.bucketed``)."""
+    return store_fact(load(spark, sf_dir, "lineitem"), load(spark, sf_dir, "orders"), "l_orderkey", "o_orderkey",
+                      ["l_linenumber", "l_partkey", "l_suppkey"], buckets)
+
+
+def bucketed_transactions(spark: SparkSession, stored: Bucketed, codes: list[str] | None = None) -> DataFrame:
+    """``transactions`` from the stored tables: no exchange below the join. ``codes``
+    keeps orders of these raw status codes."""
+    keep = None if codes is None else F.col("o_orderstatus").isin(codes)
+    j = stored.joined(spark, ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount"],
+                      ["o_custkey", "o_orderdate", "o_orderstatus"], keep)
+    return j.select(*_line_columns(j))
+
+
 def _age_group(balance):
     out = None
     for bound, label in AGE_BANDS:
