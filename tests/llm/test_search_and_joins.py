@@ -166,9 +166,8 @@ def test_tree_finds_all_pairs_that_share_a_token():
     node = np.repeat(np.arange(150), [len(s) for s in sets])
     size = np.array([len(s) for s in sets])
     sketch = [signature_tree.parity_sketch(s.view(np.uint64), 256) for s in sets]
-    bits = [signature_tree.token_bits(s.view(np.uint64)).tobytes() for s in sets]
     a, b = signature_tree.candidates(flat, node, size[node], component[node], np.zeros(len(flat), np.int64),
-                                     [sketch[i] for i in node], [bits[i] for i in node], 60, False)
+                                     [sketch[i] for i in node], 60, False)
     found = set(zip(a.tolist(), b.tolist()))
     for i in range(150):
         for j in range(i + 1, 150):
@@ -178,29 +177,32 @@ def test_tree_finds_all_pairs_that_share_a_token():
 
 
 def test_largest_possible_overlap_is_a_bound_and_prunes():
-    """Groups of near sets that all share one token: the bound never falls below an
-    overlap, and drops almost all node pairs of different groups."""
+    """Groups of near sets that all share one token: the bound never claims more
+    unshared tokens than there are, and drops almost all node pairs of different groups."""
     rng = np.random.default_rng(9)
     sets = []
     for _ in range(64):
         base = rng.integers(0, 2 ** 63, 250).astype(np.uint64)
         for _ in range(8):
             sets.append(np.unique(np.concatenate([[np.uint64(1)], base[rng.random(250) < 0.97]])))
-    whole = np.stack([signature_tree.token_bits(s) for s in sets])
+    wide = [512, 1024, 4096]
+    whole = signature_tree.Parities([signature_tree.parity_sketch(s, wide[i % 3])
+                                     for i, s in enumerate(sets)]).bitmaps()
     size = np.array([len(s) for s in sets])
     same = np.ones((len(sets), signature_tree.WORDS), np.uint64)
     levels = signature_tree.build(same, whole, size, np.arange(len(sets)), np.zeros(len(sets), np.int64))
     i, j = rng.integers(0, len(sets), (2, 2000))
-    overlap = np.array([len(np.intersect1d(sets[x], sets[y])) for x, y in zip(i, j)])
-    assert (signature_tree.most_overlap(levels[0], i, j) >= overlap).all()
-    a, b = np.triu_indices(64, 1)              # inner nodes: one for each group
-    up = levels[1]
-    need = signature_tree.least_overlap(up.low[a], up.low[b], 90)
-    assert (signature_tree.most_overlap(up, a, b) < need).mean() > 0.9
+    apart = np.array([size[x] + size[y] - 2 * len(np.intersect1d(sets[x], sets[y])) for x, y in zip(i, j)])
+    assert (signature_tree.unshared(levels[0], i, j) <= apart).all()
+    for up in levels[1:]:           # any two sets below two nodes differ at least as much
+        f = len(sets) // len(up.low)
+        assert (signature_tree.unshared(up, i // f, j // f) <= apart).all()
+    a, b = np.triu_indices(64, 1)   # inner nodes: one for each group
+    assert len(signature_tree._possible(levels[1], a, b, 90, False)) < 0.1 * len(a)
     own = np.arange(64)
-    assert (signature_tree.most_overlap(up, own, own) >= signature_tree.least_overlap(up.low, up.low, 90)).all()
+    assert len(signature_tree._possible(levels[1], own, own, 90, False)) == 64
     left = sum(len(x) for x, _ in signature_tree.pairs(levels, 90, False))
-    assert left < 8 * 64 * 40                  # of 130,816 pairs
+    assert 64 * 28 * 0.5 < left < 64 * 28 * 1.5     # of 130,816 pairs
 
 
 def test_null_ids_make_no_cross_product(spark):

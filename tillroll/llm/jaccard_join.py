@@ -40,7 +40,7 @@ from ..plans.durable import durable
 from .bpe_codec import chunks
 from .components import components
 from .shingles import shingle_set
-from .signature_tree import Parities, candidates, most_difference, parity_sketch, token_bits
+from .signature_tree import Parities, candidates, most_difference, parity_sketch
 from .sized import broadcast_if_small, first_rows, free_name
 
 UNIT = 4096                # rows of a unit of trees, and of a block of a large group
@@ -49,7 +49,7 @@ HEAVY_LEAST = 64
 HEAVY_MOST = 500_000       # tokens put last (4 MB); the others keep their hash order
 SHARED_TOKENS = 2_000_000  # most 8-byte tokens that are broadcast; beyond, a shuffle join
 FIRST_PARTNERS = 2         # leaders verified for a document before the trees
-FEATURES = "doc_id long, tag long, mark binary, n long, key binary, tokens array<long>, sketch binary, bits binary"
+FEATURES = "doc_id long, tag long, mark binary, n long, key binary, tokens array<long>, sketch binary"
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -72,7 +72,7 @@ def _mark(text: Column) -> Column:
 
 def set_features(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """One row per document: mark of its text, size and 128-bit key of its set,
-    twice its prefix in hash order, a parity sketch and a bitmap of all tokens."""
+    twice its prefix in hash order, and a parity sketch."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
@@ -84,9 +84,8 @@ def set_features(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     pa.array([s[:2 * prefix_length(len(s), percent)].view(np.int64) if len(s) else None
                               for s in sets], pa.list_(pa.int64())),
                     pa.array([parity_sketch(s, _sketch_bits(len(s), percent)) if len(s) else None
-                              for s in sets], pa.binary()),
-                    pa.array([token_bits(s).tobytes() if len(s) else None for s in sets], pa.binary())],
-                    ["doc_id", "tag", "mark", "n", "key", "tokens", "sketch", "bits"])
+                              for s in sets], pa.binary())],
+                    ["doc_id", "tag", "mark", "n", "key", "tokens", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.monotonically_increasing_id().alias("tag"), _mark(F.col("text")).alias("mark"),
@@ -270,7 +269,7 @@ def _tree_pairs(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
         F.when(whole, F.lit(-1)).otherwise(low * (1 << 31) + high).cast("long").alias("cut"),
         (~whole & (F.col("block") > F.col("other"))).cast("byte").alias("side"),
         "token", "node", F.col("n").cast("int").alias("n"), "component")
-        .join(reps.select("node", "sketch", "bits"), "node"))
+        .join(reps.select("node", "sketch"), "node"))
 
     def traverse(table: pa.Table) -> pa.Table:
         def column(name: str) -> np.ndarray:
@@ -278,7 +277,7 @@ def _tree_pairs(rows: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
 
         cut = table.column("cut")[0].as_py()
         a, b = candidates(column("token"), column("node"), column("n"), column("component"),
-                          column("side"), table.column("sketch").to_pylist(), table.column("bits").to_pylist(), percent,
+                          column("side"), table.column("sketch").to_pylist(), percent,
                           cut >= 0 and cut >> 31 != cut & ((1 << 31) - 1))
         return pa.table({"a": a, "b": b})
 
@@ -304,7 +303,7 @@ def _documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
     chosen = broadcast_if_small(durable(classes.select(F.col("node").alias("tag")), "join-chosen"))
     whole = (features.join(chosen, "tag", "left_semi").withColumnRenamed("tag", "node"))
     prefixes = durable(_prefixes(docs, whole, classes.count(), words, percent), "join-tokens")
-    reps = durable(whole.select("node", "doc_id", "mark", "n", "sketch", "bits"), "join-reps")
+    reps = durable(whole.select("node", "doc_id", "mark", "n", "sketch"), "join-reps")
     tried = durable(_leader_pairs(prefixes, reps, percent), "join-tried")
     links = verified(docs, reps, tried, words, percent)
     rest = _unconnected(prefixes, components(links), percent)

@@ -9,11 +9,13 @@ connected, if no prefix token can be shared, or if the largest possible overlap
 of two of its sets is less than their sizes need. What is left of the leaf pairs
 passes a bound on the symmetric difference.
 
-Largest possible overlap: a bitmap of a whole set has one bit for each token, of
-which several may share a bit. Common tokens lie on common bits, so two sets below a
-pair of nodes have at most as many as the two OR bitmaps have common bits, and as the
-set with fewer shared bits has tokens beyond its bits. A wide node's bitmap is
-nearly full and drops little; near the leaves the bound is sharp.
+Largest possible overlap: a set's bitmap over all its tokens has a bit where an odd
+number of them falls (its parity sketch, folded to ``WORDS`` words). A bit that one
+set has and the other lacks is a token that they do not share. A set below node A has at
+least ``fewest`` bits, of which at most the common bits of A's and B's OR bitmaps can
+be in a set below B; the same holds the other way round. What is left on both sides
+cannot be shared. A wide node's bitmap is nearly full and drops little; near the
+leaves, and between groups of near copies, the bound is sharp.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ MIXED = np.iinfo(np.int64).min
 @dataclass
 class Level:
     bitmap: np.ndarray     # [nodes, WORDS], prefix tokens
-    whole: np.ndarray      # [nodes, WORDS], all tokens
-    spare: np.ndarray      # most tokens that a set below has beyond its bits
+    whole: np.ndarray      # [nodes, WORDS], all tokens (parities at the leaves, their OR above)
+    fewest: np.ndarray     # least number of bits of a set below
     low: np.ndarray        # sizes
     high: np.ndarray
     component: np.ndarray  # MIXED where children differ
@@ -44,23 +46,17 @@ def _uniform(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.where(low == high, low, MIXED)
 
 
-def token_bits(tokens: np.ndarray) -> np.ndarray:
-    """The bitmap of a whole set: ``WORDS`` 64-bit words."""
-    bit = ((tokens >> np.uint64(23)) % np.uint64(64 * WORDS)).astype(np.int64)
-    return np.packbits(np.bincount(bit, minlength=64 * WORDS) > 0, bitorder="little").view(np.uint64)
-
-
 def build(bitmap: np.ndarray, whole: np.ndarray, sizes: np.ndarray, component: np.ndarray,
           side: np.ndarray) -> list[Level]:
     """Levels from the leaves (one per set) to the root."""
-    spare = sizes - np.bitwise_count(whole).sum(axis=1).astype(np.int64)
-    levels = [Level(bitmap, whole, spare, sizes, sizes, component, side)]
+    fewest = np.bitwise_count(whole).sum(axis=1).astype(np.int64)
+    levels = [Level(bitmap, whole, fewest, sizes, sizes, component, side)]
     while len(levels[-1].low) > 1:
         below = levels[-1]
         starts = np.arange(0, len(below.low), FAN)
         levels.append(Level(
             np.bitwise_or.reduceat(below.bitmap, starts, axis=0),
-            np.bitwise_or.reduceat(below.whole, starts, axis=0), np.maximum.reduceat(below.spare, starts),
+            np.bitwise_or.reduceat(below.whole, starts, axis=0), np.minimum.reduceat(below.fewest, starts),
             np.minimum.reduceat(below.low, starts), np.maximum.reduceat(below.high, starts),
             _uniform(below.component, starts), _uniform(below.side, starts)))
     return levels
@@ -75,14 +71,18 @@ def _possible(level: Level, a: np.ndarray, b: np.ndarray, percent: int, crossing
         keep &= (level.side[a] != level.side[b]) | (level.side[a] == MIXED)
     at = np.flatnonzero(keep)
     at = at[(level.bitmap[a[at]] & level.bitmap[b[at]]).any(axis=1)]
-    return at[most_overlap(level, a[at], b[at]) >= least_overlap(level.low[a[at]], level.low[b[at]], percent)]
+    a, b = a[at], b[at]
+    # With s tokens in both sets together, the largest overlap is (s - unshared) / 2 and
+    # the least that is needed percent s / (100 + percent).
+    both = level.high[a] + level.high[b]
+    return at[(100 + percent) * (both - unshared(level, a, b)) >= 2 * percent * both]
 
 
-def most_overlap(level: Level, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Most tokens that a set below node a and one below node b can share."""
-    bits = np.bitwise_count(level.whole[a] & level.whole[b]).sum(axis=1).astype(np.int64)
-    return np.minimum(bits + np.minimum(level.spare[a], level.spare[b]),
-                      np.minimum(level.high[a], level.high[b]))
+def unshared(level: Level, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Fewest tokens of a set below node a and of one below node b, together, that
+    the two cannot share."""
+    common = np.bitwise_count(level.whole[a] & level.whole[b]).sum(axis=1).astype(np.int64)
+    return np.maximum(level.fewest[a] - common, 0) + np.maximum(level.fewest[b] - common, 0)
 
 
 def least_overlap(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -146,6 +146,16 @@ class Parities:
             rows, width = rows[:, :half] ^ rows[:, half:], width // 2
         return rows
 
+    def bitmaps(self) -> np.ndarray:
+        """All sketches, [sets, WORDS], folded to one width: the narrowest of them, and
+        ``WORDS`` words at most."""
+        to = min(8 * WORDS, int(self.width.min(initial=8 * WORDS)))
+        out = np.zeros((len(self.width), WORDS), np.uint64)
+        for width in self.rows:
+            own = np.flatnonzero(self.width == width)
+            out[own, :to // 8] = self._folded(own, width, to)
+        return out
+
     def least_difference(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """A lower bound of the symmetric difference of each pair."""
         out = np.empty(len(a), np.int64)
@@ -166,7 +176,7 @@ def parity_sketch(tokens: np.ndarray, bits: int) -> bytes:
 
 
 def candidates(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, component: np.ndarray,
-               side: np.ndarray, sketches: list[bytes], bits: list[bytes], percent: int, crossing: bool
+               side: np.ndarray, sketches: list[bytes], percent: int, crossing: bool
                ) -> tuple[np.ndarray, np.ndarray]:
     """Node pairs (smaller first) of rows (token, node, ...) that share a token,
     are not of one component, and may reach the similarity."""
@@ -183,7 +193,7 @@ def candidates(tokens: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, compone
     first = first[order]
     parity = Parities([sketches[i] for i in first.tolist()])
     n, ids = sizes[first], nodes[first]
-    whole = np.frombuffer(b"".join(bits[i] for i in first.tolist()), np.uint64).reshape(len(leaf), WORDS)
+    whole = parity.bitmaps()
     found_a, found_b = [], []
     for a, b in pairs(build(bitmap, whole, n, component[first], side[first]), percent, crossing):
         for s in range(0, len(a), 1 << 18):
