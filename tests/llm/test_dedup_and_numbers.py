@@ -2,6 +2,8 @@
 
 import hashlib
 import math
+import pathlib
+import re
 import zlib
 from collections import defaultdict
 
@@ -251,3 +253,9 @@ def test_screen_deals_a_large_batch_over_more_groups(spark, monkeypatch, old):
     monkeypatch.setattr(exact_dedup, "fuse_filter", type("Bounded", (), {
         "contains": staticmethod(contains), "build": staticmethod(fuse_filter.build)}))
     check_dedup(exact_dedup.dedup_corpus(df).collect(), rows)
+
+
+@pytest.mark.parametrize("module", ["url_filter", "mixing", "sharding", "numbering", "ordering", "sized"])
+def test_native_operators_use_no_python_worker(module):
+    source = pathlib.Path(mixing.__file__).with_name(f"{module}.py").read_text()
+    assert not re.search(r"\budf\(|\bpandas\b|\b[Aa]rrow|InArrow|InPandas|\.rdd\b|mapPartitions|numpy", source)
