@@ -105,3 +105,15 @@ def test_faults_do_not_depend_on_partitions(spark):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     key = spark.range(-3, 3).select(dirty.mixed(F.col("id"), 5).alias("m")).collect()
     assert all(0 <= r.m < dirty.M for r in key)
+
+
+def test_money_equals_unrounded_sums(spark):
+    """Sums at micro-unit resolution against exact sums of the doubles themselves."""
+    import math
+    rows = model.enriched(spark, SF01).select("year", "month", "total_amount", "profit_amount").collect()
+    got = {(r.year, r.month): r for r in entry.queries()["monthly_series"](spark, SF01).collect()}
+    for key in got:
+        own = [r for r in rows if (r.year, r.month) == key]
+        for column, name in (("total_amount", "monthly_revenue"), ("profit_amount", "monthly_profit")):
+            exact = math.fsum(r[column] for r in own if r[column] is not None)
+            assert abs(got[key][name] - exact) <= 0.005 + 1e-6 * len(own)

@@ -75,6 +75,7 @@ def status_name(code: Column) -> Column:
     return first_match([(code == k, v) for k, v in STATUS_NAMES.items()], F.lit(None))
 
 
+# Fixed values below this line: thresholds and scores as they apply, first match wins.
 def clv_segment(clv: Column, p80: Column, p60: Column, p40: Column) -> Column:
     return first_match(
         [(clv >= p80, CLV_SEGMENTS[0]), (clv >= p60, CLV_SEGMENTS[1]),
@@ -135,6 +136,7 @@ def churn_intervention(level: Column) -> Column:
                        CHURN_DEFAULT_INTERVENTION)
 
 
+# End of the fixed thresholds.
 def _contains_any(text: Column, words: list[str]) -> Column:
     cond = None
     for w in words:
