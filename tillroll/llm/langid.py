@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 
 from ..plans.durable import durable
 from .bpe_codec import chunks
-from .sampling import fold, sample_ids
+from .sampling import fold, one_text_each, sample_ids
 
 PER_LANGUAGE = 400         # most labelled texts of a language read for a fit
+SAMPLE_TEXTS = 8000        # about as many texts of all languages, 8 of each at least
+LANGUAGES = 250            # most languages learned: those with most labelled texts
 EXCERPT = 48               # characters of the excerpt
 PAIRS, TRIPLES = 1 << 11, 1 << 12
 WIDTH = PAIRS + TRIPLES
@@ -97,13 +99,17 @@ def train_svm(x: np.ndarray, y: np.ndarray, decay: float = 3e-4, steps: int = 25
 def fit(docs: DataFrame, train: Column, per_language: int = PER_LANGUAGE) -> Model:
     """A model from the rows of ``docs`` (doc_id, text, lang) that ``train``, a
     condition on doc_id, allows. Null languages and texts without letters teach
-    nothing."""
+    nothing. The sample is bounded by ``per_language``, ``SAMPLE_TEXTS`` and
+    ``LANGUAGES``; an id that is repeated gives one text."""
     rows = docs.filter(train & F.col("lang").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"))
-    chosen = durable(sample_ids(rows, "lang", per_language).distinct(), "lang-sample")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
-                        F.col("lang").cast("string").alias("lang")).join(
-        F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
+    learned = durable(rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+                      .select("lang"), "lang-names")
+    each = min(per_language, max(8, SAMPLE_TEXTS // max(1, learned.count())))
+    chosen = durable(sample_ids(rows.join(F.broadcast(learned), "lang"), "lang", each).distinct(), "lang-sample")
+    texts = one_text_each(docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang")).join(
+        F.broadcast(chosen), ["doc_id", "lang"]), ["doc_id", "lang"]).select("lang", "text")
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -25,3 +25,9 @@ def sample_ids(rows: DataFrame, by: str, most: int, seed: int = 1) -> DataFrame:
                                        + F.lit(16.0) / F.col("_n")) * _STEPS))
     rank = F.row_number().over(W.partitionBy(by).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id"))
     return thinned.select(*rows.columns, rank.alias("_rank")).filter(F.col("_rank") <= most).drop("_rank")
+
+
+def one_text_each(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per ``keys``: of texts that repeat them, the last in order. So a
+    sampled id that very many rows repeat is still one text."""
+    return rows.groupBy(*keys).agg(F.max("text").alias("text"))
