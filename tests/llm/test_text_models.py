@@ -244,3 +244,91 @@ def test_url_filter_odd_rows(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
     only = url_filter.judge(pages.filter("url = 'http://a.org#y'")).collect()
     assert [(r.host, r.path, r.verdict) for r in only] == [("a.org", "", "allow")]
+
+
+def test_language_scores_by_brute_force(documents, document_rows):
+    """Every text's language and score from dense vectors and all machines, plainly."""
+    model = langid.fit(documents, F.lit(True), per_language=30)
+
+    def duel(names, x):
+        table = {}
+        for a in names:
+            for b in names:
+                if (a, b) in model.machines:
+                    w, bias = model.machines[a, b]
+                    table[a, b] = float(np.dot(x.astype(np.float64), w.astype(np.float64))) + bias
+                    table[b, a] = -table[a, b]
+        own = {a: [table[a, b] for b in names if b != a] for a in names}
+        ranked = sorted(names, key=lambda a: (-sum(m > 0 for m in own[a]), -sum(own[a]), a))
+        return ranked[0], 1 / (1 + math.exp(-3 * min(own[ranked[0]], default=30.0)))
+
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(documents, model).collect()}
+    for r in document_rows:
+        text = r.text or ""
+        if not any(unicodedata.category(c)[0] == "L" for c in text):
+            assert got[r.doc_id] == ("und", 0.0)
+            continue
+        folded = bytes(b if 97 <= b <= 122 or b >= 128 else 32 for b in text.lower().encode())
+        counts = np.zeros(langid.WIDTH)
+        for i in range(len(folded) - 1):
+            pair = (folded[i] * 2654435761 + folded[i + 1] * 40503) % 2 ** 32
+            counts[(pair >> 7) % langid.PAIRS] += 1
+            if i + 2 < len(folded):
+                counts[langid.PAIRS + ((pair ^ folded[i + 2] * 2246822519 % 2 ** 32) >> 9) % langid.TRIPLES] += 1
+        x = np.sqrt(counts)
+        x /= np.linalg.norm(x)
+        family, first = duel(sorted(model.languages), x)
+        lang, second = duel(list(model.languages[family]), x)
+        assert got[r.doc_id][0] == lang and abs(got[r.doc_id][1] - first * second) < 1e-4
+
+
+def test_a_repeated_sampled_id_is_one_text(spark):
+    rows = [(1, f"wort nummer {i} und noch mehr", "de") for i in range(500)]
+    rows += [(2 + i, f"word number {i} and some more", "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    joined = docs.select("doc_id", "lang", "text")
+    assert langid.one_text_each(joined, ["doc_id", "lang"]).count() == 21
+    model = langid.fit(docs, F.lit(True))
+    assert sorted(sum(model.languages.values(), ())) == ["de", "en"]
+
+
+def test_many_languages_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    rows = [(i, f"some text {i} of number {i % 7}", f"l{i % 7}") for i in range(60)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True))
+    assert sorted(sum(model.languages.values(), ())) == ["l0", "l1", "l2"]      # 9 texts each, then by name
+
+
+@pytest.mark.parametrize("fitted", [False, True])
+def test_risk_gradient_by_finite_differences(fitted):
+    rng = np.random.default_rng(4)
+    positive, unlabelled = (rng.random((20, 6)) < 0.5).astype(float), (rng.random((50, 6)) < 0.3).astype(float)
+    theta = rng.normal(size=7)
+    if fitted:                      # scores that make the corrected risk negative
+        positive[:, 0], unlabelled[:, 0] = 1.0, 0.0
+        theta[0], theta[6] = 60.0, -50.0
+    prior = 0.4
+    own, corrected, gradient = toxicity.corrected_risk(theta, positive, unlabelled, prior)
+    assert (corrected < 0) == fitted
+
+    def risk(t):
+        a, b, _ = toxicity.corrected_risk(t, positive, unlabelled, prior)
+        return -b if fitted else a + b
+
+    for i in range(7):
+        step = np.zeros(7)
+        step[i] = 1e-5
+        assert abs((risk(theta + step) - risk(theta - step)) / 2e-5 - gradient[i]) < 1e-6
+    scores = positive @ theta[:6] + theta[6]
+    assert math.isclose(own, prior * np.mean([math.log1p(math.exp(-s)) for s in scores]), rel_tol=1e-9)
+
+
+def test_toxicity_scores_by_brute_force(documents, document_rows, sf):
+    """Every text's score from the sum of all weights that its words reach."""
+    labels = documents.sparkSession.read.parquet(f"{sf}/labels.parquet")
+    model = toxicity.fit(documents, labels, F.lit(True))
+    got = {r.doc_id: r.toxic_score for r in toxicity.score_texts(documents, model).collect()}
+    for r in document_rows:
+        total = model.bias + math.fsum(model.weights.get(stem, {}).get(level, 0.0)
+                                       for stem, level in toxicity.text_features(r.text or ""))
+        assert abs(got[r.doc_id] - 1 / (1 + math.exp(-total))) < 1e-9

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ..plans.durable import durable
 from .bpe_codec import chunks
 from .bpe_vocab import pieces
-from .sampling import fold, sample_ids
+from .sampling import fold, one_text_each, sample_ids
 
 POSITIVES = 1500          # most confirmed toxic texts read for a fit
 UNLABELLED = 4000         # most unlabelled texts read for a fit
@@ -88,6 +88,25 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60, 60)))
 
 
+def corrected_risk(theta: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray,
+                   prior: float) -> tuple[float, float, np.ndarray]:
+    """(positives' share of the risk, the class-prior-corrected risk of negatives, and
+    the direction of a training step) with logistic loss, ``theta`` being weights and
+    bias. The direction is the gradient of the sum of both; where the corrected risk is
+    negative (the model fits the sample too closely), that of its opposite alone."""
+    k = len(theta) - 1
+    sp, su = positive @ theta[:k] + theta[k], unlabelled @ theta[:k] + theta[k]
+    corrected = _log1pexp(su).mean() - prior * _log1pexp(sp).mean()
+    up = _sigmoid(sp) / len(sp)                     # gradient of R_p(-)
+    uu = _sigmoid(su) / len(su)                     # gradient of R_u(-)
+    if corrected >= 0:
+        gp, gu = prior * (up - 1.0 / len(sp)) - prior * up, uu
+    else:
+        gp, gu = prior * up, -uu
+    return (float(prior * _log1pexp(-sp).mean()), float(corrected),
+            np.append(positive.T @ gp + unlabelled.T @ gu, gp.sum() + gu.sum()))
+
+
 def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400,
                rate: float = 0.05, decay: float = 1e-3) -> tuple[np.ndarray, float]:
     """Weights and bias by full-batch Adam on the non-negative risk (logistic
@@ -97,15 +116,7 @@ def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps
     theta, m, v = np.zeros(k + 1), np.zeros(k + 1), np.zeros(k + 1)
     theta[k] = np.log(prior / (1 - prior))
     for step in range(1, steps + 1):
-        sp, su = positive @ theta[:k] + theta[k], unlabelled @ theta[:k] + theta[k]
-        corrected = _log1pexp(su).mean() - prior * _log1pexp(sp).mean()
-        up = _sigmoid(sp) / len(sp)                     # gradient of R_p(-)
-        uu = _sigmoid(su) / len(su)                     # gradient of R_u(-)
-        if corrected >= 0:
-            gp, gu = prior * (up - 1.0 / len(sp)) - prior * up, uu
-        else:
-            gp, gu = prior * up, -uu
-        g = np.append(positive.T @ gp + unlabelled.T @ gu, gp.sum() + gu.sum())
+        g = corrected_risk(theta, positive, unlabelled, prior)[2]
         g[:k] += decay * theta[:k]
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         theta -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
@@ -130,8 +141,8 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, positives: int = POSI
         sample_ids(toxic.select("doc_id", F.lit(1).alias("side")), "side", positives)
         .unionByName(sample_ids(ids.select("doc_id", F.lit(0).alias("side")), "side", unlabelled, 2)),
         "toxic-sample")                                 # at most positives + unlabelled rows
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
-        F.broadcast(chosen.distinct()), "doc_id").select("side", "text")
+    texts = one_text_each(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(
+        F.broadcast(chosen.distinct()), "doc_id"), ["side", "doc_id"]).select("side", "text")
 
     def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
