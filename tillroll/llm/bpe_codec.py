@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from .bpe_vocab import NO_RANK, Vocabulary, received, segments, ship
 
 CACHE_WORDS = 150_000
+BATCH_BYTES = 4 << 20         # of texts that reach a Python worker at a time
+BATCH_LIMIT, DEFAULT_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 CHUNK_CHARS = 2 << 20          # text handled, and rows returned, at a time
 ALONE = 512                    # symbols from which a pre-token has a tree of its own
 CELLS = 1 << 19                # symbols in one group of trees
@@ -193,6 +195,17 @@ class Codec:
         return " ".join(map(self.vocab.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """``docs``, with Arrow batches of at most ``BATCH_BYTES`` in its session from now on,
+    unless the session sets a limit of its own. Texts are handled ``CHUNK_CHARS`` at a
+    time anyway; the default of 64 MB costs every task that much in the JVM and again in
+    its Python worker."""
+    conf = docs.sparkSession.conf
+    if conf.get(BATCH_LIMIT) == DEFAULT_LIMIT:
+        conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+    return docs
+
+
 def chunks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about ``CHUNK_CHARS`` bytes of text each."""
     sizes = np.array([0 if n is None else n for n in
@@ -233,6 +246,6 @@ def encode_decode(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",))
                      pa.array([codec.decode(x) for x in ids], pa.string())],
                     [*keep, "n_tokens", "ids", "decoded"])
 
-    source = docs.select(*dict.fromkeys([*keep, "text"]))
+    source = small_batches(docs).select(*dict.fromkeys([*keep, "text"]))
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema.fields]
     return source.mapInArrow(run, ", ".join([*kept, "n_tokens long", "ids binary", "decoded string"]))

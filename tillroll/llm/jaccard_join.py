@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.durable import durable
-from .bpe_codec import chunks
+from .bpe_codec import chunks, small_batches
 from .components import components
 from .shingles import shingle_set
 from .signature_tree import Parities, candidates, most_difference, parity_sketch
@@ -292,7 +292,7 @@ def _documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
     row has the row's set. Rows with the same doc_id and mark are all kept or
     all not.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     features = durable(set_features(docs, words, percent), "join-sets")
     classes = durable(features.filter("n > 0").groupBy("key").agg(
         F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tag"))).alias("first"),

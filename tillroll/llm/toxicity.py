@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.durable import durable
-from .bpe_codec import chunks
+from .bpe_codec import chunks, small_batches
 from .bpe_vocab import pieces
 from .sampling import fold, one_text_each, sample_ids
 
@@ -256,7 +256,7 @@ def score_texts(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",)
                 yield pa.RecordBatch.from_arrays(
                     [*[part.column(c) for c in keep], pa.array(scores, pa.float64())], [*keep, name])
 
-    source = docs.select(*dict.fromkeys([*keep, "text"]))
+    source = small_batches(docs).select(*dict.fromkeys([*keep, "text"]))
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema.fields]
     return source.mapInArrow(run, ", ".join([*kept, f"`{name}` double"]))
 
