@@ -12,6 +12,7 @@ Work is spread by documents; each task keeps a bounded cache of pre-tokens.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -28,6 +29,7 @@ CHUNK_CHARS = 2 << 20          # text handled, and rows returned, at a time
 ALONE = 512                    # symbols from which a pre-token has a tree of its own
 CELLS = 1 << 19                # symbols in one group of trees
 _INF = NO_RANK << 32
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)        # glibc has it
 
 
 def _first_symbols(vocab: Vocabulary, word: bytes) -> np.ndarray:
@@ -206,8 +208,18 @@ def small_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on between stages, and
+    what they keep is missing beside the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def chunks(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``CHUNK_CHARS`` bytes of text each."""
+    """Slices of a batch with about ``CHUNK_CHARS`` bytes of text each. What the last
+    slices have left free is given back."""
+    give_back()
     sizes = np.array([0 if n is None else n for n in
                       pc.binary_length(batch.column(column)).to_pylist()], np.int64)
     start = used = 0
@@ -245,6 +257,7 @@ def encode_decode(docs: DataFrame, path: str, keep: Sequence[str] = ("doc_id",))
                      pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
                      pa.array([codec.decode(x) for x in ids], pa.string())],
                     [*keep, "n_tokens", "ids", "decoded"])
+                del ids
 
     source = small_batches(docs).select(*dict.fromkeys([*keep, "text"]))
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in source.select(*keep).schema.fields]
