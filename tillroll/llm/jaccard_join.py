@@ -307,7 +307,10 @@ def _documents(docs: DataFrame, words: int, percent: int) -> DataFrame:
     tried = durable(_leader_pairs(prefixes, reps, percent), "join-tried")
     links = verified(docs, reps, tried, words, percent)
     rest = _unconnected(prefixes, components(links), percent)
-    more = _tree_pairs(rest, reps, percent).join(tried, ["a", "b"], "left_anti")
+    # Written, so that a pair is one row before the join: units that share several of
+    # its tokens each find it, and Spark would move the join below the distinct.
+    found = durable(_tree_pairs(rest, reps, percent), "join-found")
+    more = found.join(tried, ["a", "b"], "left_anti")
     links = links.unionByName(verified(docs, reps, more, words, percent))
     joined = components(links).join(classes.select("node", "least"), "node")
     least = joined.groupBy("component").agg(F.min("least").alias("stays"))
