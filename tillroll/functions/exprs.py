@@ -59,14 +59,25 @@ def finite(c: Column | str) -> Column:
     return F.when(F.abs(col) < F.lit(float("inf")), col)
 
 
+def money_parts(c: Column | str) -> tuple[Column, Column]:
+    """A value's whole part and its millionths, as longs: their sums are cheap and
+    can be summed again (``money_of``). NaN and infinite values are null."""
+    col = finite(c)
+    whole = F.floor(col)
+    return whole, F.round((col - whole) * F.lit(1e6)).cast("long")
+
+
+def money_of(whole: Column, micros: Column) -> Column:
+    """The DECIMAL(38,6) of a sum of whole parts and one of millionths."""
+    return (whole.cast(MONEY)
+            + micros.cast("decimal(38,0)") * F.lit(0.000001).cast("decimal(7,6)")).cast(MONEY)
+
+
 def money_sum_exact(c: Column | str) -> Column:
     """Exact DECIMAL(38,6) sum (also for partial sums that are summed again).
     NaN and infinite values are left out, like nulls."""
-    col = finite(c)
-    whole = F.floor(col)
-    micros = F.round((col - whole) * F.lit(1e6)).cast("long")
-    return (F.sum(whole).cast(MONEY)
-            + F.sum(micros).cast("decimal(38,0)") * F.lit(0.000001).cast("decimal(7,6)")).cast(MONEY)
+    whole, micros = money_parts(c)
+    return money_of(F.sum(whole), F.sum(micros))
 
 
 def money_sum(c: Column | str) -> Column:

@@ -13,8 +13,10 @@ item once per basket.
 Scale plan (heavy-light decomposition, every step exact):
 1. (basket, item) multiplicities with map-side combine, shuffled by all three
    keys, so a hot basket is spread by item.
-2. Apriori bound before any pair is formed: pair_count(a, b) <= sum over baskets
-   of mult_a * largest multiplicity there. Items that cannot reach min_support go.
+2. Apriori bounds before any pair is formed: pair_count(a, b) <= purchases of a *
+   largest multiplicity of all, and <= sum over baskets of mult_a * largest
+   multiplicity there. Items that cannot reach min_support go: by the first bound
+   before any basket is looked at, by the second from the baskets that are left.
 3. Each basket is split by multiplicity: its light maximum is the smallest
    multiplicity that at most sqrt(items) of its items exceed; those are heavy.
    Pairs with a heavy item are joined linearly: heavy items x items.
@@ -103,6 +105,21 @@ def looked_up_pairs(wanted: DataFrame, light: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("_c1") * F.col("item_count")).alias("pair_count")))
 
 
+def _bought_enough(grouped: DataFrame, keys: list[str], frequent) -> DataFrame:
+    """The rows (basket, ``keys`` with the item, _rows) of the items that could be in a
+    frequent pair if every basket held the other item as often as any basket can hold
+    any item. Counted before items are brought together by basket."""
+    bought = durable(grouped.groupBy(*keys).agg(F.sum("_rows").alias("_bought"), F.max("_rows").alias("_most"))
+                     .groupBy("item").agg(F.sum("_bought").alias("_bought"), F.sum("_most").alias("_most")),
+                     "basket_item_totals")
+    most = F.lit(one_row(bought.agg(F.max("_most").cast("double")))[0]).cast("double")
+    keep = durable(bought.filter(frequent(F.col("_bought").cast("double") * most)).select("item"),
+                   "basket_items_kept")
+    if keep.count() == bought.count():
+        return grouped
+    return durable(grouped.join(keep, "item", "left_semi"), "basket_rows_kept")
+
+
 def _pair_counts(items: DataFrame, frequent, block_items: int) -> DataFrame:
     """Exact pair_count (sum of mult_a * mult_b over baskets, a < b) of every pair
     that can be ``frequent`` (a test of a count or of an upper bound)."""
@@ -172,10 +189,6 @@ def basket_pairs(enriched: DataFrame, min_support: float = 0.01, item_col: str =
         F.count("*").alias("_rows"))
     if materialize:
         grouped = durable(grouped, "basket_items")
-    items = (grouped.filter(F.col("item").isNotNull())
-             .groupBy(*BASKET, "item").agg(F.sum("_rows").alias("item_count")))
-    if distinct_items:
-        items = items.withColumn("item_count", F.lit(1).cast("long"))
     # All baskets (single-item ones included), counted once over the written table.
     total_baskets = one_row(grouped.groupBy(*BASKET).agg(F.lit(1).alias("_one"))
                             .select(F.count("*")))[0]
@@ -184,10 +197,14 @@ def basket_pairs(enriched: DataFrame, min_support: float = 0.01, item_col: str =
     def frequent(count: Column) -> Column:
         return count / total >= F.lit(min_support)
 
+    grouped = _bought_enough(grouped.filter(F.col("item").isNotNull()), ["item", *info_cols], frequent)
+    items = grouped.groupBy(*BASKET, "item").agg(F.sum("_rows").alias("item_count"))
+    if distinct_items:
+        items = items.withColumn("item_count", F.lit(1).cast("long"))
     pairs = _pair_counts(items, frequent, block_items)
     out = pairs.withColumn("support", F.col("pair_count") / total).filter(F.col("support") >= F.lit(min_support))
     if with_info:
-        info = grouped.filter(F.col("item").isNotNull()).select("item", *info_cols).distinct()
+        info = grouped.select("item", *info_cols).distinct()
         i1 = info.select(F.col("item").alias("product_1"),
                          F.col("category").alias("category_1"), F.col("brand").alias("brand_1"))
         i2 = info.select(F.col("item").alias("product_2"),

@@ -33,7 +33,10 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exprs import free_name
+
 DIGEST = "decimal(38,0)"
+DIGEST_BITS = 22
 MANIFEST = ("table string, zone string, data_version string, part string, rows long, digest decimal(38,0), "
             "partition_columns array<string>, schema_json string")
 VERSION = "version"
@@ -71,8 +74,15 @@ def row_hash(columns: Sequence[str]) -> Column:
 
 def digest(columns: Sequence[str]) -> Column:
     """The sum of the rows' hashes: any order and any split of the rows gives the
-    same, and a repeated row counts twice."""
-    return F.coalesce(F.sum(row_hash(columns).cast(DIGEST)), F.lit(0).cast(DIGEST)).cast(DIGEST)
+    same, and a repeated row counts twice. Summed as three longs of 22 bits a row
+    (the highest is signed), which is exact for up to 2^41 rows."""
+    h, low = row_hash(columns), F.lit((1 << DIGEST_BITS) - 1)
+    parts = [h.bitwiseAND(low), F.shiftright(h, DIGEST_BITS).bitwiseAND(low), F.shiftright(h, 2 * DIGEST_BITS)]
+    whole = F.lit(0).cast(DIGEST)
+    for i, part in enumerate(parts):
+        weight = F.lit(Decimal(1 << (i * DIGEST_BITS))).cast("decimal(18,0)")
+        whole = whole + F.coalesce(F.sum(part), F.lit(0)).cast("decimal(19,0)") * weight
+    return whole.cast(DIGEST)
 
 
 def part_name(partition_columns: Sequence[str]) -> Column:
@@ -95,9 +105,13 @@ class VerificationError(RuntimeError):
 
 
 def partition_digests(df: DataFrame, columns: Sequence[str], partition_columns: Sequence[str]) -> DataFrame:
-    """(part, rows, digest) of every partition."""
-    return df.groupBy(part_name(partition_columns).alias("part")).agg(
-        F.count(F.lit(1)).alias("rows"), digest(columns).alias("digest"))
+    """(part, rows, digest) of every partition. Rows are grouped by the columns; their
+    JSON is made once per group (two groups may have the same)."""
+    n, d = free_name(df, "_rows"), free_name(df, "_digest")
+    by_value = df.groupBy(*[F.col(f"`{c}`") for c in partition_columns]).agg(
+        F.count(F.lit(1)).alias(n), digest(columns).alias(d)).filter(F.col(n) > 0)
+    return by_value.groupBy(part_name(partition_columns).alias("part")).agg(
+        F.sum(n).alias("rows"), F.sum(d).cast(DIGEST).alias("digest"))
 
 
 def stage(df: DataFrame, root: str, zone: str, table: str, version: str,
