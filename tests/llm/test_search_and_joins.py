@@ -61,6 +61,46 @@ def test_top_k_brute_force(spark, monkeypatch, kind):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_top_k_broadcasts_no_vectors(spark, monkeypatch):
+    """A join of blocks with chunks was planned as a broadcast of blocks x chunks whole blocks."""
+    for name, value in (("CHUNK", 16), ("BLOCK", 4), ("SEEDS", 32)):
+        monkeypatch.setattr(topk, name, value)
+    rng = random.Random(5)
+    rows = [(i, [rng.randint(-9, 9) for _ in range(6)]) for i in range(600)]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, v array<long>"), F.col("vec_id") % 20 == 0, 7)
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()) == brute_top_k(rows, 7)
+
+
+@pytest.mark.parametrize("held, most", [(48, 3), (600, 5), (1 << 23, 2048)])
+def test_top_k_units(spark, monkeypatch, held, most):
+    """Several groups, stripes and units in a partition, lengths of all sizes, repeated ids."""
+    for name, value in (("CHUNK", 16), ("BLOCK", 4), ("SEEDS", 24), ("SPREAD", 24), ("WORK", 1500),
+                        ("GRID", 7), ("HELD", held), ("MOST_PARTS", most)):
+        monkeypatch.setattr(topk, name, value)
+    rng = random.Random(held)
+    rows = [(i % 380, [rng.randint(-9, 9) * (1 + 4000 // (i + 1)) for _ in range(6)]) for i in range(400)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "vec_id long, v array<long>").repartition(3)
+    got = topk.top_k(df, F.col("vec_id") % 20 == 0, 7)
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got.collect()) == brute_top_k(rows, 7)
+
+
+def test_packed_values_are_narrow():
+    for low, high, size in ((0, 0, 1), (-128, 127, 1), (0, 128, 2), (-129, 0, 2), (-2 ** 31, 2 ** 31 - 1, 4),
+                            (0, 2 ** 31, 8), (-2 ** 63, 2 ** 63 - 1, 8)):
+        x = np.array([[low, high], [0, 0]], np.int64)
+        ids, back = topk._unpack(np.array([7, 9]).tobytes(), topk._narrow(x).tobytes(), 2)
+        assert back.itemsize == size and (back == x).all() and list(ids) == [7, 9]
+
+
+def test_partitions_grow_slower_than_chunks():
+    """A range sort samples for every partition, and the driver holds the samples."""
+    assert topk._partitions(51_282, topk.CHUNK, 64) == 26
+    assert topk._partitions(500_000, topk.CHUNK, 64) == topk.SPREAD
+    assert topk._partitions(20_000_000, topk.CHUNK, 64) < 200
+
+
 def test_usable_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [0.5, -0.01]), (1, None), (2, [1.0, None]), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [])]

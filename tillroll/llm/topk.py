@@ -9,10 +9,14 @@ coordinates.
    score is a query's threshold.
 2. |q| |x| bounds a score, so a block needs only the chunks whose longest vector
    reaches threshold / |q| for some query: a leading range of the norm order.
-   Blocks join exactly those chunks.
-3. In a pair of block and chunk, the partial sum over the first rotated
-   coordinates plus |q rest| |x rest| (Cauchy-Schwarz) bounds each score; pairs
-   below the threshold are dropped, the others get the exact integer product.
+3. A unit of work is a group of blocks and a stripe of the chunks: the partitions
+   of the norm order are dealt to the stripes in turn. Its task holds the group
+   and reads the stripe, longest vectors first, so a vector is copied once for
+   each group, and a query once for each stripe, however many chunks there are.
+4. For a block and a chunk, the partial sum over the first rotated coordinates
+   plus |q rest| |x rest| (Cauchy-Schwarz) bounds each score; pairs below the
+   threshold are dropped, the others get the exact integer product. The k best so
+   far raise the threshold for the chunks that follow.
 
 Thresholds never drop a score that could be among the k best, ties included,
 so the result is exact whatever the data; only the work depends on it.
@@ -20,6 +24,7 @@ so the result is exact whatever the data; only the work depends on it.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +39,11 @@ CHUNK = 2048              # vectors in a chunk
 BLOCK = 512               # queries in a block
 SEEDS = 4096              # longest vectors that set the thresholds
 GRID = 1024               # most norm boundaries known to the driver
-PACKED = "rank int, n int, longest double, ids binary, values binary"
+HELD = 1 << 23            # vector components in a sorted partition, or in a group of blocks
+SPREAD = 64               # fewest partitions or units, unless there are fewer chunks
+WORK = 1 << 36            # pairs of rows in a unit of work
+MOST_PARTS = 2048         # most partitions that units are dealt to
+PACKED = "rank int, place int, n int, longest double, ids binary, values binary"
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -70,67 +79,137 @@ def _rotation(vectors: DataFrame, width: int) -> np.ndarray:
             [pa.array(np.arange(width * width), pa.int32()), pa.array(total.ravel())], ["cell", "value"])
 
     cells = (vectors.select("v").mapInArrow(gram, "cell int, value double")
-             .groupBy("cell").agg(F.sum("value").alias("value")).collect())
+             .groupBy("cell").agg(F.sum("value").alias("value")).toArrow())
     total = np.zeros(width * width)
-    for c in cells:
-        total[c["cell"]] = c["value"]
+    total[cells["cell"].to_numpy()] = cells["value"].to_numpy()
     total = total.reshape(width, width)
     return np.linalg.eigh((total + total.T) / 2)[1][:, ::-1].copy()
 
 
+def _partitions(n: int, per_pack: int, width: int) -> int:
+    """For ``n`` rows: each pack its own partition while they are few, then about
+    ``HELD`` components in each. A range sort samples some 300 rows a partition
+    for the driver, so a partition for every pack would be too many."""
+    held = max(per_pack, HELD // width)
+    return max(-(-n // held), min(-(-n // per_pack), SPREAD))
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    """The same whole numbers in as few bytes each as they need."""
+    return x.astype(np.min_scalar_type(min(int(x.min(initial=0)), -int(x.max(initial=0)) - 1)))
+
+
 def _pack(rows: DataFrame, per_row: int, width: int) -> DataFrame:
     """One packed row for at most ``per_row`` rows (vec_id, v) of a partition,
-    in the partition's order."""
+    in the partition's order: ``rank`` is the partition, ``place`` counts its packs."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = 0
         for batch in batches:
             for s in range(0, batch.num_rows, per_row):
                 part = batch.slice(s, per_row)
                 x = _matrix(part.column("v"), width)
                 ids = part.column("vec_id").to_numpy(zero_copy_only=False).astype(np.int64)
-                longest = float(np.sqrt((x.astype(np.float64) ** 2).sum(1)).max())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part.column("rank")[0].as_py()], pa.int32()), pa.array([len(ids)], pa.int32()),
-                     pa.array([longest]), pa.array([ids.tobytes()], pa.binary()),
-                     pa.array([x.tobytes()], pa.binary())], ["rank", "n", "longest", "ids", "values"])
+                    [pa.array([part.column("rank")[0].as_py()], pa.int32()), pa.array([place], pa.int32()),
+                     pa.array([len(ids)], pa.int32()), pa.array([float(_lengths(x).max())]),
+                     pa.array([ids.tobytes()], pa.binary()), pa.array([_narrow(x).tobytes()], pa.binary())],
+                    ["rank", "place", "n", "longest", "ids", "values"])
+                place += 1
 
     return rows.select("vec_id", "v", F.spark_partition_id().alias("rank")).mapInArrow(pack, PACKED)
 
 
 def _unpack(ids: bytes, values: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     own = np.frombuffer(ids, np.int64)
-    return own, np.frombuffer(values, np.int64).reshape(len(own), width)
+    kind = f"i{len(values) // (len(own) * width)}"
+    return own, np.frombuffer(values, kind).reshape(len(own), width)
 
 
 def _lengths(x: np.ndarray) -> np.ndarray:
     return np.sqrt((x.astype(np.float64) ** 2).sum(1))
 
 
-def best_in_chunk(q_ids: np.ndarray, q: np.ndarray, least: np.ndarray, ids: np.ndarray, x: np.ndarray,
-                  rotation: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Turned:
+    """Rows with what bounds their products: lengths, and the first rotated
+    coordinates with the length of the rest."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, rotation: np.ndarray) -> None:
+        self.ids, self.x, self.length = ids, x, _lengths(x)
+        self.longest = self.length.max(initial=0)
+        self.largest = max(-float(x.min(initial=0)), float(x.max(initial=0)))
+        head = max(1, x.shape[1] // 4)
+        turned = x @ rotation
+        self.head = np.column_stack([turned[:, :head], _lengths(turned[:, head:])]).astype(np.float32)
+
+
+def _places(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and column of each true cell (np.nonzero takes several times as long
+    where these are few)."""
+    return np.divmod(np.flatnonzero(chosen), chosen.shape[1])
+
+
+def _k_best(row: np.ndarray, own: np.ndarray, score: np.ndarray,
+            k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each row the ``k`` highest scores, ties to the smaller id."""
+    order = np.lexsort((own, -score, row))
+    row, own, score = row[order], own[order], score[order]
+    kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+    return row[kept], own[kept], score[kept]
+
+
+def best_in_chunk(q: Turned, least: np.ndarray, chunk: Turned,
+                  k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, vec_id, score) of each query's k best scores that reach its
     threshold ``least``, own row left out, ties to the smaller id."""
-    q_len, x_len, width = _lengths(q), _lengths(x), q.shape[1]
-    head = max(1, width // 4)
-    q_turned, x_turned = q @ rotation, x @ rotation
-    bound = q_turned[:, :head] @ x_turned[:, :head].T
-    bound += np.outer(_lengths(q_turned[:, head:]), _lengths(x_turned[:, head:]))
     # Rounding stays far below this slack.
-    slack = 1e-9 * (1 + np.outer(q_len, x_len))
-    row, col = np.nonzero((bound + slack >= least[:, None]) & (q_ids[:, None] != ids))
-    exact_in_doubles = width * float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) < 2 ** 53
-    if exact_in_doubles and len(row) > 0.05 * bound.size:
-        score = (q.astype(np.float64) @ x.astype(np.float64).T)[row, col].astype(np.int64)
+    slack = 1e-5 * (1 + q.length * chunk.longest)
+    reach = q.head @ chunk.head.T >= (least - slack).astype(np.float32)[:, None]
+    largest = q.x.shape[1] * q.largest * chunk.largest
+    if largest < 2 ** 53 and np.count_nonzero(reach) > 0.05 * reach.size:
+        exact = np.float32 if largest < 2 ** 24 else np.float64
+        scores = q.x.astype(exact) @ chunk.x.astype(exact).T
+        bar = least.astype(exact)
+        if len(chunk.ids) > k and np.count_nonzero(scores >= bar[:, None]) > 4 * k * len(bar):
+            others = np.where(q.ids[:, None] == chunk.ids, -np.inf, scores)
+            bar = np.maximum(bar, np.partition(others, -k, axis=1)[:, -k])
+        row, col = _places(scores >= bar[:, None])
+        score = scores[row, col].astype(np.int64)
     else:
+        row, col = _places(reach)
         score = np.empty(len(row), np.int64)
         for s in range(0, len(row), 1 << 18):
             part = slice(s, s + (1 << 18))
-            score[part] = np.einsum("ij,ij->i", q[row[part]], x[col[part]])
-    kept = score >= least[row]
-    row, own, score = row[kept], ids[col[kept]], score[kept]
-    order = np.lexsort((own, -score, row))
-    row, own, score = row[order], own[order], score[order]
-    place = np.arange(len(row)) - np.searchsorted(row, row)
-    return row[place < k], own[place < k], score[place < k]
+            score[part] = np.einsum("ij,ij->i", q.x[row[part]].astype(np.int64), chunk.x[col[part]].astype(np.int64))
+    kept = (score >= least[row]) & (q.ids[row] != chunk.ids[col])
+    return _k_best(row[kept], chunk.ids[col[kept]], score[kept], k)
+
+
+class Block:
+    """A block of queries with the k best that it has found so far."""
+
+    def __init__(self, queries: Turned, least: np.ndarray, k: int) -> None:
+        self.queries, self.least, self.k = queries, least.copy(), k
+        self.found = [(np.empty(0, np.int64),) * 3]
+        self.fresh = 0
+
+    def meet(self, chunk: Turned) -> None:
+        if (chunk.longest * self.queries.length * (1 + 1e-9) < self.least).all():
+            return
+        self.found.append(best_in_chunk(self.queries, self.least, chunk, self.k))
+        self.fresh += len(self.found[-1][0])
+        if self.fresh > len(self.least):
+            self.best()
+
+    def best(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query row, vec_id, score) of the k best; their last scores are the
+        thresholds from now on."""
+        row, own, score = _k_best(*map(np.concatenate, zip(*self.found)), self.k)
+        self.found, self.fresh = [(row, own, score)], 0
+        counts = np.bincount(row, minlength=len(self.least))
+        full = counts == self.k
+        last = score[np.cumsum(counts)[full] - 1]
+        self.least[full] = np.maximum(self.least[full], last)
+        return row, own, score
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
@@ -158,22 +237,24 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
     width = max(1, width)
     rotation = spark.sparkContext.broadcast(_rotation(rows, width))
     length = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    parts = -(-n // CHUNK)
     # The tag spreads equal rows.
     by_length = [F.col("l2").desc(), F.col("vec_id"), F.col("tag")]
     sorted_rows = (rows.select("vec_id", "v", "tag", length.alias("l2"))
-                   .repartitionByRange(parts, *by_length).sortWithinPartitions(*by_length))
+                   .repartitionByRange(_partitions(n, CHUNK, width), *by_length).sortWithinPartitions(*by_length))
     chunks = durable(_pack(sorted_rows, CHUNK, width), "topk-chunks")
-    blocks = _pack(asked.repartitionByRange(-(-n_asked // BLOCK), "vec_id", "tag"), BLOCK, width)
+    asked_parts = _partitions(n_asked, BLOCK, width)
+    blocks = _pack(asked.repartitionByRange(asked_parts, "vec_id", "tag"), BLOCK, width)
 
     # The longest vectors, about SEEDS of them, and at most GRID norm boundaries.
-    first, seeds, held = 0, [], 0
-    for c in chunks.orderBy(F.desc("longest"), "rank").select("rank", "n").limit(256).collect():
+    first, held = (0, 0), 0
+    for c in chunks.orderBy("rank", "place").select("rank", "place", "n").limit(256).collect():
         if held >= SEEDS:
             break
-        held, first = held + c["n"], max(first, c["rank"] + 1)
-    for c in chunks.filter(F.col("rank") < first).select("ids", "values").collect():
-        seeds.append(_unpack(c["ids"], c["values"], width))
+        held, first = held + c["n"], (c["rank"], c["place"] + 1)
+    first_rank = first[0]
+    is_seed = (F.col("rank") < first_rank) | (F.col("rank") == first_rank) & (F.col("place") < first[1])
+    seeds = [_unpack(c["ids"], c["values"], width)
+             for c in chunks.filter(is_seed).select("ids", "values").collect()]
     last_rank = chunks.agg(F.max("rank")).first()[0]
     stride = last_rank // GRID + 1
     grid = [(c["rank"], c["longest"]) for c in chunks.filter(F.col("rank") % stride == 0)
@@ -183,26 +264,27 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
 
     def seed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, x, boundaries = shipped.value
+        longest_vectors = Turned(ids, x, rotation.value)
         for batch in batches:
             for b in batch.to_pylist():
-                q_ids, q = _unpack(b["ids"], b["values"], width)
-                least = np.full(len(q), -np.inf)
-                row, own, score = best_in_chunk(q_ids, q, least, ids, x, rotation.value, k)
-                counts = np.bincount(row, minlength=len(q))
-                full = counts == k
-                least[full] = score[np.cumsum(counts)[full] - 1]
+                queries = Turned(*_unpack(b["ids"], b["values"], width), rotation.value)
+                block = Block(queries, np.full(len(queries.ids), -np.inf), k)
+                block.meet(longest_vectors)
+                row, own, score = block.best()
                 # Vectors shorter than this reach no query's threshold.
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    need = np.where(least > 0, least / _lengths(q), 0.0).min() * (1 - 1e-9)
+                    need = np.where(block.least > 0, block.least / queries.length, 0.0).min() * (1 - 1e-9)
                 to = next((r for r, longest in boundaries if longest < need), last_rank + 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([to], pa.int32()), *[pa.array([v.tobytes()], pa.binary()) for v in (
-                        q_ids, q, least, q_ids[row], own, score)]],
-                    ["to", "q_ids", "q", "least", "got_query", "got_id", "got_score"])
+                    [pa.array([b["rank"]], pa.int32()), pa.array([b["place"]], pa.int32()), pa.array([to], pa.int32()),
+                     *[pa.array([v], pa.binary()) for v in (
+                         b["ids"], b["values"], block.least.tobytes(), queries.ids[row].tobytes(),
+                         own.tobytes(), score.tobytes())]],
+                    ["rank", "place", "to", "ids", "values", "least", "got_query", "got_id", "got_score"])
 
     seeded = durable(blocks.mapInArrow(
-        seed, "to int, q_ids binary, q binary, least binary, got_query binary, got_id binary, "
-              "got_score binary"), "topk-seeded")
+        seed, "rank int, place int, to int, ids binary, values binary, least binary, got_query binary, "
+              "got_id binary, got_score binary"), "topk-seeded")
 
     def first_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -212,23 +294,54 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 20) -> DataFrame:
                     ["query_id", "vec_id", "score"])
 
     def more_found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each unit the blocks come first, then the chunks, longest first."""
+        def ended(blocks: list[Block]) -> Iterator[pa.RecordBatch]:
+            for block in blocks:
+                row, own, score = block.best()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(block.queries.ids[row]), pa.array(own), pa.array(score)],
+                    ["query_id", "vec_id", "score"])
+
+        unit, group = None, []
         for batch in batches:
             for i in range(batch.num_rows):
                 b = batch.slice(i, 1).to_pylist()[0]
-                q_ids, q = _unpack(b["q_ids"], b["q"], width)
-                ids, x = _unpack(b["ids"], b["values"], width)
-                row, own, score = best_in_chunk(q_ids, q, np.frombuffer(b["least"], np.float64),
-                                                ids, x, rotation.value, k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[row]), pa.array(own), pa.array(score)], ["query_id", "vec_id", "score"])
-
-    # A block meets the chunks of ranks first..to-1; rows are packed, so a join
-    # row is one block and one chunk (Arrow batches are limited in bytes).
-    pairs = (seeded.filter(F.col("to") > first)
-             .select("q_ids", "q", "least", F.explode(F.sequence(F.lit(first), F.col("to") - 1)).alias("rank"))
-             .join(chunks.select("rank", "ids", "values"), "rank"))
+                if b["unit"] != unit:
+                    yield from ended(group)
+                    unit, group = b["unit"], []
+                turned = Turned(*_unpack(b["ids"], b["values"], width), rotation.value)
+                if b["least"] is not None:
+                    group.append(Block(turned, np.frombuffer(b["least"], np.float64), k))
+                    continue
+                for block in group:
+                    block.meet(turned)
+        yield from ended(group)
+
+    # No join: its blocks times chunks would be rows of whole vectors, which Spark
+    # takes to be as small as the blocks alone, and broadcasts. Only the copies
+    # that the units need are made, and dealt to partitions by the unit.
+    wanted = max(SPREAD, n * n_asked // WORK)
+    groups = max(-(-n_asked // max(BLOCK, HELD // width)), min(asked_parts, math.isqrt(wanted) // 2))
+    turns = -(-(last_rank + 1) * groups // wanted)
+    stripes = -(-(last_rank + 1) // turns)
+    group = F.col("rank") % groups
+    # The ranks that a group's blocks need: one number for each group.
+    reach = dict(seeded.groupBy(group).agg(F.max("to")).collect())
+    waiting = (seeded.filter(F.col("to") > first_rank).withColumn("group", group).select(
+        F.explode(F.transform(
+            F.sequence(F.lit(first_rank), F.least(F.col("to"), F.lit(first_rank + stripes)) - 1),
+            lambda rank: F.col("group") * stripes + rank % stripes)).alias("unit"),
+        F.lit(-1).alias("rank"), "place", "ids", "values", "least"))
+    needed = F.array(*[F.when(F.col("rank") < to, F.lit(g)) for g, to in sorted(reach.items())])
+    coming = (chunks.filter(~is_seed).select(
+        F.explode(F.transform(F.array_compact(needed),
+                              lambda g: g * stripes + F.col("rank") % stripes)).alias("unit"),
+        "rank", "place", "ids", "values", F.lit(None).cast("binary").alias("least")))
+    parts = min(groups * stripes, MOST_PARTS)
+    units = (waiting.unionByName(coming).repartitionById(parts, F.col("unit") % parts)
+             .sortWithinPartitions("unit", "rank", "place"))
     found = (seeded.select("got_query", "got_id", "got_score").mapInArrow(first_found, FOUND)
-             .unionByName(pairs.mapInArrow(more_found, FOUND)))
+             .unionByName(units.mapInArrow(more_found, FOUND)))
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (found.select("*", F.row_number().over(order).alias("rank")).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
