@@ -161,9 +161,10 @@ def best_in_chunk(q: Turned, least: np.ndarray, chunk: Turned,
                   k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, vec_id, score) of each query's k best scores that reach its
     threshold ``least``, own row left out, ties to the smaller id."""
-    # Rounding stays far below this slack.
+    # Rounding stays far below this slack; a bound beyond the range is no number, and kept.
     slack = 1e-5 * (1 + q.length * chunk.longest)
-    reach = q.head @ chunk.head.T >= (least - slack).astype(np.float32)[:, None]
+    with np.errstate(over="ignore", invalid="ignore"):
+        reach = ~(q.head @ chunk.head.T < (least - slack).astype(np.float32)[:, None])
     largest = q.x.shape[1] * q.largest * chunk.largest
     if largest < 2 ** 53 and np.count_nonzero(reach) > 0.05 * reach.size:
         exact = np.float32 if largest < 2 ** 24 else np.float64
